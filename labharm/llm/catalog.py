@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from labharm.llm import ngram_join
+from labharm.llm import ngram_join, token_tables
+from labharm.llm.common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,5 +17,14 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), size=4, similarity=(85, 100))
 
 
-QUERIES = {"op6_ngram_join": op6_ngram_join}
+def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:
+    if tokenizer_path is None:
+        import public_tokenizers
+
+        tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    uri = shared_dir(spark, "token-tables")
+    return token_tables.read(spark, uri, token_tables.write(table(spark, sf_dir, "documents"), uri, tokenizer_path, end_id, by_word=True))
+
+
+QUERIES = {"op6_ngram_join": op6_ngram_join, "op10_token_tables": op10_token_tables}
 ORACLE_SQL: dict[str, str] = {}

@@ -80,8 +80,9 @@ def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray,
     Returns where each text's words begin (and the end), a code for each word, and the words by code.
     """
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    parts = pc.ascii_split_whitespace(texts)
     flat = parts.flatten()
+    flat = pc.ascii_lower(flat) if lower else flat  # after splitting: on a slice it would take the wrong bytes
     begin = parts.offsets.to_numpy().astype(np.int64)
     begin = begin - begin[0]
     kept = pc.binary_length(flat).to_numpy() > 0
