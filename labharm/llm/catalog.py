@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from labharm.llm import ngram_join, token_tables
+from labharm.llm import line_dedup, ngram_join, token_tables
 from labharm.llm.common import shared_dir
 
 
@@ -13,6 +13,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.LineDedup(spark, min_docs=10, min_chars=1).insert(docs).apply(docs)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+), hot AS (
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+)
+SELECT doc_id, count(*) AS n_lines, count(h.k) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE h.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN hot h USING (k) GROUP BY doc_id
+"""
+
+
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), size=4, similarity=(85, 100))
 
@@ -26,5 +47,5 @@ def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     return token_tables.read(spark, uri, token_tables.write(table(spark, sf_dir, "documents"), uri, tokenizer_path, end_id, by_word=True))
 
 
-QUERIES = {"op6_ngram_join": op6_ngram_join, "op10_token_tables": op10_token_tables}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op6_ngram_join": op6_ngram_join, "op10_token_tables": op10_token_tables}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL}
