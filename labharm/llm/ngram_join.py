@@ -8,9 +8,12 @@ that hold sets it may be similar to. Candidates are verified on the sets themsel
 
 Hot groups: equal sets share one node; a signature bucket yields a star about its first member, not all pairs. Where
 a star's candidate turns out not to be similar and the two stay in different components, further members of that
-bucket become pivots, in doubling rounds, until every pair of components in it has been tried: no link between
-components is lost. Each band has SPARE segments more than it needs, so that a set may drop its few fullest buckets:
-of the buckets that a similar pair shares, SPARE + 1 at least, the least full one is dropped by neither.
+bucket become pivots, ever more by round, until every pair of components in it has been tried: no link between
+components is lost. Each band has some segments to spare (`spare`), so that a set may drop as many of its full
+buckets: of the buckets that a similar pair shares, one more than those at least, the least full is dropped by neither.
+
+Candidates first meet with sketches, counts of their shingles by hash bucket: the sum of the counts' differences is a
+lower bound of the sets' difference. Only pairs within the bound have their sets compared.
 
 Null or empty texts have no shingles and are linked with nothing. Texts with fewer words than a shingle count as one
 shingle. Repeated rows are equal sets, thus linked. A null doc_id is never a component's id unless it is alone there.
@@ -34,8 +37,12 @@ from labharm.llm.common import cut, hashes, mix, shingles, small, steps, words
 
 #: Sizes of a band's sets lie within this factor.
 BAND = 1.5
-#: Segments that a band has beyond those it needs, and the size from which a bucket counts as full.
-SPARE, FULL = 3, 32
+#: Pivots that a bucket with a failed candidate gets next; then the number doubles by round.
+PIVOTS = 64
+#: Bands there are; the last holds sets of up to 10^10 elements.
+BANDS = 57
+#: Rows from which a bucket counts as full.
+FULL = 8
 #: Cost model: chance that a shingle of two unlike sets in one segment agrees, and what a false candidate costs in signatures.
 AGREE, FALSE_COST = 0.35, 200.0
 #: Rows up to which a table of ids is broadcast (16 bytes a row).
@@ -64,19 +71,24 @@ def meets(n: int, num: int, den: int) -> tuple[int, ...]:
     return (b, *(c for c in below if n * num <= top(c) * den and top(c) > top(c - 1)))
 
 
+def bound_of(b: int, num: int, den: int) -> int:
+    """The most elements in which a similar pair can differ that meets in band b: its sizes are up to top(b) and top(b) * den / num."""
+    return (den - num) * (top(b) + top(b) * den // num) // (den + num)
+
+
+def spare(b: int, num: int, den: int) -> int:
+    """Exact segments that band b has beyond those it needs."""
+    return 4 + bound_of(b, num, den) // 8
+
+
 @lru_cache(maxsize=None)
 def allocate(b: int, num: int, den: int) -> tuple[int, int]:
-    """(exact segments, segments with one-deletion neighbourhoods) of band b, by cost.
-
-    Pairs that meet in b have sizes up to top(b) and top(b) * den / num, so differ in at most
-    H = (den - num) / (den + num) * their sum elements. Exact segments bear one difference, the others two.
-    """
-    u = top(b)
-    bound = (den - num) * (u + u * den // num) // (den + num)
+    """(exact segments, segments with one-deletion neighbourhoods) of band b, by cost. Exact segments bear one difference, the others two."""
+    u, bound = top(b), bound_of(b, num, den)
     best = None
     for deletions in range(0, (bound + 2) // 2 + 1):
         need = bound + 1 - 2 * deletions
-        exact = max(0, need + SPARE) if need > 0 else 0
+        exact = need + spare(b, num, den) if need > 0 else 0
         if exact + deletions == 0:
             continue
         e = u / (exact + deletions)
@@ -98,12 +110,27 @@ def set_id(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes()) - 2**63
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of elements (up to 255) in a power of two of hash buckets, half the elements at least."""
+    size = 256
+    while 2 * size < len(s):
+        size *= 2
+    return np.minimum(np.bincount((s % np.uint64(size)).astype(np.int64), minlength=size), 255).astype(np.uint8).tobytes()
+
+
+def apart_at_least(p: np.ndarray, q: np.ndarray) -> int:
+    """A lower bound of the elements in which two sets differ, from their sketches."""
+    size = min(len(p), len(q))
+    p, q = (x.reshape(-1, size).sum(0, dtype=np.int64) for x in (p, q))
+    return int(np.abs(p - q).sum())
+
+
 def ids(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, n, node."""
+    """doc_id, text -> doc_id, n, node, sketch."""
     for batch in batches:
         for a, z in steps(batch.column(1)):
             sets = distinct_sets(batch.column(1)[a:z], size)
-            yield pa.RecordBatch.from_arrays([batch.column(0)[a:z], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64())], names=["doc_id", "n", "node"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[a:z], pa.array([len(s) for s in sets], pa.int64()), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([sketch(s) for s in sets], pa.binary())], names=["doc_id", "n", "node", "sketch"])
 
 
 def signatures(sets: list[np.ndarray], nodes: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
@@ -168,6 +195,16 @@ def sets_of(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordB
             yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "shingles"])
 
 
+def maybe(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """a, b, sizes and sketches -> a, b, maybe: whether sizes and sketches leave it open that they are similar."""
+    for batch in batches:
+        out = []
+        for n, m, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4), batch.column(5)):
+            fits = num * max(n, m) <= den * min(n, m)
+            out.append(fits and (den + num) * apart_at_least(np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)) <= (den - num) * (n + m))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.bool_())], names=["a", "b", "maybe"])
+
+
 def verify(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
     """a, b, both sets -> a, b, linked."""
     for batch in batches:
@@ -205,15 +242,20 @@ def buckets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     rows = rows.withColumns({"rows": F.count("*").over(by), "low": F.min("node").over(by), "high": F.max("node").over(by), "rank": F.dense_rank().over(by.orderBy("node")), "before": F.lag("node").over(by.orderBy("node"))})
     several = cut(rows.filter("low <> high and (before is null or before <> node)").select("sig", "node", "rank", "rows"), "ngram-buckets")
     full = several.filter((F.col("rows") > FULL) & (F.col("sig").bitwiseAND(256) == 0))
-    order = W.partitionBy("node", F.col("sig").bitwiseAND(255)).orderBy(F.desc("rows"), "sig")
-    dropped = full.withColumn("k", F.row_number().over(order)).filter(f"k <= {SPARE}").select("sig", "node")
+    band = F.col("sig").bitwiseAND(255)
+    spares = F.element_at(F.array(*[F.lit(spare(b, num, den)) for b in range(BANDS)]), band.cast("int") + 1)
+    order = W.partitionBy("node", band).orderBy(F.desc("rows"), "sig")
+    dropped = full.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= spares).select("sig", "node")
     kept = several.join(dropped, ["sig", "node"], "left_anti")
     return cut(kept.withColumn("rank", F.row_number().over(by.orderBy("node"))).withColumn("rows", F.count("*").over(by)).filter("rows > 1"), "ngram-buckets")
 
 
 def checked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """a, b, linked for pairs of nodes; sets are computed again, for one document of each node in question."""
-    pairs = cut(pairs, "ngram-pairs")
+    nodes = members.groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    met = pairs.join(nodes.toDF("a", "n", "x"), "a").join(nodes.toDF("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
+    met = cut(met.mapInArrow(lambda it: maybe(it, num, den), "a long, b long, maybe boolean"), "ngram-met")
+    pairs = met.filter("maybe").select("a", "b")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     one = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     one = cut(one, "ngram-needed")
@@ -221,14 +263,15 @@ def checked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, nu
     sets = texts.select("text").mapInArrow(lambda it: sets_of(it, size), "node long, shingles binary")
     sets = cut(sets.join(one, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")), "ngram-sets")
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda it: verify(it, num, den), "a long, b long, linked boolean")
+    sure = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(lambda it: verify(it, num, den), "a long, b long, linked boolean")
+    return sure.union(met.filter("not maybe"))
 
 
 def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """doc_id, n_shingles, component_id of documents (doc_id, text): components under Jaccard >= num / den."""
     num, den = similarity
     docs = docs.select("doc_id", "text")
-    members = cut(docs.mapInArrow(lambda it: ids(it, size), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node long"), "ngram-members")
+    members = cut(docs.mapInArrow(lambda it: ids(it, size), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node long, sketch binary"), "ngram-members")
     table = buckets(docs, size, num, den)
     first = table.filter("rank = 1").select("sig", F.col("node").alias("a"))
     star = table.filter("rank > 1").join(first, "sig").select("a", F.col("node").alias("b")).distinct()
@@ -241,16 +284,16 @@ def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -
     wide = table.filter("rows > 2")
     open_sigs = wide.filter("rank > 1").withColumnRenamed("node", "b").join(first, "sig").join(apart, ["a", "b"], "left_semi").select("sig").distinct()
     left = cut(wide.join(open_sigs, "sig", "left_semi"), "ngram-open")
-    low = 1
+    low, high = 1, PIVOTS
     while left.filter(f"rank > {low + 1}").limit(1).count():
-        pivots = left.filter(f"rank > {low} and rank <= {2 * low}").select("sig", F.col("node").alias("a"), F.col("rank").alias("r"))
+        pivots = left.filter(f"rank > {low} and rank <= {high}").select("sig", F.col("node").alias("a"), F.col("rank").alias("r"))
         pairs = left.join(pivots, "sig").filter("rank > r").select("a", F.col("node").alias("b")).distinct()
         pairs = _apart(pairs, found)
         more = cut(checked(pairs, docs, members, size, num, den).filter("linked").select("a", "b"), "ngram-more")
         if more.limit(1).count():
             links = links.union(more)
             found = cut(components(links), "ngram-components")
-        low *= 2
+        low, high = high, 2 * high
         named = left.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
         still = named.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.max("rank").alias("top")).filter(f"x <> y and top > {low + 1}").select("sig")
         left = cut(left.join(still, "sig", "left_semi"), "ngram-open")
