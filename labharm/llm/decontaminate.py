@@ -1,7 +1,7 @@
 """Benchmark decontamination: documents that hold a benchmark item, whole or nearly.
 
 Method: every document is cut into windows sized by the items: an item of n words is looked for with windows of the
-largest size class up to 0.8 n, laid over the document at a stride such that at least two of them fall inside any copy
+largest size class up to 0.7 n (255 at most), laid over the document at a stride such that at least two of them fall inside any copy
 of the item; each item adds all its own windows of that size to the index. Windows meet by SimHash. The index is a
 multi-index over BLOCKS blocks of the fingerprint: two fingerprints within RADIUS bits agree up to RADIUS / BLOCKS bits
 in one block at least, so looking up each block's neighbourhood misses none of them. A hit gives an alignment of item and document, and there the
@@ -28,14 +28,22 @@ from pyspark.sql import functions as F
 from labharm.llm.common import steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
+#: A window's words as a share of its items', and at most, so that counts of words fit a byte.
+SHARE, WIDEST = 0.7, 255
+#: Words whose hashes a Python worker keeps.
+CACHE_WORDS = 400_000
 #: Words by which a window may begin or end elsewhere than the alignment says.
 SHIFT = 3
 
+_hashes: dict[str, int] = {}
+#: A byte's bits, each in a byte of its own.
+_spread = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
 
 def size_class(n: int) -> int:
-    """The window size for items of n words: the largest of 1, 2, 3, ... growing by about a fifth, up to 0.8 n."""
+    """The window size for items of n words: the largest of 1, 2, 3, ... growing by about a third, up to SHARE * n and WIDEST."""
     w = 1
-    while (bigger := max(w + 1, round(w * 1.22))) <= 0.8 * n:
+    while (bigger := max(w + 1, round(w * 1.3))) <= min(SHARE * n, WIDEST):
         w = bigger
     return w
 
@@ -43,11 +51,20 @@ def size_class(n: int) -> int:
 def plain_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Where each text's words begin, and the words as hashes."""
     begin, code, vocabulary = words(texts)
-    hashed = np.fromiter((xxhash.xxh64_intdigest(x) if (x := strip(w)) else 0 for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))[code]
+    if len(_hashes) > CACHE_WORDS:
+        _hashes.clear()
+    hashed = np.fromiter((_hashes[w] if w in _hashes else hash_of(w) for w in vocabulary.to_pylist()), np.uint64, len(vocabulary))[code]
     kept = hashed != 0
     return np.concatenate([[0], np.cumsum(kept)])[begin], hashed[kept]
 
 
+def hash_of(word: str) -> int:
+    """64-bit hash of a word without the punctuation around it, 0 if nothing is left."""
+    x = strip(word)
+    _hashes[word] = xxhash.xxh64_intdigest(x) if x else 0
+    return _hashes[word]
+
+
 def strip(word: str) -> str:
     if word.isalnum():
         return word.lower()
@@ -70,19 +87,21 @@ def similarity(p: Counter, q: Counter) -> float:
 
 
 class Sums:
-    """Prefix sums of word bits, from which windows get their fingerprints."""
+    """Prefix sums of word bits, from which windows get their fingerprints.
+
+    Sums of eight bits share an integer, a byte each. Overflows of the running sums cancel out in a window's difference, whose counts fit their bytes.
+    """
 
     def __init__(self, word: np.ndarray, common: np.ndarray):
         used = ~np.isin(word, common)
-        bits = np.unpackbits(word.view(np.uint8).reshape(-1, 8), axis=1) * used[:, None]
-        self.ones = np.zeros((len(word) + 1, 64), np.uint32)
-        np.cumsum(bits, axis=0, dtype=np.uint32, out=self.ones[1:])
-        self.used = np.concatenate([[0], np.cumsum(used)]).astype(np.uint32)
+        self.ones = np.zeros((len(word) + 1, 8), np.uint64)
+        np.cumsum(_spread[(word * used).view(np.uint8).reshape(-1, 8)], axis=0, out=self.ones[1:])
+        self.used = np.concatenate([[0], np.cumsum(used)])
 
     def prints(self, at: np.ndarray, size: int) -> np.ndarray:
-        ones = self.ones[at + size] - self.ones[at]
-        total = self.used[at + size] - self.used[at]
-        return np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64).ravel()
+        ones = (self.ones[at + size] - self.ones[at]).view(np.uint8)
+        half = ((self.used[at + size] - self.used[at]) // 2).astype(np.uint8)
+        return np.packbits(ones > half[:, None], axis=1).view(np.uint64).ravel()
 
 
 def near(bits: int, radius: int) -> np.ndarray:
@@ -105,6 +124,7 @@ class Index:
         self.words = [word[a:z] for a, z in zip(begin, begin[1:])]
         seen = Counter(w for x in self.words for w in set(x.tolist()))
         self.common = np.array([w for w, n in seen.items() if n > COMMON * len(items) and n > 2], np.uint64)
+        self.lists = [x.tolist() for x in self.words]
         self.grams = [Counter(grams(x, shingle)) for x in self.words]
         groups = defaultdict(list)
         for k, x in enumerate(self.words):
@@ -159,6 +179,9 @@ class Index:
         """The similarity of the item and the best text about there, and where that begins and ends."""
         n, want = len(self.words[item]), self.grams[item]
         around = word[max(0, at - SHIFT) : at + n + SHIFT]
+        # a similar text shares at least that many shingles, each of which begins at another word of the item
+        if n >= self.shingle and sum(map(set(around.tolist()).__contains__, self.lists[item])) < least * want.total():
+            return 0.0, at, at
         if n >= self.shingle and sum((Counter(grams(around, self.shingle)) & want).values()) < least * want.total():
             return 0.0, at, at
         out = (0.0, at, at)
