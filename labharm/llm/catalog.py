@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from labharm.llm import decontaminate, line_dedup, ngram_join, token_tables
+from labharm.llm import decontaminate, line_dedup, ngram_join, substring_dedup, token_tables
 from labharm.llm.common import shared_dir
 
 
@@ -42,6 +42,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), size=4, similarity=(85, 100))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.summary(table(spark, sf_dir, "documents"))
+
+
 def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:
     if tokenizer_path is None:
         import public_tokenizers
@@ -51,5 +55,5 @@ def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     return token_tables.read(spark, uri, token_tables.write(table(spark, sf_dir, "documents"), uri, tokenizer_path, end_id, by_word=True))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_decontaminate": op5_decontaminate, "op6_ngram_join": op6_ngram_join, "op10_token_tables": op10_token_tables}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_decontaminate": op5_decontaminate, "op6_ngram_join": op6_ngram_join, "op7_substring_dedup": op7_substring_dedup, "op10_token_tables": op10_token_tables}
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL}
