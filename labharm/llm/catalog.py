@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from labharm.llm import decontaminate, line_dedup, ngram_join, substring_dedup, token_tables
+from labharm.llm import decontaminate, line_dedup, ngram_join, substring_dedup, token_tables, toxicity
 from labharm.llm.common import shared_dir
 
 
@@ -46,6 +46,14 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.summary(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
 def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | None = None, end_id: int = 2) -> DataFrame:
     if tokenizer_path is None:
         import public_tokenizers
@@ -55,5 +63,5 @@ def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     return token_tables.read(spark, uri, token_tables.write(table(spark, sf_dir, "documents"), uri, tokenizer_path, end_id, by_word=True))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_decontaminate": op5_decontaminate, "op6_ngram_join": op6_ngram_join, "op7_substring_dedup": op7_substring_dedup, "op10_token_tables": op10_token_tables}
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_decontaminate": op5_decontaminate, "op6_ngram_join": op6_ngram_join, "op7_substring_dedup": op7_substring_dedup, "op8_toxicity": op8_toxicity, "op10_token_tables": op10_token_tables}
 ORACLE_SQL = {"op1_line_dedup": OP1_SQL}
