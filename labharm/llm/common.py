@@ -61,12 +61,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def steps(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with STEP_BYTES of text or one row each."""
+def steps(texts: pa.Array, most: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with most (STEP_BYTES) bytes of text, or one row each."""
+    most = most or STEP_BYTES
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
     start = total = 0
     for i, n in enumerate(sizes):
-        if i > start and total + n > STEP_BYTES:
+        if i > start and total + n > most:
             yield start, i
             start, total = i, 0
         total += int(n)

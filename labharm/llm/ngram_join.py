@@ -6,9 +6,10 @@ the allocation gives it a deletion, up to one element. Sets are grouped into ban
 its own segments and its own allocation, chosen by cost (`allocate`). A set indexes itself in its own band and in those below
 that hold sets it may be similar to. Candidates are verified on the sets themselves.
 
-Hot groups: equal sets share one node; a signature bucket yields a star about its first member, not all pairs. Where
-a star's candidate turns out not to be similar and the two stay in different components, further members of that
-bucket become pivots, ever more by round, until every pair of components in it has been tried: no link between
+Hot groups: equal sets share one node; a signature bucket yields a star about the member that meets most
+others, not all pairs. Where
+a star's candidate turns out not to be similar and the two stay in different components, that bucket is open: its members' sketches (see
+below) are compared in blocks inside tasks, and what they leave open across components is verified. So no link between
 components is lost. Each band has some segments to spare (`spare`), so that a set may drop as many of its full
 buckets: of the buckets that a similar pair shares, one more than those at least, the least full is dropped by neither.
 
@@ -22,6 +23,7 @@ Shingles are compared as 64-bit hashes.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -37,8 +39,8 @@ from labharm.llm.common import cut, hashes, mix, shingles, small, steps, words
 
 #: Sizes of a band's sets lie within this factor.
 BAND = 1.5
-#: Pivots that a bucket with a failed candidate gets next; then the number doubles by round.
-PIVOTS = 64
+#: Members of a block of an open bucket.
+BLOCK = 1000
 #: Bands there are; the last holds sets of up to 10^10 elements.
 BANDS = 57
 #: Rows from which a bucket counts as full.
@@ -247,7 +249,57 @@ def buckets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     order = W.partitionBy("node", band).orderBy(F.desc("rows"), "sig")
     dropped = full.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= spares).select("sig", "node")
     kept = several.join(dropped, ["sig", "node"], "left_anti")
-    return cut(kept.withColumn("rank", F.row_number().over(by.orderBy("node"))).withColumn("rows", F.count("*").over(by)).filter("rows > 1"), "ngram-buckets")
+    # first the sets that meet most others: an original before its copies, each of which may differ too much from the next
+    met = kept.groupBy("node").agg(F.sum("rows").alias("met"))
+    kept = kept.drop("rank").join(met, "node").withColumn("rank", F.row_number().over(by.orderBy(F.desc("met"), "node")))
+    return cut(kept.withColumn("rows", F.count("*").over(by)).filter("rows > 1"), "ngram-buckets")
+
+
+def compare(node: np.ndarray, n: np.ndarray, component: np.ndarray, block: np.ndarray, i: int, j: int, sketches: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
+    """The pairs of a block of a bucket, or between two blocks of it, that sizes and sketches leave open and that are in different components."""
+    least = min(map(len, sketches))
+    counts = np.stack([np.frombuffer(x, np.uint8).reshape(-1, least).sum(0, dtype=np.int32) for x in sketches])
+    rough = counts.reshape(len(counts), -1, 32).sum(1)
+    pairs = []
+    for p in np.flatnonzero(block == i):
+        q = np.flatnonzero((block == j) & (component != component[p]) & (num * np.maximum(n, n[p]) <= den * np.minimum(n, n[p])))
+        q = q[q > p] if i == j else q
+        for x in (rough, counts):
+            q = q[(den + num) * np.abs(x[q] - x[p]).sum(1) <= (den - num) * (n[q] + n[p])] if len(q) else q
+        pairs += [(int(node[p]), x) for x in node[q].tolist()]
+    return pairs
+
+
+def compare_all(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterator[pa.RecordBatch]:
+    """sig, i, j, node, n, component, block, sketch, sorted by the first three -> a, b. A group has two blocks at most."""
+    rest = None
+    for batch in itertools.chain(batches, [None]):
+        table = pa.Table.from_batches([x for x in (rest, batch) if x is not None]).combine_chunks() if rest is not None or batch is not None else None
+        if table is None or not table.num_rows:
+            continue
+        sig, i, j, node, n, component, block = (table.column(k).to_numpy() for k in range(7))
+        starts = np.flatnonzero(np.concatenate([[True], (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])]))
+        ends = np.append(starts[1:], len(sig))
+        if batch is not None:  # the last group may go on
+            rest = table.slice(starts[-1]).to_batches()[0]
+            starts, ends = starts[:-1], ends[:-1]
+        found = []
+        for a, z in zip(starts.tolist(), ends.tolist()):
+            if (component[a:z] != component[a]).any():
+                found += compare(node[a:z], n[a:z], component[a:z], block[a:z], i[a], j[a], table.column(7)[a:z].to_pylist(), num, den)
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
+
+
+def open_pairs(table: DataFrame, found: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidates (a, b) among the rows (sig, node, rank) of open buckets; these are compared in blocks of BLOCK members."""
+    rows = cut(table.select("sig", "node", F.floor((F.col("rank") - 1) / BLOCK).cast("int").alias("block")), "ngram-open")
+    last = rows.groupBy("sig").agg(F.max("block").alias("last"))
+    nodes = members.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    nodes = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    each = rows.join(last, "sig").withColumn("with", F.explode(F.sequence(F.lit(0), "last"))).select("sig", "node", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    groups = each.join(nodes, "node").select("sig", "i", "j", "node", "n", "component", "block", "sketch").repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    return groups.mapInArrow(lambda it: compare_all(it, num, den), "a long, b long").distinct()
 
 
 def checked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, num: int, den: int) -> DataFrame:
@@ -283,20 +335,10 @@ def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -
     apart = _apart(failed, found)
     wide = table.filter("rows > 2")
     open_sigs = wide.filter("rank > 1").withColumnRenamed("node", "b").join(first, "sig").join(apart, ["a", "b"], "left_semi").select("sig").distinct()
-    left = cut(wide.join(open_sigs, "sig", "left_semi"), "ngram-open")
-    low, high = 1, PIVOTS
-    while left.filter(f"rank > {low + 1}").limit(1).count():
-        pivots = left.filter(f"rank > {low} and rank <= {high}").select("sig", F.col("node").alias("a"), F.col("rank").alias("r"))
-        pairs = left.join(pivots, "sig").filter("rank > r").select("a", F.col("node").alias("b")).distinct()
-        pairs = _apart(pairs, found)
-        more = cut(checked(pairs, docs, members, size, num, den).filter("linked").select("a", "b"), "ngram-more")
-        if more.limit(1).count():
-            links = links.union(more)
-            found = cut(components(links), "ngram-components")
-        low, high = high, 2 * high
-        named = left.join(found, "node", "left").withColumn("c", F.coalesce("component", "node"))
-        still = named.groupBy("sig").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.max("rank").alias("top")).filter(f"x <> y and top > {low + 1}").select("sig")
-        left = cut(left.join(still, "sig", "left_semi"), "ngram-open")
+    more = checked(open_pairs(wide.join(open_sigs, "sig", "left_semi"), found, members, num, den), docs, members, size, num, den).filter("linked").select("a", "b")
+    more = cut(more, "ngram-more")
+    if more.limit(1).count():
+        found = cut(components(links.union(more)), "ngram-components")
     named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     # documents without shingles stay alone
     least = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))

@@ -40,7 +40,9 @@ MAGIC = b"LHSST1\0\0"
 FOOTER = struct.Struct("<QQQQQQI4x8s")
 BLOCK_BYTES, BITS, PROBES = 1 << 18, 10, 7
 #: Words that a Python worker keeps with their ids.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+#: Bytes of text encoded at once: the more, the fewer words to look up.
+ENCODE_BYTES = 8_000_000
 
 _tokenizers: dict[str, object] = {}
 _cache: dict[tuple[str, int], dict[str, bytes]] = {}
@@ -232,7 +234,7 @@ def write_shard(batches: Iterator[pa.RecordBatch], uri: str, path: str, end_id:
     end = np.array([end_id], f"<u{width}")
     writer = sink = None
     for batch in batches:
-        for a, z in steps(batch.column(1)):
+        for a, z in steps(batch.column(1), ENCODE_BYTES):
             if writer is None:
                 store.create_dir(folder, recursive=True)
                 sink = store.open_output_stream(mine)

@@ -124,6 +124,8 @@ class Model:
         return min(200.0, most)
 
     def score(self, n: int, found: list[tuple[float, int, int]]) -> float:
+        if self.b == -math.inf:
+            return 0.0
         return 1 / (1 + math.exp(-x)) if (x := max(-700.0, self.a * self.feature(n, found) + self.b)) < 700 else 1.0
 
     def calibrate(self, n: np.ndarray, best: np.ndarray, feature_of, toxic: np.ndarray) -> None:

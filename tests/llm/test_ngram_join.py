@@ -55,7 +55,7 @@ def test_brute_force(spark, size, num, den):
 def test_full_buckets_and_later_pivots(spark, monkeypatch):
     """With tiny limits, full buckets are dropped and failed stars tried again; no link is lost."""
     monkeypatch.setattr(N, "FULL", 1)
-    monkeypatch.setattr(N, "PIVOTS", 2)
+    monkeypatch.setattr(N, "BLOCK", 2)
     rows = corpus(5)
     got = N.join(spark.createDataFrame(rows, "doc_id long, text string"), 2, (3, 5)).collect()
     assert sorted([tuple(r) for r in got], key=str) == brute(rows, 2, 3, 5)
