@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labharm.llm import decontaminate, line_dedup, ngram_join, substring_dedup, token_tables, toxicity
+from labharm.llm import decontaminate, html_extract, line_dedup, mixing, nearest, ngram_join, substring_dedup, token_tables, toxicity, url_filter
 from labharm.llm.common import shared_dir
 
 
@@ -34,6 +34,69 @@ FROM keyed LEFT JOIN hot h USING (k) GROUP BY doc_id
 """
 
 
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+#: The mixture asked for: domains by source, and weights by node.
+DOMAINS = {"web": [f"src{i}" for i in range(10)], "books": [f"src{i}" for i in range(10, 15)]}
+WEIGHTS = {"domain": {"web": 5, "books": 3, "news": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
+BUDGET_SHARE, MAX_EPOCHS, SEED = 0.6, 2, 17
+
+
+def domain() -> Column:
+    source = F.col("source")
+    return F.when(source.isin(DOMAINS["web"]), "web").when(source.isin(DOMAINS["books"]), "books").when(source.isNotNull(), "news")
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), domain(), WEIGHTS, BUDGET_SHARE, MAX_EPOCHS, SEED)
+    return mixed.select("doc_id", "domain", "lang", "source", "epoch", "n_tokens")
+
+
+def _share_sql(i: int) -> str:
+    """Budgets of one level of the tree, as mixing.share_out computes them."""
+    level, up, here = mixing.LEVELS[i], ", ".join(mixing.LEVELS[:i]) or "0", ", ".join(mixing.LEVELS[: i + 1])
+    weights = " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in WEIGHTS.get(level, {}).items())
+    w = f"CASE {weights} ELSE 1 END" if weights else "1"
+    budget = f"floor({BUDGET_SHARE}::DOUBLE * (sum(supply) OVER () / {MAX_EPOCHS}))" if not i else "budget"
+    join = "" if not i else f" JOIN (SELECT {', '.join(f'{c} AS p{k}' for k, c in enumerate(mixing.LEVELS[:i]))}, given AS budget FROM given{i - 1}) p ON " + " AND ".join(f"{c} IS NOT DISTINCT FROM p{k}" for k, c in enumerate(mixing.LEVELS[:i]))
+    before = f"(PARTITION BY {up} ORDER BY CASE WHEN w > 0 THEN supply / w END ASC NULLS LAST, {level} ASC NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    return f"""nodes{i} AS (SELECT {here}, (sum(tokens) * {MAX_EPOCHS})::BIGINT AS supply, ({w})::DOUBLE AS w FROM leaves GROUP BY {here}),
+budgets{i} AS (SELECT n.*, ({budget})::BIGINT AS budget FROM nodes{i} n{join}),
+rest{i} AS (SELECT *, sum(w) OVER (PARTITION BY {up}) - coalesce(sum(w) OVER {before}, 0) AS rest, coalesce(sum(supply) OVER {before}, 0) AS used FROM budgets{i}),
+marks{i} AS (SELECT *, CASE WHEN rest > 0 THEN (budget - used)::DOUBLE / rest ELSE 0 END AS mark FROM rest{i}),
+given{i} AS (SELECT {here}, (CASE WHEN supply <= w * mark THEN supply ELSE least(supply, floor(w * greatest(0, max(CASE WHEN supply > w * mark THEN mark END) OVER (PARTITION BY {up})))) END)::BIGINT AS given FROM marks{i})"""
+
+
+_IN = {k: ", ".join(f"'{s}'" for s in v) for k, v in DOMAINS.items()}
+OP3_SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, lang, source, text, CASE WHEN source IN ({_IN["web"]}) THEN 'web' WHEN source IN ({_IN["books"]}) THEN 'books' WHEN source IS NOT NULL THEN 'news' END AS domain,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS n_tokens FROM documents
+), leaves AS (SELECT domain, lang, source, sum(n_tokens)::BIGINT AS tokens FROM docs GROUP BY ALL),
+{_share_sql(0)},
+{_share_sql(1)},
+{_share_sql(2)},
+plans AS (
+  SELECT l.*, g.given AS budget, CASE WHEN tokens > 0 THEN g.given // tokens ELSE 0 END AS epochs FROM leaves l JOIN given2 g
+  ON l.domain IS NOT DISTINCT FROM g.domain AND l.lang IS NOT DISTINCT FROM g.lang AND l.source IS NOT DISTINCT FROM g.source WHERE g.given > 0
+), placed AS (
+  SELECT d.*, p.epochs, p.budget - p.epochs * p.tokens AS rest, md5('{SEED}:' || p.epochs::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '')) AS key FROM docs d JOIN plans p
+  ON d.domain IS NOT DISTINCT FROM p.domain AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
+), ordered AS (
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, n_tokens, md5(coalesce(text, '')) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed
+)
+SELECT doc_id, domain, lang, source, unnest(range(epochs))::BIGINT AS epoch, n_tokens FROM placed
+UNION ALL SELECT doc_id, domain, lang, source, epochs::BIGINT, n_tokens FROM ordered WHERE rest > 0 AND before < rest
+"""
+
+
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.texts(pages, html_extract.fit(pages)).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -63,5 +126,36 @@ def op10_token_tables(spark: SparkSession, sf_dir: str, tokenizer_path: str | No
     return token_tables.read(spark, uri, token_tables.write(table(spark, sf_dir, "documents"), uri, tokenizer_path, end_id, by_word=True))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op5_decontaminate": op5_decontaminate, "op6_ngram_join": op6_ngram_join, "op7_substring_dedup": op7_substring_dedup, "op8_toxicity": op8_toxicity, "op10_token_tables": op10_token_tables}
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL}
+
+RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.apply(table(spark, sf_dir, "pages").select("page_id", "url"), RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+_VALUES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
+OP9_SQL = rf"""
+WITH rests AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests),
+rules(verdict, host, path) AS (VALUES {_VALUES}),
+fits AS (
+  SELECT p.page_id, r.host || r.path AS rule, r.verdict, row_number() OVER (PARTITION BY p.page_id ORDER BY length(r.host || r.path) DESC) AS k
+  FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1
+"""
+
+QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_nearest": op2_nearest,
+    "op3_mixing": op3_mixing,
+    "op4_html_extract": op4_html_extract,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_ngram_join": op6_ngram_join,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op9_url_filter": op9_url_filter,
+    "op10_token_tables": op10_token_tables,
+}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op9_url_filter": OP9_SQL}

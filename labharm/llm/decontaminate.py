@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import steps, words
+from labharm.llm.common import cut, small, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: A window's words as a share of its items', and at most, so that counts of words fit a byte.
@@ -225,3 +225,9 @@ def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float =
         found = docs.mapInArrow(lambda it, index=index: scan(it, index, least), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, start_word int, end_word int")
         out = found if out is None else out.union(found)
     return out
+
+
+def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
+    """The rows of docs in which no item is found; rows with one doc_id, null included, share their fate."""
+    hit = cut(find(docs, benchmark, shingle, least).select(F.col("doc_id").alias("__doc")).distinct(), "decontaminate-hit")
+    return docs.join(small(hit, 1_000_000), F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")

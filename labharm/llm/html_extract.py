@@ -5,8 +5,9 @@ positive and tags negative; words in places such as menus are negative too. Insi
 
 Weights come from labelled pages: pages that mark their content themselves with exactly one article or main element, SAMPLE of them
 at most (smallest hash of their html). A place is the nearest landmark (nav, footer, article, a class that names an advert, ...) and the
-nearest block element; its weight is the log-odds of words there to be content. A place seen too rarely falls back to its
-block element, then to a default. Pages without such elements, or tables without labelled pages, thus work with fallbacks.
+nearest block element; its weight is the log-odds of words there to be content. Words below landmarks that are never content (AWAY) have a
+fixed weight. A place seen too rarely falls back to its block element, then to a default. Pages without such elements, or tables without
+labelled pages, thus work with fallbacks.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by line feeds; br is white space.
 Null, empty or broken html gives what text can be found, or an empty text. Repeated rows and null ids are kept as they are.
@@ -32,11 +33,14 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
 LANDMARKS = frozenset("nav header footer aside form menu head title dialog fieldset article main".split())
 AWAY = frozenset("nav header footer aside form menu head title dialog fieldset hint".split())
 #: Words in class, id or role attributes that name what isn't content.
-HINTS = frozenset("ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer footer header login masthead menu nav navbar navigation newsletter notice paywall popup promo promoted related share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
+HINTS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination paywall popup promo promoted recommended related replies share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split())
+#: Those that tell even of an article element that it isn't the article.
+NOT_ARTICLE = frozenset("ad ads advert advertisement adverts comment comments promo promoted recommended related sponsored".split())
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
 ATTRIBUTE = re.compile(r"(?:class|id|role|data-role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/>]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -78,12 +82,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         at = end
 
 
-def hinted(attributes: str) -> bool:
-    return bool(attributes) and any(w in HINTS for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower()))
+def hinted(attributes: str, hints: frozenset[str] = HINTS) -> bool:
+    """Whether an element's attributes name what isn't content, or hide it."""
+    return bool(attributes) and (any(w in hints for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower())) or bool(HIDDEN.search(attributes)))
 
 
 def parse(page: str) -> list[tuple]:
-    """("text", text, (landmark, block), block number, inside) and ("tag", name, None, block number, inside), in page order; inside: within article or main."""
+    """("text", text, (landmark, block), block number, inside) and the same with "tag" and its name, in page order; inside: within article or main."""
     out: list[tuple] = []
     stack: list[tuple[str, str]] = []  # block elements that are open, with the nearest landmark
     block = inside = 0
@@ -99,7 +104,7 @@ def parse(page: str) -> list[tuple]:
                 if value not in VOID:
                     if stack and stack[-1][0] == "p" or value in ("li", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == value:
                         stack.pop()
-                    mark = "hint" if hinted(attributes) and value not in ("html", "body", "article", "main") else value if value in LANDMARKS else stack[-1][1] if stack else "-"
+                    mark = "hint" if value not in ("html", "body") and hinted(attributes, NOT_ARTICLE if value in ("article", "main") else HINTS) else value if value in LANDMARKS else stack[-1][1] if stack else "-"
                     if value in LANDMARKS and value in ("article", "main") and stack and stack[-1][1] in AWAY:
                         mark = stack[-1][1]
                     stack.append((value, mark))
@@ -110,26 +115,28 @@ def parse(page: str) -> list[tuple]:
                     inside -= gone in ("article", "main")
                     if gone == value:
                         break
-        out.append(("tag", value, None, block, inside > 0))
+        out.append(("tag", value, (stack[-1][1] if stack else "-", ""), block, inside > 0))
     return out
 
 
 class Weights:
+    """Log-odds of places ((landmark, block)), of block elements (name) and of tags ("<" + name) to be content; the last two outside AWAY."""
+
     def __init__(self, inside: Counter, outside: Counter):
-        seen = inside + outside
-        odds = {k: max(-4.0, min(4.0, math.log((inside[k] + 0.5) / (outside[k] + 0.5)))) for k, n in seen.items() if n >= LEAST}
-        self.odds = odds
+        self.odds = {k: max(-4.0, min(4.0, math.log((inside[k] + 0.5) / (outside[k] + 0.5)))) for k, n in (inside + outside).items() if n >= LEAST}
 
     def word(self, place: tuple[str, str]) -> float:
+        if place[0] in AWAY:
+            return -0.25
         if place in self.odds:
             return self.odds[place]
-        if place[0] in AWAY:
-            return -2.0
+        if place[0] in ("article", "main"):
+            return 1.0
         return self.odds.get(place[1], 1.0) if place[1] not in ("body", "html", "-") else 0.2
 
-    def tag(self, name: str) -> float:
+    def tag(self, name: str, landmark: str) -> float:
         """Tags are negative, those that stand outside content more so."""
-        return -0.1 - max(0.0, -self.odds.get("<" + name, 0.0))
+        return -0.1 if landmark in AWAY else -0.1 - min(1.0, max(0.0, -self.odds.get("<" + name, 0.0)))
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -146,7 +153,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str | None, weights: Weights) -> str:
     found = parse(page or "")
-    a, z = best_run([len(t[1].split()) * weights.word(t[2]) if t[0] == "text" else weights.tag(t[1]) for t in found])
+    a, z = best_run([len(t[1].split()) * weights.word(t[2]) if t[0] == "text" else weights.tag(t[1], t[2][0]) for t in found])
     blocks: dict[int, list[str]] = {}
     for kind, value, place, block, _ in found[a:z]:
         if kind == "tag":
@@ -164,6 +171,8 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tally: dict[tuple[str, str], list[int]] = {}
         for page in batch.column(0).to_pylist():
             for kind, value, place, _, inside in parse(page):
+                if place[0] in AWAY:
+                    continue
                 for key in [place, ("", place[1])] if kind == "text" else [("<", value)]:
                     tally.setdefault(key, [0, 0])[not inside] += len(value.split()) if kind == "text" else 1
         keys = list(tally)

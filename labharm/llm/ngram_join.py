@@ -351,3 +351,13 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
     x, y = found.toDF("a", "ca"), found.toDF("b", "cb")
     known: Column = F.coalesce("ca", "a") != F.coalesce("cb", "b")
     return pairs.join(x, "a", "left").join(y, "b", "left").filter(known).select("a", "b")
+
+
+def dedup(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id; rows with one doc_id are judged together, and equal ones of these stay once."""
+    found = join(docs, size, similarity)
+    stay = found.groupBy("doc_id").agg(F.bool_or(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("__stay"), F.count("*").alias("__rows")).filter("__stay").withColumnRenamed("doc_id", "__doc")
+    stay = small(cut(stay, "ngram-stay"), BROADCAST_ROWS)
+    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")))
+    once = kept.filter("__rows = 1").select(*docs.columns)
+    return once.union(kept.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"]))

@@ -198,3 +198,16 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
     docs = docs.select("doc_id", "text")
     return docs.mapInArrow(lambda it: rate(it, sent), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double, passages array<struct<begin:int,end:int,score:double,p_value:double>>")
+
+
+def clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs whose text scores below threshold, with all their columns."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def keep(batches):
+        for batch in batches:
+            low = [sent.value.score(n, found) < threshold for a, z in steps(batch.column(at)) for n, found in sent.value.texts(batch.column(at)[a:z])]
+            yield batch.filter(pa.array(low, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -20,6 +20,7 @@ import xxhash
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labharm.llm.common import LOWER, UPPER, shared_dir
 
@@ -129,5 +130,5 @@ def apply(urls: DataFrame, rules: list[tuple[str, str, str]], url: str = "url")
     """urls with host, path, rule and verdict (columns of these names are replaced)."""
     name = publish(urls.sparkSession, rules)
     base = urls.select(*(c for c in urls.columns if c not in ("host", "path", "rule", "verdict")), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
-    schema = base.schema.add("rule", "string").add("verdict", "string")
+    schema = T.StructType([*base.schema.fields, T.StructField("rule", T.StringType()), T.StructField("verdict", T.StringType())])
     return base.mapInArrow(lambda it: judge(it, name), schema)
