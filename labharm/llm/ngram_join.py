@@ -46,7 +46,7 @@ BANDS = 57
 #: Rows from which a bucket counts as full.
 FULL = 8
 #: Cost model: chance that a shingle of two unlike sets in one segment agrees, and what a false candidate costs in signatures.
-AGREE, FALSE_COST = 0.35, 200.0
+AGREE, FALSE_COST = 0.2, 200.0
 #: Rows up to which a table of ids is broadcast (16 bytes a row).
 BROADCAST_ROWS = 1_000_000
 
