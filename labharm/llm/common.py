@@ -50,6 +50,13 @@ def small(df: DataFrame, limit: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """The rows of the most (or fewer) smallest hashes of column key, one row a hash; only hashes are sorted, only sampled rows are shuffled."""
+    hashed = df.withColumn("__h", F.xxhash64(key))
+    last = hashed.select("__h").distinct().orderBy("__h").limit(most).agg(F.max("__h")).first()[0]
+    return hashed.filter(F.col("__h") <= F.lit(last)).dropDuplicates(["__h"]).drop("__h")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Scrambles 64-bit integers one to one (splitmix64's finaliser)."""
     x = x.astype(np.uint64, copy=True)

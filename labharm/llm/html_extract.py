@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labharm.llm.common import sample
+
 SAMPLE, LEAST = 2000, 20
 # Element names of HTML by their role.
 RAW = frozenset("script style template noscript svg math iframe object canvas select textarea button audio video".split())
@@ -181,7 +183,7 @@ def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(pages: DataFrame) -> Weights:
     marked = F.regexp_count("html", F.lit("(?i)<(article|main)[\\s>]")) == 1
-    chosen = pages.select("html").filter(marked).orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
+    chosen = sample(pages.select("html").filter(marked), "html", SAMPLE)
     rows = chosen.mapInArrow(count, "landmark string, name string, inside long, outside long").groupBy("landmark", "name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).filter(f"length(name) <= 40 and i + o >= {LEAST}").collect()
     key = lambda r: r.name if r.landmark == "" else "<" + r.name if r.landmark == "<" else (r.landmark, r.name)
     return Weights(Counter({key(r): r.i for r in rows}), Counter({key(r): r.o for r in rows}))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labharm.llm.common import cut, shared_dir
+from labharm.llm.common import cut, sample, shared_dir
 
 SAMPLE, ROUNDS, THRESHOLD = 20_000, 8, 0.3
 RERANK, QUERY_BLOCK = 128, 20_000
@@ -183,10 +183,10 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     frequent = rows.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").first()
     size = frequent.n if frequent else 1
     rows = rows.filter(F.size("embedding") == size)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("embedding").toArrow().column(0).combine_chunks()
+    known = sample(rows, "vec_id", SAMPLE).orderBy("vec_id").select("embedding").toArrow().column(0).combine_chunks()
     quantiser = Quantiser(size)
-    if len(sample):
-        quantiser.fit(unit(matrix(sample, size)))
+    if len(known):
+        quantiser.fit(unit(matrix(known, size)))
     sent = spark.sparkContext.broadcast(quantiser)
     index = cut(rows.mapInArrow(lambda it: encode(it, sent, size), "vec_id long, embedding array<double>, code binary"), "nearest-index")
     queries = index.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
