@@ -4,9 +4,9 @@ Method: every document is cut into windows sized by the items: an item of n word
 largest size class up to 0.7 n (255 at most), laid over the document at a stride such that at least two of them fall inside any copy
 of the item; each item adds all its own windows of that size to the index. Windows meet by SimHash. The index is a
 multi-index over BLOCKS blocks of the fingerprint: two fingerprints within RADIUS bits agree up to RADIUS / BLOCKS bits
-in one block at least, so looking up each block's neighbourhood misses none of them. A hit gives an alignment of item and document, and there the
+in one block at least, so looking up each block's neighbourhood misses none of them. A hit gives an item and a document, and there the
 weighted similarity of word shingles decides: the sum over shingles of the smaller count over that of the larger count,
-for the best text of about the item's length.
+for the best of all texts of the document, whatever their length. Shingles are compared as 64-bit hashes.
 
 Words are what white space leaves, lower-cased, less the punctuation around them. SimHash leaves out words that stand in more than COMMON of the items.
 
@@ -16,6 +16,7 @@ result. Items are taken in blocks of block_items, the only data that go to the d
 
 from __future__ import annotations
 
+import math
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -25,15 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import cut, small, steps, words
+from labharm.llm.common import cut, mix, small, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: A window's words as a share of its items', and at most, so that counts of words fit a byte.
 SHARE, WIDEST = 0.7, 255
 #: Words whose hashes a Python worker keeps.
 CACHE_WORDS = 400_000
-#: Words by which a window may begin or end elsewhere than the alignment says.
-SHIFT = 3
 
 _hashes: dict[str, int] = {}
 #: A byte's bits, each in a byte of its own.
@@ -76,14 +75,38 @@ def strip(word: str) -> str:
     return word[a:z].lower()
 
 
-def grams(word: np.ndarray, size: int) -> list[tuple]:
-    w = word.tolist()
-    return [tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))] if w else []
-
-
-def similarity(p: Counter, q: Counter) -> float:
-    both = sum((p & q).values())
-    return both / (p.total() + q.total() - both) if both else 0.0
+def grams(begin: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words at which windows of size words inside one text begin, and the windows' hashes."""
+    n = max(0, len(word) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += word[k : k + n]
+    inside = np.ones(n, bool)
+    for k in range(1, size):
+        edge = begin[1:-1] - k
+        inside[edge[(edge >= 0) & (edge < n)]] = False
+    at = np.flatnonzero(inside)
+    return at, mix(out[at])
+
+
+class Grams:
+    """The different shingles of one size of all items."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = np.unique(keys)
+        self.shift = np.uint64(64 - min(26, len(self.keys).bit_length() + 4))
+        self.some = np.zeros(1 << 64 - int(self.shift), bool)
+        self.some[self.keys >> self.shift] = True
+
+    def among(self, begin: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where the texts have these shingles, and which."""
+        at, key = grams(begin, word, size)
+        maybe = self.some[key >> self.shift]
+        at, key = at[maybe], key[maybe]
+        which = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        same = self.keys[which] == key
+        return at[same], which[same]
 
 
 class Sums:
@@ -124,8 +147,11 @@ class Index:
         self.words = [word[a:z] for a, z in zip(begin, begin[1:])]
         seen = Counter(w for x in self.words for w in set(x.tolist()))
         self.common = np.array([w for w, n in seen.items() if n > COMMON * len(items) and n > 2], np.uint64)
-        self.lists = [x.tolist() for x in self.words]
-        self.grams = [Counter(grams(x, shingle)) for x in self.words]
+        # an item with fewer words than a shingle is one, which only a text of as many words has
+        self.sizes = [min(len(x), shingle) for x in self.words]
+        own = [grams(np.array([0, len(x)]), x, k)[1] if k else np.zeros(0, np.uint64) for x, k in zip(self.words, self.sizes)]
+        self.known = {k: Grams(np.concatenate([x for x, j in zip(own, self.sizes) if j == k])) for k in set(self.sizes) - {0}}
+        self.grams = [np.unique(np.searchsorted(self.known[k].keys, x), return_counts=True) if k else None for x, k in zip(own, self.sizes)]
         groups = defaultdict(list)
         for k, x in enumerate(self.words):
             if len(x):
@@ -135,30 +161,29 @@ class Index:
         self.classes = []
         for size, members in sorted(groups.items()):
             stride = max(1, min(len(self.words[k]) - size + 1 for k in members) // 2)
-            prints, item, offset = [], [], []
+            prints, item = [], []
             for k in members:
                 at = np.arange(len(self.words[k]) - size + 1)
                 prints.append(Sums(self.words[k], self.common).prints(at, size))
                 item.append(np.full(len(at), k))
-                offset.append(at)
-            prints, item, offset = (np.concatenate(x) for x in (prints, item, offset))
+            prints, item = np.concatenate(prints), np.concatenate(item)
             tables = []
             for b in range(BLOCKS):
                 own = (prints >> np.uint64(b * block_bits)) & np.uint64((1 << block_bits) - 1)
                 key = (own.astype(np.int64)[:, None] ^ masks[None, :]).ravel()
                 order = np.argsort(key, kind="stable")
                 tables.append((np.searchsorted(key[order], np.arange((1 << block_bits) + 1)), (order // len(masks)).astype(np.int32)))
-            self.classes.append((size, stride, prints, item, offset, tables))
+            self.classes.append((size, stride, prints, item, tables))
 
-    def hits(self, begin: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(text, item, word at which the item would begin) of windows within RADIUS."""
+    def hits(self, begin: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(text, item) of windows within RADIUS."""
         if not len(word) or not self.classes:
             return
         sums = Sums(word, self.common)
         lengths = np.diff(begin)
         block_bits = 64 // BLOCKS
         found = []
-        for size, stride, prints, item, offset, tables in self.classes:
+        for size, stride, prints, item, tables in self.classes:
             n = np.maximum(0, (lengths - size) // stride + 1)
             text = np.repeat(np.arange(len(n)), n)
             at = begin[:-1][text] + stride * (np.arange(len(text)) - np.repeat(np.cumsum(n) - n, n))
@@ -171,26 +196,41 @@ class Index:
                     other = who[np.repeat(start[key] - np.cumsum(count) + count, count) + np.arange(len(window))]
                     close = np.bitwise_count(mine[window] ^ prints[other]) <= RADIUS
                     w, o = window[close] + i, other[close]
-                    found.append(np.stack([text[w], item[o], at[w] - offset[o]]))
+                    found.append(np.unique(np.stack([text[w], item[o]]), axis=1))
         if found:
             yield from map(tuple, np.unique(np.concatenate(found, axis=1), axis=1).T.tolist())
 
-    def best(self, word: np.ndarray, item: int, at: int, least: float) -> tuple[float, int, int]:
-        """The similarity of the item and the best text about there, and where that begins and ends."""
-        n, want = len(self.words[item]), self.grams[item]
-        around = word[max(0, at - SHIFT) : at + n + SHIFT]
-        # a similar text shares at least that many shingles, each of which begins at another word of the item
-        if n >= self.shingle and sum(map(set(around.tolist()).__contains__, self.lists[item])) < least * want.total():
-            return 0.0, at, at
-        if n >= self.shingle and sum((Counter(grams(around, self.shingle)) & want).values()) < least * want.total():
-            return 0.0, at, at
-        out = (0.0, at, at)
-        for a in sorted(range(at - SHIFT, at + SHIFT + 1), key=lambda a: abs(a - at)):
-            for z in sorted(range(at + n - SHIFT, at + n + SHIFT + 1), key=lambda z: abs(z - at - n)):
-                if 0 <= a < z <= len(word):
-                    out = max(out, (similarity(Counter(grams(word[a:z], self.shingle)), want), a, z), key=lambda x: x[0])
-                    if out[0] == 1.0:
-                        return out
+    def best(self, item: int, at: np.ndarray, which: np.ndarray, least: float) -> tuple[float, int, int]:
+        """The similarity of the item and the best text of a document with these shingles, and where that begins and ends.
+
+        That text begins and ends with shingles of the item: without others it is more similar.
+        """
+        own, times = self.grams[item]
+        total, out = int(times.sum()), (0.0, 0, 0)
+        k = np.minimum(np.searchsorted(own, which), len(own) - 1)
+        hit = own[k] == which
+        at, k = at[hit], k[hit]
+        # a similar text shares at least that many shingles with the item and has at most that many
+        fewest, most = max(1, math.ceil(least * total - 1e-6)), math.floor(total / least + 1e-6)
+        last = np.searchsorted(at, at + most)
+        begins = np.flatnonzero(last - np.arange(len(at)) >= fewest)
+        if not len(begins):
+            return out
+        # a shingle that the item has c times counts if the one c such shingles before it isn't in the text
+        order = np.argsort(k, kind="stable")
+        sorted_k = k[order]
+        back = np.arange(len(k)) - times[sorted_k]
+        before = np.empty(len(k), np.int64)
+        before[order] = np.where(back >= np.searchsorted(sorted_k, sorted_k), order[np.maximum(back, 0)], -1)
+        for i in begins.tolist():
+            z = last[i]
+            both = np.cumsum(before[i:z] < i)
+            found = both / (at[i:z] - at[i] + 1 + total - both)
+            j = int(found.argmax())
+            if found[j] > out[0]:
+                out = (float(found[j]), int(at[i]), int(at[i + j]) + self.sizes[item])
+                if out[0] == 1.0:
+                    break
         return out
 
 
@@ -200,11 +240,13 @@ def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.
         for a, z in steps(batch.column(1)):
             begin, word = plain_words(batch.column(1)[a:z])
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            for text, item, at in index.hits(begin, word):
-                if best.get((text, item), (0.0,))[0] < 1.0:
-                    got = index.best(word[begin[text] : begin[text + 1]], item, at - int(begin[text]), least)
-                    if got[0] >= least:
-                        best[text, item] = max(best.get((text, item), (0.0, 0, 0)), got, key=lambda x: x[0])
+            shared = {k: known.among(begin, word, k) for k, known in index.known.items()}
+            for text, item in index.hits(begin, word):
+                at, which = shared[index.sizes[item]]
+                i, j = np.searchsorted(at, begin[text : text + 2])
+                got = index.best(item, at[i:j] - begin[text], which[i:j], least)
+                if got[0] >= least:
+                    best[text, item] = got
             if best:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:z].take(pa.array([t for t, _ in best])), pa.array([index.ids[i] for _, i in best], pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*best.values()), (pa.float64(), pa.int32(), pa.int32())))],

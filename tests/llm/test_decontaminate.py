@@ -77,3 +77,27 @@ def test_multi_index_misses_nothing():
         y = x ^ np.bitwise_or.reduce(np.uint64(1) << flips.astype(np.uint64))
         assert any(bin((int(x) >> 16 * b & 65535) ^ (int(y) >> 16 * b & 65535)).count("1") <= D.RADIUS // D.BLOCKS for b in range(4))
     assert len(D.near(16, 2)) == 137
+
+
+def brute_all(words, item, least=0.8):
+    """The largest similarity of the item and a text of any length that may reach least."""
+    n = len(item)
+    return max((sim(words[a:z], item) for z in range(len(words) + 1) for a in range(max(0, z - int(n / least) - 5), z - int(least * n) + 5) if a < z), default=0.0)
+
+
+@pytest.mark.parametrize("n,insert,delete", [(100, 15, 0), (100, 0, 12), (60, 5, 0), (60, 0, 4)])
+def test_longer_and_shorter_copies(spark, n, insert, delete):
+    """A phrase put into or taken out of a copy, up to the threshold."""
+    rnd = random.Random(n + insert + delete)
+    say = lambda m: ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(m)]
+    items = [(k, say(n)) for k in range(4)]
+    docs = []
+    for k, item in items:
+        at = rnd.randrange(n // 4, n - n // 4 - delete)
+        docs.append((k, say(rnd.randrange(30)) + item[:at] + say(insert) + item[at + delete :] + say(rnd.randrange(30))))
+    got = D.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"), spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()
+    want = {d: brute_all(w, items[d][1]) for d, w in docs}
+    assert {(r.doc_id, r.item_id): r.similarity for r in got} == {(d, d): s for d, s in want.items() if s >= 0.8}
+    assert len(got) == 4
+    for r in got:
+        assert r.similarity == sim(docs[r.doc_id][1][r.start_word : r.end_word], items[r.item_id][1])
