@@ -8,6 +8,9 @@ in one block at least, so looking up each block's neighbourhood misses none of t
 weighted similarity of word shingles decides: the sum over shingles of the smaller count over that of the larger count,
 for the best of all texts of the document, whatever their length. Shingles are compared as 64-bit hashes.
 
+Fingerprints alone miss copies whose changes stand close together. So the shortest window, the shingle, is looked up too, as it is: an item meets every
+document that has one of its rarest shingles, as many of them as leave too few others for the similarity. That misses no similar text.
+
 Words are what white space leaves, lower-cased, less the punctuation around them. SimHash leaves out words that stand in more than COMMON of the items.
 
 Null and empty texts and items match nothing; items with fewer words than a shingle are one shingle. Repeated rows each give their own
@@ -90,11 +93,21 @@ def grams(begin: np.ndarray, word: np.ndarray, size: int) -> tuple[np.ndarray, n
     return at, mix(out[at])
 
 
+def fewest(total: int, least: float) -> int:
+    """Of so many shingles, how many a text of similarity least has in common with them."""
+    return max(1, math.ceil(least * total - 1e-6))
+
+
 class Grams:
-    """The different shingles of one size of all items."""
+    """The different shingles of one size of all items, and which items look for which.
+
+    A text similar to an item shares at least fewest(item) of its shingles; so of any others and one more it has at least one. Each item looks for
+    its rarest such shingles.
+    """
 
     def __init__(self, keys: np.ndarray):
-        self.keys = np.unique(keys)
+        self.keys, self.seen = np.unique(keys, return_counts=True)
+        self.seekers: list[tuple[int, int]] = []
         self.shift = np.uint64(64 - min(26, len(self.keys).bit_length() + 4))
         self.some = np.zeros(1 << 64 - int(self.shift), bool)
         self.some[self.keys >> self.shift] = True
@@ -108,6 +121,22 @@ class Grams:
         same = self.keys[which] == key
         return at[same], which[same]
 
+    def look_for(self, item: int, own: np.ndarray, times: np.ndarray, spare: int) -> None:
+        rare = np.argsort(self.seen[own], kind="stable")
+        enough = int(np.searchsorted(np.cumsum(times[rare]), spare + 1)) + 1
+        self.seekers += [(k, item) for k in own[rare[:enough]].tolist()]
+
+    def ready(self) -> None:
+        pairs = np.array(sorted(self.seekers), np.int64).reshape(-1, 2)
+        self.start = np.searchsorted(pairs[:, 0], np.arange(len(self.keys) + 1))
+        self.item, self.seekers = pairs[:, 1], []
+
+    def sought(self, begin: np.ndarray, at: np.ndarray, which: np.ndarray) -> np.ndarray:
+        """(text, item) of items that look for one of the texts' shingles."""
+        count = self.start[which + 1] - self.start[which]
+        text = np.repeat(np.searchsorted(begin, at, side="right") - 1, count)
+        return np.stack([text, self.item[np.repeat(self.start[which] - np.cumsum(count) + count, count) + np.arange(len(text))]])
+
 
 class Sums:
     """Prefix sums of word bits, from which windows get their fingerprints.
@@ -140,8 +169,7 @@ def near(bits: int, radius: int) -> np.ndarray:
 class Index:
     """Multi-index over the items' window fingerprints, by window size."""
 
-    def __init__(self, items: list[tuple], shingle: int):
-        self.shingle = shingle
+    def __init__(self, items: list[tuple], shingle: int, least: float):
         begin, word = plain_words(pa.array([t for _, t in items], pa.string()))
         self.ids = [i for i, _ in items]
         self.words = [word[a:z] for a, z in zip(begin, begin[1:])]
@@ -152,6 +180,12 @@ class Index:
         own = [grams(np.array([0, len(x)]), x, k)[1] if k else np.zeros(0, np.uint64) for x, k in zip(self.words, self.sizes)]
         self.known = {k: Grams(np.concatenate([x for x, j in zip(own, self.sizes) if j == k])) for k in set(self.sizes) - {0}}
         self.grams = [np.unique(np.searchsorted(self.known[k].keys, x), return_counts=True) if k else None for x, k in zip(own, self.sizes)]
+        for item, k in enumerate(self.sizes):
+            if k:
+                total = int(self.grams[item][1].sum())
+                self.known[k].look_for(item, *self.grams[item], total - fewest(total, least))
+        for known in self.known.values():
+            known.ready()
         groups = defaultdict(list)
         for k, x in enumerate(self.words):
             if len(x):
@@ -175,14 +209,14 @@ class Index:
                 tables.append((np.searchsorted(key[order], np.arange((1 << block_bits) + 1)), (order // len(masks)).astype(np.int32)))
             self.classes.append((size, stride, prints, item, tables))
 
-    def hits(self, begin: np.ndarray, word: np.ndarray) -> Iterator[tuple[int, int]]:
+    def hits(self, begin: np.ndarray, word: np.ndarray) -> np.ndarray:
         """(text, item) of windows within RADIUS."""
         if not len(word) or not self.classes:
-            return
+            return np.zeros((2, 0), np.int64)
         sums = Sums(word, self.common)
         lengths = np.diff(begin)
         block_bits = 64 // BLOCKS
-        found = []
+        found = [np.zeros((2, 0), np.int64)]
         for size, stride, prints, item, tables in self.classes:
             n = np.maximum(0, (lengths - size) // stride + 1)
             text = np.repeat(np.arange(len(n)), n)
@@ -197,8 +231,7 @@ class Index:
                     close = np.bitwise_count(mine[window] ^ prints[other]) <= RADIUS
                     w, o = window[close] + i, other[close]
                     found.append(np.unique(np.stack([text[w], item[o]]), axis=1))
-        if found:
-            yield from map(tuple, np.unique(np.concatenate(found, axis=1), axis=1).T.tolist())
+        return np.concatenate(found, axis=1)
 
     def best(self, item: int, at: np.ndarray, which: np.ndarray, least: float) -> tuple[float, int, int]:
         """The similarity of the item and the best text of a document with these shingles, and where that begins and ends.
@@ -211,9 +244,8 @@ class Index:
         hit = own[k] == which
         at, k = at[hit], k[hit]
         # a similar text shares at least that many shingles with the item and has at most that many
-        fewest, most = max(1, math.ceil(least * total - 1e-6)), math.floor(total / least + 1e-6)
-        last = np.searchsorted(at, at + most)
-        begins = np.flatnonzero(last - np.arange(len(at)) >= fewest)
+        last = np.searchsorted(at, at + math.floor(total / least + 1e-6))
+        begins = np.flatnonzero(last - np.arange(len(at)) >= fewest(total, least))
         if not len(begins):
             return out
         # a shingle that the item has c times counts if the one c such shingles before it isn't in the text
@@ -241,7 +273,8 @@ def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.
             begin, word = plain_words(batch.column(1)[a:z])
             best: dict[tuple[int, int], tuple[float, int, int]] = {}
             shared = {k: known.among(begin, word, k) for k, known in index.known.items()}
-            for text, item in index.hits(begin, word):
+            met = [index.hits(begin, word), *(known.sought(begin, *shared[k]) for k, known in index.known.items())]
+            for text, item in np.unique(np.concatenate(met, axis=1), axis=1).T.tolist():
                 at, which = shared[index.sizes[item]]
                 i, j = np.searchsorted(at, begin[text : text + 2])
                 got = index.best(item, at[i:j] - begin[text], which[i:j], least)
@@ -263,7 +296,7 @@ def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float =
     out = None
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], shingle))
+        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], shingle, least))
         found = docs.mapInArrow(lambda it, index=index: scan(it, index, least), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, start_word int, end_word int")
         out = found if out is None else out.union(found)
     return out

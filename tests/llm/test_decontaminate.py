@@ -101,3 +101,16 @@ def test_longer_and_shorter_copies(spark, n, insert, delete):
     assert len(got) == 4
     for r in got:
         assert r.similarity == sim(docs[r.doc_id][1][r.start_word : r.end_word], items[r.item_id][1])
+
+
+@pytest.mark.parametrize("n,replaced", [(100, 6), (200, 17), (300, 28), (340, 33)])
+def test_recall_at_the_threshold(spark, n, replaced):
+    """One run of words in the middle replaced, so that the similarity is just above 0.8: every such copy is found."""
+    rnd = random.Random(n)
+    say = lambda m: ["".join(rnd.choice("abcdefgh") for _ in range(7)) for _ in range(m)]
+    items = [(k, say(n)) for k in range(60)]
+    a = (n - replaced) // 2
+    docs = [(k, say(rnd.randrange(40)) + w[:a] + say(replaced) + w[a + replaced :] + say(rnd.randrange(40))) for k, w in items]
+    got = D.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"), spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()
+    least = (n - 4 - replaced - 4) / (n - 4 + replaced + 4)
+    assert 0.8 <= least < 0.83 and sorted((r.doc_id, r.item_id, r.similarity) for r in got) == [(k, k, least) for k in range(60)]
