@@ -1,17 +1,17 @@
-"""Substring dedup: passages that stand in several documents, found by content-defined chunks.
+"""Substring dedup: passages that stand in several documents, word for word.
 
-Method: a gear hash rolls over a text's UTF-8 bytes; where it falls below a bound, a chunk ends. Boundaries depend on the
-WINDOW bytes before them alone, so an insertion moves only the boundaries around it, and a passage has the same
-inner chunks wherever it stands. Chunks are deduplicated by 128-bit digest; a digest that several documents hold is
-repeated. A run of repeated chunks of one document that covers at least min_words words is a repeated passage. Each
-of its chunks stays in the document with the smallest doc_id that holds it and goes from the others.
+A passage is a run of windows of min_words words each of which stands in another document too. Each window stays in the document with the
+smallest doc_id that holds it (of texts with one doc_id, that with the smallest hash) and goes from the others. Words are what white space leaves;
+how much white space stands between them doesn't matter.
 
-A passage's outermost words may belong to chunks that reach into the text around it, so its span is up to a chunk
-shorter at either end; min_words is set below the length of the passages that are to be found.
+Method: winnowing. Of the hashes of half as many words, the smallest in a window is its fingerprint, which depends on the window's words alone: equal
+windows have the same one, and neighbouring windows mostly share it. Fingerprints of single texts are dropped by an aggregation; only windows
+with a repeated fingerprint are compared, by their own 64-bit hashes. So no passage is missed, wherever it begins and ends.
 
-Null and empty texts have no chunks. Repeated rows (one doc_id) are one document; a null doc_id is a document too,
-after all others. Digests of single documents are dropped by an aggregation that combines before the shuffle; the
-chunks meet the repeated digests in a plain join, which Spark splits where one digest is frequent.
+Null and empty texts have no windows. Repeated rows (one doc_id, one text) are one document; different texts of one doc_id are different
+documents, those of a null doc_id too, after all others.
+
+chunks and passages find runs of content-defined chunks that repeat; they are short by up to a chunk at either end.
 """
 
 from __future__ import annotations
@@ -21,11 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from labharm.llm.common import SPACE, cut, mix, small, steps
+from labharm.llm.common import SPACE, cut, hashes, mix, small, steps, words
+from labharm.llm.decontaminate import grams
 
 #: Bytes that decide a boundary, mean bytes of a chunk, and the shortest chunk that counts; shorter ones belong to a run if those around do.
 WINDOW, MEAN, SHORTEST = 16, 24, 12
@@ -102,33 +103,122 @@ def passages(docs: DataFrame, min_words: int = 25) -> DataFrame:
     return out.filter(F.col("words") >= min_words).select(null("doc").alias("doc_id"), "begin", "end", "words", null("first_doc").alias("first_doc"))
 
 
+def window_prints(texts: pa.Array, min_words: int) -> tuple[np.ndarray, ...]:
+    """Each text's first word, the words at which windows begin, the windows' hashes and their fingerprints."""
+    begin, code, vocabulary = words(texts, lower=False)
+    word = hashes(vocabulary)[code]
+    at, whole = grams(begin, word, min_words)
+    part = (min_words + 1) // 2
+    inner = np.zeros(len(word), np.uint64)
+    where, inner_hash = grams(begin, word, part)
+    inner[where] = inner_hash
+    least = inner[at]
+    for k in range(1, min_words - part + 1):
+        np.minimum(least, inner[at + k], out=least)
+    return begin, at, whole, least
+
+
+def word_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word begins and ends, in bytes of its text."""
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    texts = pa.concat_arrays([texts])
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    edges = offsets - offsets[0]
+    word = ~SPACES[data]
+    starts, ends = word.copy(), word.copy()
+    starts[1:] &= ~word[:-1]
+    ends[:-1] &= ~word[1:]
+    full = edges[:-1][np.diff(edges) > 0]
+    starts[full] = word[full]
+    ends[full[1:] - 1] = word[full[1:] - 1]
+    starts, ends = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    own = edges[np.searchsorted(edges, starts, side="right") - 1]
+    return starts - own, ends - own
+
+
+def winnow(batches: Iterator[pa.RecordBatch], min_words: int, places: bool) -> Iterator[pa.RecordBatch]:
+    """doc, key, text -> print, doc, key for each run of windows with one fingerprint; with places also the windows: first word, bytes, hash."""
+    for batch in batches:
+        for a, z in steps(batch.column(2)):
+            texts = batch.column(2)[a:z]
+            begin, at, whole, least = window_prints(texts, min_words)
+            if not len(at):
+                continue
+            text = np.searchsorted(begin, at, side="right") - 1
+            first = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (least[1:] != least[:-1])]))
+            row = pa.array(text[first])
+            columns = {"print": pa.array(least[first].view(np.int64)), "doc": batch.column(0)[a:z].take(row), "key": batch.column(1)[a:z].take(row)}
+            if places:
+                starts, ends = word_bytes(texts)
+                offsets = pa.array(np.append(first, len(at)).astype(np.int32))
+                columns["at"] = pa.array((at - begin[text])[first].astype(np.int32))
+                columns["begins"] = pa.ListArray.from_arrays(offsets, pa.array(starts[at].astype(np.int32)))
+                columns["ends"] = pa.ListArray.from_arrays(offsets, pa.array(ends[at + min_words - 1].astype(np.int32)))
+                columns["windows"] = pa.ListArray.from_arrays(offsets, pa.array(whole.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
+
+def text_key() -> Column:
+    return F.xxhash64("text")
+
+
+def repeats(docs: DataFrame, min_words: int = 25) -> DataFrame:
+    """doc_id, key (of the text), begin, end (bytes), words, first_doc, mine, fresh: each text's passages that others have too.
+
+    A passage whose windows stand first partly in the text itself (mine), partly in others, gives a row for each such part; words are the
+    whole passage's. first_doc is the smallest document that keeps windows of the part; fresh, the part's bytes that no part before it of the same kind has.
+    """
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_key().alias("key"), "text")
+    prints = rows.mapInArrow(lambda it: winnow(it, min_words, False), "print long, doc long, key long").select("print", F.xxhash64("doc", "key").alias("holder"))
+    repeated = prints.groupBy("print").agg(F.min("holder").alias("a"), F.max("holder").alias("z")).filter("a <> z").select("print")
+    repeated = cut(repeated, "substring-prints")
+    placed = rows.mapInArrow(lambda it: winnow(it, min_words, True), "print long, doc long, key long, at int, begins array<int>, ends array<int>, windows array<long>")
+    placed = cut(placed.join(small(repeated, BROADCAST_ROWS), "print", "left_semi"), "substring-windows")
+    holders = placed.select(F.explode("windows").alias("window"), F.struct("doc", "key").alias("holder"))
+    first = holders.groupBy("window").agg(F.min("holder").alias("first"), F.max("holder").alias("last")).filter("first <> last").select("window", F.col("first.doc").alias("first_doc"), F.col("first.key").alias("first_key"))
+    each = placed.select("doc", "key", "at", F.posexplode(F.arrays_zip("windows", "begins", "ends")).alias("i", "w"))
+    each = each.select("doc", "key", (F.col("at") + F.col("i")).alias("at"), F.col("w.windows").alias("window"), F.col("w.begins").alias("begin"), F.col("w.ends").alias("end"))
+    found = each.join(first, "window").select("doc", "key", "at", "begin", "end", "first_doc", ((F.col("first_doc") == F.col("doc")) & (F.col("first_key") == F.col("key"))).alias("mine"))
+    found = found.repartition("doc", "key").dropDuplicates(["doc", "key", "at"])
+    run = found.withColumn("run", F.col("at") - F.row_number().over(W.partitionBy("doc", "key").orderBy("at"))).withColumn("turn", F.col("at") - F.row_number().over(W.partitionBy("doc", "key", "mine").orderBy("at")))
+    out = run.groupBy("doc", "key", "run", "mine", "turn").agg(F.min("begin").alias("begin"), F.max("end").alias("end"), F.min("at").alias("a"), F.max("at").alias("z"), F.min("first_doc").alias("first_doc"))
+    whole = W.partitionBy("doc", "key", "run")
+    before = W.partitionBy("doc", "key", "mine").orderBy("begin").rowsBetween(W.unboundedPreceding, -1)
+    out = out.withColumn("words", (F.max("z").over(whole) - F.min("a").over(whole) + min_words).cast("long")).withColumn("fresh", F.col("end") - F.greatest("begin", F.max("end").over(before)))
+    null = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(f"{c}_id" if c == "doc" else c)
+    return out.select(null("doc"), "key", "begin", "end", "words", null("first_doc"), "mine", "fresh")
+
+
 def without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Takes the spans in the last column out of the text in the one before."""
     for batch in batches:
         texts = []
         for text, spans in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
             if spans:
-                raw = text.encode()
-                for span in sorted(spans, key=lambda s: -s["begin"]):
-                    raw = raw[: span["begin"]] + raw[span["end"] :]
-                text = raw.decode(errors="ignore")
+                raw, kept, at = text.encode(), [], 0
+                for span in sorted(spans, key=lambda s: s["begin"]):
+                    kept.append(raw[at : max(at, span["begin"])])
+                    at = max(at, span["end"])
+                text = b"".join([*kept, raw[at:]]).decode()
             texts.append(text)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(texts, pa.string())], names=batch.schema.names[:-1])
 
 
 def dedup(docs: DataFrame, min_words: int = 25) -> DataFrame:
-    """docs with each repeated passage only where it stands first. A character cut in two by a span's edge goes too."""
-    gone = passages(docs, min_words).filter(~F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    gone = gone.groupBy("doc_id").agg(F.collect_list(F.struct("begin", "end")).alias("__spans")).withColumnRenamed("doc_id", "__doc")
+    """docs with each repeated passage only where it stands first."""
+    gone = repeats(docs, min_words).filter("not mine")
+    gone = gone.groupBy("doc_id", "key").agg(F.collect_list(F.struct("begin", "end")).alias("__spans")).withColumnsRenamed({"doc_id": "__doc", "key": "__key"})
     columns = [c for c in docs.columns if c != "text"]
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__doc")), "left").select(*columns, "text", "__spans")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (text_key() == F.col("__key"))
+    joined = docs.join(gone, same, "left").select(*columns, "text", "__spans")
     schema = docs.select(*columns, "text").schema
     return joined.mapInArrow(without, schema).select(*docs.columns)
 
 
 def summary(docs: DataFrame, min_words: int = 25) -> DataFrame:
     """A row for each document with repeated passages: their parts, how many of them go, the longest one's words, and the documents that keep them."""
-    here = ~F.col("doc_id").eqNullSafe(F.col("first_doc"))
-    return passages(docs, min_words).groupBy("doc_id").agg(
-        F.count("*").alias("n_parts"), F.count_if(here).alias("n_removed"), F.max("words").alias("longest_words"), F.coalesce(F.sum(F.when(here, F.col("end") - F.col("begin"))), F.lit(0)).cast("long").alias("removed_bytes"), F.sort_array(F.collect_set("first_doc")).alias("first_docs")
+    here = ~F.col("mine")
+    return repeats(docs, min_words).groupBy("doc_id").agg(
+        F.count("*").alias("n_parts"), F.count_if(here).alias("n_removed"), F.max("words").alias("longest_words"), F.coalesce(F.sum(F.when(here, F.col("fresh"))), F.lit(0)).cast("long").alias("removed_bytes"), F.sort_array(F.collect_set("first_doc")).alias("first_docs")
     )

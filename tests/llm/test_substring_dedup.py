@@ -82,3 +82,55 @@ def test_texts(spark, docs):
     assert firsts == [11, 13]  # the first holder of each passage keeps it
     assert len(out[33].text.split()) < len(dict(docs)[33].split()) - 25
     assert S.passages(df.limit(0)).collect() == []
+
+
+def plain(rows, k):
+    """(doc, text) -> words that go, and the longest passage, by comparing all windows of k words."""
+    texts = sorted({(S.NO_ID if d is None else d, t) for d, t in rows if t}, key=lambda x: x[0])
+    holders = defaultdict(set)
+    for d, t in texts:
+        w = t.split()
+        for i in range(len(w) - k + 1):
+            holders[tuple(w[i : i + k])].add((d, t))
+    out = {}
+    for d, t in texts:
+        w, gone, longest, run = t.split(), set(), 0, 0
+        for i in range(len(w) - k + 1):
+            who = holders[tuple(w[i : i + k])]
+            run = run + 1 if len(who) > 1 else 0
+            longest = max(longest, run and run + k - 1)
+            if min(x[0] for x in who) < d:
+                gone |= set(range(i, i + k))
+        if longest:
+            out[d, t] = [x for i, x in enumerate(w) if i not in gone], longest
+    return out
+
+
+def test_whole_passages(spark):
+    """Passages of just min_words words, periodic ones, and phrases of several documents one after the other, which are none."""
+    rnd = random.Random(8)
+    exact, long = say(rnd, 25), say(rnd, 70)
+    phrases = [say(rnd, 12) for _ in range(6)]
+    rows = [(k, f"{say(rnd, 9)} {p} {say(rnd, 9)}") for k, p in enumerate(phrases)]
+    rows += [(10, f"{say(rnd, 7)} {exact} {say(rnd, 7)}"), (11, f"{say(rnd, 3)}  {exact}\n{say(rnd, 3)}"), (12, f"{say(rnd, 3)} {' '.join(exact.split()[:24])} {say(rnd, 3)}")]
+    rows += [(13, say(rnd, 2) + " 1 2" * 40), (14, say(rnd, 3) + " 1 2" * 30 + " " + say(rnd, 2)), (20, " ".join(phrases))]
+    rows += [(21, long), (22, f"{' '.join(long.split()[20:])} {exact}"), (0, exact.split()[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = plain(rows, 25)
+    assert {d for d, _ in want} == {10, 11, 13, 14, 21, 22}
+    got = {r.doc_id: r for r in S.summary(df).collect()}
+    assert {d: r.longest_words for d, r in got.items()} == {d: n for (d, _), (_, n) in want.items()}
+    by = {(r.doc_id, r.text) for r in S.dedup(df).collect()}
+    assert {(d, " ".join(t.split())) for d, t in by} == {(d, " ".join(want.get((d, t), (t.split(),))[0])) for d, t in rows}
+
+
+def test_rows_with_one_id(spark):
+    """Different texts of one doc_id, or of none, are documents of their own."""
+    rnd = random.Random(9)
+    a, b, c = (say(rnd, 30) for _ in range(3))
+    rows = [(None, f"{a} {say(rnd, 5)}"), (None, say(rnd, 60)), (1, f"{say(rnd, 4)} {b}"), (1, say(rnd, 60)), (1, f"{b} {say(rnd, 8)}"), (7, f"{a} tail"), (7, c), (7, c)]
+    out = sorted((r.doc_id or 0, r.text) for r in S.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    texts = [t for _, t in out]
+    assert len(out) == len(rows) and texts.count(c) == 2 and {rows[1][1], rows[3][1], f"{a} tail"} <= set(texts)
+    assert sum(b in t for t in texts) == sum(a in t for t in texts) == 1
+    assert sum(len(t.split()) for t in texts) == sum(len(t.split()) for _, t in rows) - 60
