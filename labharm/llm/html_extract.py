@@ -29,7 +29,11 @@ from labharm.llm.common import sample
 
 SAMPLE, LEAST = 2000, 20
 # Element names of HTML by their role.
-RAW = frozenset("script style template noscript svg math iframe object canvas select textarea button audio video".split())
+#: Raw text, up to the closing tag or the end of the page.
+RAW = frozenset("script style textarea iframe".split())
+#: Elements whose text isn't shown or isn't content; NARROW ones hold no blocks, so the next block ends them if nothing else does.
+SKIPPED = frozenset("template noscript svg object canvas select button audio video annotation annotation-xml".split())
+NARROW = frozenset("select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 LANDMARKS = frozenset("nav header footer aside form menu head title dialog fieldset article main".split())
@@ -46,8 +50,9 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/>]|$)|display\s*:\s*none|aria-hidden
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
-    """(kind, name or text, attributes): kinds are text, open, close. Comments, declarations and raw elements give none."""
+    """(kind, name or text, attributes): kinds are text, open, close, and skip, from which an element is left out. Comments, declarations and raw elements give none."""
     at, n = 0, len(page)
+    lower, last_close = page.lower() if page.isascii() else "".join(c.lower() if c.isascii() else c for c in page), {}
     while at < n:
         lt = page.find("<", at)
         if lt < 0:
@@ -78,7 +83,14 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         elif tag in RAW:
             close = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, end)
             end = close.end() if close else n
-            yield "open", "hr" if tag in ("iframe", "object") else "wbr", ""
+            yield "open", "hr" if tag == "iframe" else "wbr", ""
+        elif tag in SKIPPED:
+            if tag not in last_close:
+                last_close[tag] = lower.rfind(f"</{tag}")
+            # one that ends itself or never ends holds nothing
+            yield "open", "hr" if tag == "object" else "wbr", ""
+            if last_close[tag] >= end and not page.endswith("/>", at, end):
+                yield "skip", tag, ""
         else:
             yield "open", tag, page[name.end() : end]
         at = end
@@ -94,7 +106,31 @@ def parse(page: str) -> list[tuple]:
     out: list[tuple] = []
     stack: list[tuple[str, str]] = []  # block elements that are open, with the nearest landmark
     block = inside = 0
+    skipped, depth, within = "", 0, []  # the element being left out, how often it is open, and the blocks open in it
     for kind, value, attributes in tokens(page):
+        if kind == "skip":
+            if not skipped:
+                skipped, depth, within = value, 1, []
+            elif value == skipped and value not in NARROW:
+                depth += 1
+            continue
+        if skipped:
+            if kind == "close" and value == skipped:
+                depth -= 1
+                skipped = skipped if depth else ""
+                continue
+            if kind == "text" or value not in BLOCKS or value in VOID:
+                continue
+            if skipped not in NARROW:
+                if kind == "open":
+                    within.append(value)
+                    continue
+                if value in within or all(x[0] != value for x in stack):
+                    while value in within:
+                        if within.pop() == value:
+                            break
+                    continue
+            skipped = ""
         if kind == "text":
             if not value.isspace():
                 landmark, name = (stack[-1][1], stack[-1][0]) if stack else ("-", "-")

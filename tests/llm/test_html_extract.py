@@ -83,3 +83,21 @@ def test_edges(spark):
     assert got == [(0, 499_999), (1, 0), (1, 0)]
     empty = pages.limit(0)
     assert H.texts(empty, H.fit(empty)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<p>before it <svg viewBox='0 0 1 1'/> after it</p><p>more text</p>", "before it after it\nmore text"),
+        ("<p>formula <math><mi>x</mi><mo>+</mo><mn>1</mn></math> stands here</p>", "formula x+1 stands here"),
+        ("<p>empty <math/> formula</p><p>more text</p>", "empty formula\nmore text"),
+        ("<p>one two</p><object data=x /><p>three four</p>", "one two\nthree four"),
+        ("<p>one two <button>Buy</p><p>three four five</p><div><button>Sell</button></div><p>six seven eight</p>", "one two\nthree four five\nsix seven eight"),
+        ("<p>one two</p><audio src=x><p>three four</p>", "one two\nthree four"),
+        ("<div><p>one two</p><video><p>no player</p></div><p>three four</p><video><p>none</p></video>", "one two\nthree four"),
+        ("<p>one <svg><svg><text>label</text></svg><text>label</text></svg> two</p>", "one two"),
+        ("<p>one two</p><script>x</script ><p>three</p><style>never closed <p>no</p>", "one two\nthree"),
+    ],
+)
+def test_elements_left_out(page, want):
+    assert H.extract(page, BLANK) == want
