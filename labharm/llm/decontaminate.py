@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import cut, mix, small, steps, words
+from labharm.llm.common import mix, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: A window's words as a share of its items', and at most, so that counts of words fit a byte.
@@ -266,20 +266,26 @@ class Index:
         return out
 
 
+def found_in(texts: pa.Array, index: Index, least: float) -> dict[tuple[int, int], tuple[float, int, int]]:
+    """(text, item) of items found -> similarity, first word, word after the last."""
+    begin, word = plain_words(texts)
+    best = {}
+    shared = {k: known.among(begin, word, k) for k, known in index.known.items()}
+    met = [index.hits(begin, word), *(known.sought(begin, *shared[k]) for k, known in index.known.items())]
+    for text, item in np.unique(np.concatenate(met, axis=1), axis=1).T.tolist():
+        at, which = shared[index.sizes[item]]
+        i, j = np.searchsorted(at, begin[text : text + 2])
+        got = index.best(item, at[i:j] - begin[text], which[i:j], least)
+        if got[0] >= least:
+            best[text, item] = got
+    return best
+
+
 def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.RecordBatch]:
     index = index.value
     for batch in batches:
         for a, z in steps(batch.column(1)):
-            begin, word = plain_words(batch.column(1)[a:z])
-            best: dict[tuple[int, int], tuple[float, int, int]] = {}
-            shared = {k: known.among(begin, word, k) for k, known in index.known.items()}
-            met = [index.hits(begin, word), *(known.sought(begin, *shared[k]) for k, known in index.known.items())]
-            for text, item in np.unique(np.concatenate(met, axis=1), axis=1).T.tolist():
-                at, which = shared[index.sizes[item]]
-                i, j = np.searchsorted(at, begin[text : text + 2])
-                got = index.best(item, at[i:j] - begin[text], which[i:j], least)
-                if got[0] >= least:
-                    best[text, item] = got
+            best = found_in(batch.column(1)[a:z], index, least)
             if best:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[a:z].take(pa.array([t for t, _ in best])), pa.array([index.ids[i] for _, i in best], pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*best.values()), (pa.float64(), pa.int32(), pa.int32())))],
@@ -287,22 +293,37 @@ def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.
                 )
 
 
-def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
-    """doc_id, item_id, similarity, start_word, end_word: an item found in a document, once, at its best place."""
+def indexes(docs: DataFrame, benchmark: DataFrame, shingle: int, least: float, block_items: int) -> Iterator:
+    """Broadcast indexes of blocks of items."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
     blocks = max(1, -(-items.count() // block_items))
-    out = None
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], shingle, least))
+        yield spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], shingle, least))
+
+
+def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
+    """doc_id, item_id, similarity, start_word, end_word: an item found in a document, once, at its best place."""
+    docs = docs.select("doc_id", "text")
+    out = None
+    for index in indexes(docs, benchmark, shingle, least, block_items):
         found = docs.mapInArrow(lambda it, index=index: scan(it, index, least), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, start_word int, end_word int")
         out = found if out is None else out.union(found)
     return out
 
 
-def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of docs in which no item is found; rows with one doc_id, null included, share their fate."""
-    hit = cut(find(docs, benchmark, shingle, least).select(F.col("doc_id").alias("__doc")).distinct(), "decontaminate-hit")
-    return docs.join(small(hit, 1_000_000), F.col("doc_id").eqNullSafe(F.col("__doc")), "left_anti")
+def clean(batches: Iterator[pa.RecordBatch], at: int, index, least: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keep = np.ones(batch.num_rows, bool)
+        for a, z in steps(batch.column(at)):
+            keep[[a + t for t, _ in found_in(batch.column(at)[a:z], index.value, least)]] = False
+        yield batch.filter(pa.array(keep))
+
+
+def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
+    """The rows of docs in which no item is found, whatever their doc_id."""
+    at, schema = docs.columns.index("text"), docs.schema
+    for index in indexes(docs, benchmark, shingle, least, block_items):
+        docs = docs.mapInArrow(lambda it, index=index: clean(it, at, index, least), schema)
+    return docs

@@ -34,6 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from labharm.llm.common import cut, hashes, mix, shingles, small, steps, words
 
@@ -319,9 +320,16 @@ def checked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, nu
     return sure.union(met.filter("not maybe"))
 
 
-def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
-    """doc_id, n_shingles, component_id of documents (doc_id, text): components under Jaccard >= num / den."""
-    num, den = similarity
+def with_nodes(batches: Iterator[pa.RecordBatch], at: int, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows with the node of the text in column at, and how many shingles it has."""
+    for batch in batches:
+        for a, z in steps(batch.column(at)):
+            sets = distinct_sets(batch.column(at)[a:z], size)
+            yield pa.RecordBatch.from_arrays([*(c[a:z] for c in batch.columns), pa.array([set_id(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())], names=[*batch.schema.names, "__node", "__n"])
+
+
+def named(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """doc_id, n, node, component of each row: its number of shingles, its set, and the component of that."""
     docs = docs.select("doc_id", "text")
     members = cut(docs.mapInArrow(lambda it: ids(it, size), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node long, sketch binary"), "ngram-members")
     table = buckets(docs, size, num, den)
@@ -339,10 +347,15 @@ def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -
     more = cut(more, "ngram-more")
     if more.limit(1).count():
         found = cut(components(links.union(more)), "ngram-components")
-    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return members.join(found, "node", "left").select("doc_id", "n", "node", F.coalesce("component", "node").alias("component"))
+
+
+def join(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
+    """doc_id, n_shingles, component_id of documents (doc_id, text): components under Jaccard >= num / den."""
+    rows = named(docs, size, *similarity)
     # documents without shingles stay alone
-    least = named.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
-    out = named.join(least, "component", "left")
+    least = rows.filter("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
+    out = rows.join(least, "component", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -354,10 +367,23 @@ def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id; rows with one doc_id are judged together, and equal ones of these stay once."""
-    found = join(docs, size, similarity)
-    stay = found.groupBy("doc_id").agg(F.bool_or(F.col("component_id").eqNullSafe(F.col("doc_id"))).alias("__stay"), F.count("*").alias("__rows")).filter("__stay").withColumnRenamed("doc_id", "__doc")
-    stay = small(cut(stay, "ngram-stay"), BROADCAST_ROWS)
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("__doc")))
-    once = kept.filter("__rows = 1").select(*docs.columns)
-    return once.union(kept.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id", "text"]))
+    """One row of each component: of those with the smallest doc_id (nulls last) that with the smallest set and hash of the text.
+
+    Rows without shingles stay, equal ones once.
+    """
+    rows = cut(named(docs, size, *similarity), "ngram-named")
+    least = rows.filter("n > 0").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("least")).select("least.doc_id", "least.node")
+    several = rows.groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("__id"), F.lit(True).alias("several"))
+    stay = least.union(rows.filter("n = 0").select("doc_id", "node").distinct())
+    stay = cut(stay.join(several, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select(F.col("doc_id").alias("__doc"), F.col("node").alias("__stays"), F.coalesce("several", F.lit(False)).alias("several")), "ngram-stay")
+    same = F.col("doc_id").eqNullSafe(F.col("__doc"))
+    once = docs.join(small(stay.filter("not several").select("__doc"), BROADCAST_ROWS), same, "left_semi").select(*docs.columns)
+    # which row of a doc_id it is that stays, its text tells
+    stay = stay.filter("several")
+    at, schema = docs.columns.index("text"), StructType([*docs.schema.fields, StructField("__node", LongType()), StructField("__n", LongType())])
+    more = docs.join(small(stay.select("__doc").distinct(), BROADCAST_ROWS), same, "left_semi").select(*docs.columns).mapInArrow(lambda it: with_nodes(it, at, size), schema)
+    more = more.join(stay, (F.col("__node") == F.col("__stays")) & same, "left_semi").withColumn("__key", F.xxhash64("text"))
+    more = cut(more.dropDuplicates(["doc_id", "__node", "__key"]), "ngram-several")
+    first = more.groupBy(F.col("doc_id").alias("__doc"), F.col("__node").alias("__stays")).agg(F.min("__key").alias("__first"))
+    more = more.join(first, (F.col("__node") == F.col("__stays")) & same).filter("__n = 0 or __key = __first")
+    return once.union(more.select(*docs.columns))

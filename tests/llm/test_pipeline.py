@@ -1,5 +1,7 @@
+import random
+
 import corpus_pipeline as P
-from labharm.llm import catalog, decontaminate, toxicity
+from labharm.llm import catalog, decontaminate, ngram_join, toxicity
 from labharm.llm.ngram_join import join
 
 SF = "/root/testdata/sf0.001"
@@ -37,3 +39,19 @@ def test_edges(spark):
             docs = f(spark, docs, SF)
             assert docs.columns == schema.names
         assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count() <= 1
+
+
+def test_rows_of_one_id(spark):
+    """Rows that share a doc_id, or have none, are judged one by one."""
+    rnd = random.Random(4)
+    say = lambda n: ["".join(rnd.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+    a, b, c, d, e, item = ([say(60) for _ in range(6)])
+    near = lambda w: [*w[:-1], "other"]
+    rows = [(1, a), (1, b), (1, near(a)), (2, near(a)), (3, near(b)), (None, c), (None, near(c)), (None, d), (4, e), (5, []), (5, []), (None, [])]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id long, text string").repartition(3)
+    kept = sorted(((r.doc_id, r.text) for r in ngram_join.dedup(docs).collect()), key=str)
+    group = lambda i, t: (i, min(t[:20], t))
+    assert sorted((group(i, t) for i, t in kept), key=str) == sorted((group(i, " ".join(w)) for i, w in [(1, a), (1, b), (None, c), (None, d), (4, e), (5, []), (None, [])]), key=str)
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in [(None, a), (None, b + item + c), (7, d), (7, item)]], "doc_id long, text string")
+    free = decontaminate.without(docs, spark.createDataFrame([(1, " ".join(item)), (2, "x y z")], "item_id long, text string"), block_items=1)
+    assert {(r.doc_id, r.text) for r in free.collect()} == {(None, " ".join(a)), (7, " ".join(d))}
