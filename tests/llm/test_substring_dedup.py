@@ -1,91 +1,54 @@
-import itertools
 import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from labharm.llm import substring_dedup as S
 
 
-def slow_boundaries(data):
-    out = []
-    for i in range(len(data)):
-        h = 0
-        for j in range(min(S.WINDOW, i + 1)):
-            h += int(S.GEAR[data[i - j]]) << j
-        out.append(((h & 0xFFFFFFFF) >> 8 & 0xFFFF) * S.MEAN < 1 << 16)
-    return out
-
-
-def test_rolling_hash_and_shift():
-    data = np.frombuffer(random.Random(1).randbytes(3000), np.uint8)
-    assert S.boundaries(data).tolist() == slow_boundaries(data)
-    a, b = S.boundaries(data), S.boundaries(np.concatenate([data[:7], data]))
-    assert (a[S.WINDOW :] == b[7 + S.WINDOW :]).all()
-    assert 12 < 3000 / a.sum() < 48
-
-
 def say(rnd, n):
     return " ".join("".join(rnd.choice("abcdefghijé") for _ in range(rnd.randrange(2, 9))) for _ in range(n))
 
 
-@pytest.fixture(scope="module")
-def docs():
-    rnd = random.Random(5)
-    passage = [say(rnd, n) for n in (55, 60, 80, 200)]
-    rows = [(1, None), (2, ""), (3, " "), (4, "x" * 50_000)]
-    for d in range(10, 50):
-        part = [say(rnd, rnd.randrange(5, 90))]
-        if d % 2:
-            part += [passage[d % 4], say(rnd, rnd.randrange(1, 60))]
-        rows.append((d, " ".join(part)))
-    return rows + [(50, rows[4][1]), (None, passage[3]), (12, dict(rows)[12])]
+def slow_boundaries(texts, reach):
+    """The same by trying every stretch of reach words."""
+    out, base = [], 0
+    for word in texts:
+        gear = [int(x) for x in S.mix(np.array(word, np.uint64) + np.uint64(1))]
+        rolled = [sum(gear[j - i] << 64 // S.GEAR_WORDS * i for i in range(min(S.GEAR_WORDS, j + 1))) % 2**64 for j in range(len(word))]
+        found = {0} if word else set()
+        for p in range(len(word) - reach + 1):
+            found.add(min(range(p, p + reach), key=lambda j: (rolled[j], j)))
+        out += [base + j for j in sorted(found)]
+        base += len(word)
+    return out
 
 
-def brute(rows, min_words):
-    holders = defaultdict(set)
-    for d, t in rows:
-        for c in S.chunks((t or "").encode()):
-            holders[c[4]].add(S.NO_ID if d is None else d)
-    out = []
-    for d, t in {d: t for d, t in rows}.items():
-        doc, run = S.NO_ID if d is None else d, []
-        for c in [*S.chunks((t or "").encode()), None]:
-            if c and len(holders[c[4]]) > 1:
-                run.append((*c[:4], min(holders[c[4]])))
-            elif run:
-                words = run[-1][3] - run[0][2]
-                for _, part in itertools.groupby(run if words >= min_words else [], key=lambda x: x[4] == doc):
-                    part = list(part)
-                    first = min(x[4] for x in part)
-                    out.append((d, part[0][0], part[-1][1], words, None if first == S.NO_ID else first))
-                run = []
-    return sorted(out, key=str)
-
-
-def test_brute_force(spark, docs):
-    df = spark.createDataFrame([(*r, 1, b"x") for r in docs], "doc_id long, text string, k int, digest binary").repartition(3)
-    got = sorted((tuple(r) for r in S.passages(df).collect()), key=str)
-    assert got == brute(docs, 25)
-    found = {r[0] for r in got}
-    assert {d for d in range(11, 50, 2)} <= found and not {d for d in range(14, 50, 2)} & found
-    summary = {r.doc_id: r for r in S.summary(df).collect()}
-    assert set(summary) == found and all(r.n_removed <= r.n_parts and r.first_docs for r in summary.values())
-
-
-def test_texts(spark, docs):
-    df = spark.createDataFrame([(d, t, "z") for d, t in docs], "doc_id long, text string, extra string")
-    out = {r.doc_id: r for r in S.dedup(df).collect()}
-    assert len(out) == len({d for d, _ in docs}) and out[12].text == dict(docs)[12] and out[12].extra == "z"
-    firsts = [d for d in range(11, 50, 2) if out[d].text == dict(docs)[d]]
-    assert firsts == [11, 13]  # the first holder of each passage keeps it
-    assert len(out[33].text.split()) < len(dict(docs)[33].split()) - 25
-    assert S.passages(df.limit(0)).collect() == []
+@pytest.mark.parametrize("reach", [1, 3, 12])
+def test_boundaries(reach):
+    rnd = random.Random(reach)
+    texts = [[rnd.randrange(50) for _ in range(rnd.choice((reach, 20, 90)))] for _ in range(40)] + [[1, 2] * 30, [7] * 40]
+    begin = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    word = np.array([w for t in texts for w in t], np.uint64)
+    got = S.boundaries(begin, word, reach)
+    assert got.tolist() == slow_boundaries(texts, reach)
+    assert np.diff(got).max() <= reach and S.boundaries(np.array([0]), word[:0], reach).tolist() == []
+
+
+def test_shift():
+    """An insertion moves no chunk beyond its neighbourhood."""
+    rnd = random.Random(1)
+    text = [rnd.randrange(1000) for _ in range(500)]
+    chunks = []
+    for t in (text, [5, 6, 7, *text], text[:250] + [1, 2, 3] + text[250:]):
+        chunks.append(set(S.chunk(np.array([0, len(t)]), np.array(t, np.uint64), 12)[1].tolist()))
+    assert len(chunks[0] - chunks[1]) <= 3 and len(chunks[0] - chunks[2]) <= 5 and len(chunks[0]) > 60
 
 
 def plain(rows, k):
-    """(doc, text) -> words that go, and the longest passage, by comparing all windows of k words."""
+    """(doc, text) -> words that stay, and the longest passage, by comparing all windows of k words."""
     texts = sorted({(S.NO_ID if d is None else d, t) for d, t in rows if t}, key=lambda x: x[0])
     holders = defaultdict(set)
     for d, t in texts:
@@ -106,31 +69,96 @@ def plain(rows, k):
     return out
 
 
+def compare(spark, rows, k):
+    df = spark.createDataFrame([(*r, 1, b"x", 2) for r in rows], "doc_id long, text string, k int, digest binary, key int").repartition(3)
+    want = plain(rows, k)
+    got = {r.doc_id: r for r in S.summary(df, k).collect()}
+    by_doc = defaultdict(lambda: (0, 0))
+    for (d, t), (left, n) in want.items():
+        d = None if d == S.NO_ID else d
+        by_doc[d] = (max(by_doc[d][0], n), by_doc[d][1] + len(t.split()) - len(left))
+    assert {d: (r.longest_words, r.removed_words) for d, r in got.items()} == dict(by_doc)
+    out = S.dedup(df, k)
+    assert out.columns == df.columns
+    texts = sorted((str(r.doc_id), " ".join((r.text or "").split())) for r in out.collect())
+    assert texts == sorted((str(d), " ".join(want.get((S.NO_ID if d is None else d, t), ((t or "").split(),))[0])) for d, t in rows)
+    return want, got
+
+
+@pytest.fixture(scope="module")
+def docs():
+    rnd = random.Random(5)
+    passage = [say(rnd, n) for n in (51, 60, 80, 200)]
+    rows = [(1, None), (2, ""), (3, " "), (4, "x" * 50_000), (5, say(rnd, 20_000))]
+    for d in range(10, 50):
+        part = [say(rnd, rnd.randrange(5, 90))]
+        if d % 2:
+            part += [passage[d // 2 % 4], say(rnd, rnd.randrange(1, 60))]
+        rows.append((d, " ".join(part)))
+    return rows + [(50, rows[4][1]), (51, say(rnd, 30) + " " + rows[4][1][3000:90_000]), (60, passage[3]), (61, passage[3]), (62, say(rnd, 20)), (63, passage[1]), (12, dict(rows)[12])]
+
+
+@pytest.mark.parametrize("k", [50, 25, 6])
+def test_brute_force(spark, docs, k):
+    rows = docs + [(64, docs[-3][1])]
+    want, got = compare(spark, rows, k)
+    assert {d for d, t in rows if t and len(t.split()) >= k and d % 2 and 11 <= d < 50} <= set(got)
+    if k >= 50:
+        assert not {d for d in range(14, 50, 2)} & set(got) and 62 not in got
+
+
+def test_hot_chunks_and_copies(spark, docs, monkeypatch):
+    """The way of hot chunks gives the same; these values are read on the driver."""
+    monkeypatch.setattr(S, "HOT", 3)
+    compare(spark, docs, 50)
+    monkeypatch.setattr(S, "MOST_HOT", 10**9)
+    monkeypatch.setattr(S, "SALTS", 2)
+    compare(spark, docs, 30)
+
+
 def test_whole_passages(spark):
-    """Passages of just min_words words, periodic ones, and phrases of several documents one after the other, which are none."""
+    """Passages of just min_words words, periodic ones, ones with a word changed, and phrases of several documents one after the other, which are none."""
     rnd = random.Random(8)
     exact, long = say(rnd, 25), say(rnd, 70)
     phrases = [say(rnd, 12) for _ in range(6)]
+    changed = long.split()
+    changed[40] = changed[40] + "x"
     rows = [(k, f"{say(rnd, 9)} {p} {say(rnd, 9)}") for k, p in enumerate(phrases)]
     rows += [(10, f"{say(rnd, 7)} {exact} {say(rnd, 7)}"), (11, f"{say(rnd, 3)}  {exact}\n{say(rnd, 3)}"), (12, f"{say(rnd, 3)} {' '.join(exact.split()[:24])} {say(rnd, 3)}")]
     rows += [(13, say(rnd, 2) + " 1 2" * 40), (14, say(rnd, 3) + " 1 2" * 30 + " " + say(rnd, 2)), (20, " ".join(phrases))]
-    rows += [(21, long), (22, f"{' '.join(long.split()[20:])} {exact}"), (0, exact.split()[0])]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    want = plain(rows, 25)
-    assert {d for d, _ in want} == {10, 11, 13, 14, 21, 22}
-    got = {r.doc_id: r for r in S.summary(df).collect()}
-    assert {d: r.longest_words for d, r in got.items()} == {d: n for (d, _), (_, n) in want.items()}
-    by = {(r.doc_id, r.text) for r in S.dedup(df).collect()}
-    assert {(d, " ".join(t.split())) for d, t in by} == {(d, " ".join(want.get((d, t), (t.split(),))[0])) for d, t in rows}
+    rows += [(21, long), (22, f"{' '.join(long.split()[20:])} {exact}"), (0, exact.split()[0]), (30, " ".join(changed))]
+    want, _ = compare(spark, rows, 25)
+    assert {d for d, _ in want} == {10, 11, 13, 14, 21, 22, 30}
+    assert want[30, " ".join(changed)][0] == [changed[40]]
 
 
 def test_rows_with_one_id(spark):
-    """Different texts of one doc_id, or of none, are documents of their own."""
+    """Different texts of one doc_id, or of none, are documents of their own; one of them keeps a passage."""
     rnd = random.Random(9)
     a, b, c = (say(rnd, 30) for _ in range(3))
     rows = [(None, f"{a} {say(rnd, 5)}"), (None, say(rnd, 60)), (1, f"{say(rnd, 4)} {b}"), (1, say(rnd, 60)), (1, f"{b} {say(rnd, 8)}"), (7, f"{a} tail"), (7, c), (7, c)]
-    out = sorted((r.doc_id or 0, r.text) for r in S.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = sorted((r.doc_id or 0, r.text) for r in S.dedup(df, 25).collect())
     texts = [t for _, t in out]
     assert len(out) == len(rows) and texts.count(c) == 2 and {rows[1][1], rows[3][1], f"{a} tail"} <= set(texts)
     assert sum(b in t for t in texts) == sum(a in t for t in texts) == 1
     assert sum(len(t.split()) for t in texts) == sum(len(t.split()) for _, t in rows) - 60
+    assert {r.doc_id for r in S.summary(df, 25).collect()} == {None, 1, 7}
+
+
+def test_empty(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert S.summary(df).collect() == [] and S.dedup(df).collect() == []
+    df = spark.createDataFrame([(1, None), (2, None), (3, "")], "doc_id long, text string")
+    assert S.summary(df).collect() == [] and S.dedup(df).count() == 3
+
+
+def test_batches():
+    """A digest's rows may go on in the next batch."""
+    rows = [(d, k, k, 10 * k, list(range(100 * d, 100 * d + 3))) for d in range(5) for k in range(4)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64())))], names=["digest", "doc", "key", "at", "windows"])
+    whole = pa.Table.from_batches(S.meet(iter([batch])))
+    for n in (1, 3, 7):
+        parts = pa.Table.from_batches(S.meet(batch[i : i + n] for i in range(0, len(rows), n)))
+        assert parts.to_pylist() == whole.to_pylist()
+    assert whole.num_rows == 20 and set(whole.column("first_doc").to_pylist()) == {0}
