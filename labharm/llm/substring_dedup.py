@@ -11,7 +11,7 @@ certain, a chunk that any other text with that window has too. So only windows a
 their first such chunk's digest brings them together: no passage is missed, wherever it begins and ends, and chunks of different texts side by side make none.
 
 Hot chunks: digests of more than HOT chunks, MOST_HOT of them at most whatever the input, are known to every task and dealt over SALTS tasks each;
-their windows are aggregated before the shuffle instead of being gathered by chunk.
+their windows are aggregated before the shuffle, equal stretches of them at once, instead of being gathered by chunk.
 
 Null and empty texts, and texts of fewer than min_words words, have no windows; equal ones of those stay. Repeated rows (one doc_id, one text) are one
 document; different texts of one doc_id are different documents, those of a null doc_id too, after all others. Chunks, windows and texts are compared
@@ -196,10 +196,15 @@ def stretches(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
     windows = cut(near.mapInArrow(lambda it: candidates(it, min_words), "digest long, n long, doc long, key long, at int, windows array<long>"), "substring-windows")
     cold = windows.filter(F.col("n") <= limit).drop("n").repartition("digest").sortWithinPartitions("digest")
     cold = cold.mapInArrow(meet, "doc long, key long, a int, z int, first_doc long, first_key long")
-    each = windows.filter(F.col("n") > limit).select("doc", "key", "at", F.posexplode("windows").alias("i", "window"))
+    # of hot chunks, many rows have equal stretches of windows: one of each is compared, and the rest learn from it
+    rows = windows.filter(F.col("n") > limit).withColumn("stretch", F.xxhash64("windows"))
     owner = F.struct("doc", "key")
-    firsts = each.groupBy("window").agg(F.min(owner).alias("first"), F.max(owner).alias("last")).filter("first <> last").select("window", "first")
-    hot = each.withColumn("a", F.col("at") + F.col("i")).join(firsts, "window").select("doc", "key", "a", F.col("a").alias("z"), F.col("first.doc").alias("first_doc"), F.col("first.key").alias("first_key"))
+    unlike = rows.groupBy("stretch").agg(F.min(owner).alias("low"), F.max(owner).alias("high"), F.first("windows").alias("windows"))
+    each = unlike.select("stretch", "low", "high", F.posexplode("windows").alias("i", "window"))
+    firsts = each.groupBy("window").agg(F.min("low").alias("first"), F.max("high").alias("last")).filter("first <> last").select("window", "first")
+    known = each.join(firsts, "window").groupBy("stretch").agg(F.collect_list(F.struct("i", "first")).alias("firsts"))
+    hot = rows.select("doc", "key", "at", "stretch").join(known, "stretch").select("doc", "key", "at", F.inline("firsts"))
+    hot = hot.select("doc", "key", (F.col("at") + F.col("i")).alias("a"), (F.col("at") + F.col("i")).alias("z"), F.col("first.doc").alias("first_doc"), F.col("first.key").alias("first_key"))
     return cold.union(hot)
 
 
