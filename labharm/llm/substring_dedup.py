@@ -105,28 +105,33 @@ def candidates(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa
     reach = reach_of(min_words)
     lead = reach + GEAR_WORDS - 2
     for batch in batches:
-        for row in range(batch.num_rows):
-            _, begin, word = long_texts(batch.column(2)[row : row + 1], min_words)
+        for a, z in steps(batch.column(2)):
+            marks = batch.column(3)[a:z]
+            rows, begin, word = long_texts(batch.column(2)[a:z], min_words)
+            if not len(rows):
+                continue
             starts, digest = chunk(begin, word, reach)
-            marks = np.array([(m["k"], m["n"]) for m in batch.column(3)[row].as_py()], np.int64).reshape(-1, 2)
+            base = np.zeros(z - a, np.int64)
+            base[rows] = np.searchsorted(starts, begin[:-1])
+            flat = marks.flatten()
             times = np.zeros(len(starts), np.int64)
-            times[marks[:, 0]] = marks[:, 1]
+            times[np.repeat(base, np.diff(marks.offsets.to_numpy())) + flat.field("k").to_numpy()] = flat.field("n").to_numpy()
             single = np.concatenate([[0], np.cumsum(times == 0)])
-            p = np.arange(len(word) - min_words + 1)
+            p, window = grams(begin, word, min_words)
             first, last = np.searchsorted(starts, p + lead), np.searchsorted(starts, p + min_words - reach, side="right") - 1
             alone = last <= first  # only where min_words is too few for two boundaries: the window stands for itself
+            first = np.minimum(first, len(starts) - 1)
             fits = (single[np.maximum(last, first)] == single[first]) | alone
-            p, first, alone = p[fits], first[fits], alone[fits]
+            p, first, alone, window = p[fits], first[fits], alone[fits], window[fits]
             if not len(p):
                 continue
-            window = grams(begin, word, min_words)[1][p]
-            first = np.minimum(first, len(starts) - 1)
+            text = np.searchsorted(begin, p, side="right") - 1
             meeting = np.where(alone, window, digest[first])
-            turn = np.flatnonzero(np.concatenate([[True], (np.diff(p) > 1) | (meeting[1:] != meeting[:-1]) | (first[1:] != first[:-1])]))
-            same = pa.array(np.full(len(turn), row))
+            turn = np.flatnonzero(np.concatenate([[True], (np.diff(p) > 1) | (meeting[1:] != meeting[:-1]) | (first[1:] != first[:-1]) | (text[1:] != text[:-1])]))
+            row = pa.array(a + rows[text[turn]])
             columns = {
-                "digest": pa.array(meeting[turn].view(np.int64)), "n": pa.array(np.where(alone, 0, times[first])[turn]), "doc": batch.column(0).take(same), "key": batch.column(1).take(same),
-                "at": pa.array(p[turn].astype(np.int32)), "windows": pa.ListArray.from_arrays(pa.array(np.append(turn, len(p)).astype(np.int32)), pa.array(window.view(np.int64))),
+                "digest": pa.array(meeting[turn].view(np.int64)), "n": pa.array(np.where(alone, 0, times[first])[turn]), "doc": batch.column(0).take(row), "key": batch.column(1).take(row),
+                "at": pa.array((p - begin[text])[turn].astype(np.int32)), "windows": pa.ListArray.from_arrays(pa.array(np.append(turn, len(p)).astype(np.int32)), pa.array(window.view(np.int64))),
             }
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
