@@ -10,8 +10,8 @@ beyond them. Every chunk is deduplicated by its digest; those of a single text a
 certain, a chunk that any other text with that window has too. So only windows all of whose such chunks repeat are compared, by hashes of their own, where
 their first such chunk's digest brings them together: no passage is missed, wherever it begins and ends, and chunks of different texts side by side make none.
 
-Hot chunks: digests of more than HOT chunks, MOST_HOT of them at most whatever the input, are known to every task and dealt over SALTS tasks each;
-their windows are aggregated before the shuffle, equal stretches of them at once, instead of being gathered by chunk.
+Hot chunks: digests of more than HOT chunks, MOST_HOT of them at most whatever the input, are known to every task and dealt over SALTS tasks each.
+Windows are gathered by chunk up to GROUP rows (some 10 MB); where there may be more, they are aggregated before the shuffle, equal stretches of them at once.
 
 Null and empty texts, and texts of fewer than min_words words, have no windows; equal ones of those stay. Repeated rows (one doc_id, one text) are one
 document; different texts of one doc_id are different documents, those of a null doc_id too, after all others. Chunks, windows and texts are compared
@@ -38,6 +38,8 @@ GEAR_WORDS = 4
 NO_ID = 2**63 - 1
 #: Chunks of one digest from which it is hot, most hot digests, and the tasks over which each is dealt.
 HOT, MOST_HOT, SALTS = 4096, 100_000, 64
+#: Most rows of windows that one chunk gathers in a task.
+GROUP = 65_536
 WORD = regex.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -179,8 +181,8 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs.filter("text is not null").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), text_key().alias("key"), "text")
 
 
-def marked(rows: DataFrame, min_words: int) -> tuple[DataFrame, int]:
-    """key, marks of texts with chunks that other texts have: the chunks' numbers and how many there are of each in all; and the count above which they are hot."""
+def marked(rows: DataFrame, min_words: int) -> DataFrame:
+    """key, marks of texts with chunks that other texts have: the chunks' numbers and how many there are of each in all."""
     chunks = rows.select("key", "text").mapInArrow(lambda it: split(it, min_words), "digest long, key long, k int")
     repeated = chunks.groupBy("digest").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("n")).filter("low <> high").select("digest", "n")
     repeated = cut(repeated, "substring-repeated")
@@ -189,20 +191,19 @@ def marked(rows: DataFrame, min_words: int) -> tuple[DataFrame, int]:
     dealt = chunks.join(hot, "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod("key", F.lit(SALTS))).otherwise(0))
     wide = repeated.withColumn("salt", F.explode(F.when(F.col("n") > limit, F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")).otherwise(F.array(F.lit(0).cast("bigint")))))
     met = dealt.join(wide.hint("merge"), ["digest", "salt"]).groupBy("key", "k").agg(F.max("n").alias("n"))
-    return met.groupBy("key").agg(F.collect_list(F.struct("k", "n")).alias("marks")), limit
+    return met.groupBy("key").agg(F.collect_list(F.struct("k", "n")).alias("marks"))
 
 
 def stretches(rows: DataFrame, holders: DataFrame, min_words: int) -> DataFrame:
     """doc, key, a, z, first_doc, first_key: the windows a to z of each text that other texts hold too, and which one holds them first."""
-    marks, limit = marked(rows, min_words)
-    first = marks.join(holders.select("key", "doc"), "key")
+    first = marked(rows, min_words).join(holders.select("key", "doc"), "key")
     once = rows.groupBy("doc", "key").agg(F.first("text").alias("text"))
     near = once.join(first.hint("merge"), ["doc", "key"]).select("doc", "key", "text", "marks")
     windows = cut(near.mapInArrow(lambda it: candidates(it, min_words), "digest long, n long, doc long, key long, at int, windows array<long>"), "substring-windows")
-    cold = windows.filter(F.col("n") <= limit).drop("n").repartition("digest").sortWithinPartitions("digest")
+    cold = windows.filter(F.col("n") <= GROUP).drop("n").repartition("digest").sortWithinPartitions("digest")
     cold = cold.mapInArrow(meet, "doc long, key long, a int, z int, first_doc long, first_key long")
     # of hot chunks, many rows have equal stretches of windows: one of each is compared, and the rest learn from it
-    rows = windows.filter(F.col("n") > limit).withColumn("stretch", F.xxhash64("windows"))
+    rows = windows.filter(F.col("n") > GROUP).withColumn("stretch", F.xxhash64("windows"))
     owner = F.struct("doc", "key")
     unlike = rows.groupBy("stretch").agg(F.min(owner).alias("low"), F.max(owner).alias("high"), F.first("windows").alias("windows"))
     each = unlike.select("stretch", "low", "high", F.posexplode("windows").alias("i", "window"))

@@ -110,6 +110,7 @@ def test_brute_force(spark, docs, k):
 def test_hot_chunks_and_copies(spark, docs, monkeypatch):
     """The way of hot chunks gives the same; these values are read on the driver."""
     monkeypatch.setattr(S, "HOT", 3)
+    monkeypatch.setattr(S, "GROUP", 3)
     compare(spark, docs, 50)
     monkeypatch.setattr(S, "MOST_HOT", 10**9)
     monkeypatch.setattr(S, "SALTS", 2)
