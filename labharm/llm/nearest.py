@@ -10,7 +10,9 @@ against tables of the queries' products with all centres (two codes, a byte, at
 all that are less than twice the quantisation's error below the k-th get their exact cosine in double precision; a task hands on
 each query's k best. Equal vectors of a block
 are scanned once and expanded to their k + 1 smallest ids, so copies displace nothing. Queries are taken in
-blocks of at most QUERY_BLOCK, which are what goes to the driver and to every task.
+blocks of at most QUERY_BLOCK, whose tables take TABLE_BYTES of a task's memory at most; a block is what goes to the driver and to every task.
+
+A cosine is summed up row by row in the order of the dimensions, so that equal vectors have equal scores wherever they stand.
 
 Vectors that are null, zero or of another length than the most frequent one, and those with null or non-finite components, take no part.
 A query doesn't meet rows with its own id. Rows that repeat a query's id are one query (the least vector); repeated candidates count each.
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from labharm.llm.common import cut, sample, shared_dir
 
 SAMPLE, ROUNDS, THRESHOLD = 20_000, 8, 0.3
-RERANK, QUERY_BLOCK = 128, 20_000
+RERANK, QUERY_BLOCK, TABLE_BYTES = 128, 20_000, 128 << 20
 #: Queries whose scores are in memory at once.
 WIDE = 128
 
@@ -118,6 +120,14 @@ def encode(batches: Iterator[pa.RecordBatch], quantiser, size: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([c.tobytes() for c in codes], pa.binary())], names=["vec_id", "embedding", "code"])
 
 
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The product of each row with q, in double precision, summed up from left to right: it doesn't depend on the other rows."""
+    total = np.zeros(len(x))
+    for d in range(x.shape[1]):
+        total += x[:, d] * q[..., d]
+    return total
+
+
 def near_ties(scores: np.ndarray, most: int) -> np.ndarray:
     """The rows with the largest scores, with all that tie with the last of them."""
     if len(scores) <= most:
@@ -125,10 +135,10 @@ def near_ties(scores: np.ndarray, most: int) -> np.ndarray:
     return np.flatnonzero(scores >= np.partition(scores, len(scores) - most)[len(scores) - most])
 
 
-def scan(batches: Iterator[pa.RecordBatch], quantiser, queries, size: int, k: int) -> Iterator[pa.RecordBatch]:
+def scan(batches: Iterator[pa.RecordBatch], quantiser, queries, size: int, k: int, rerank: int) -> Iterator[pa.RecordBatch]:
     """vec_id, embedding, code -> query_id, vec_id, score of each query's k best rows here."""
     query_ids, q = queries.value
-    norm, tables = np.sqrt((q * q).sum(1)), None
+    norm, tables = np.sqrt(products(q, q)), None
     best: list[list[tuple[float, int]]] = [[] for _ in query_ids]  # -score, vec_id
     for batch in batches:
         if not batch.num_rows:
@@ -143,7 +153,7 @@ def scan(batches: Iterator[pa.RecordBatch], quantiser, queries, size: int, k: in
         order = np.lexsort((ids, same))
         start = np.searchsorted(same[order], np.arange(len(first) + 1))
         x, ids = x[first], ids[order]
-        length = np.sqrt((x * x).sum(1))
+        length = np.sqrt(products(x, x))
         code = np.frombuffer(b"".join(batch.column(2).take(pa.array(first)).to_pylist()), np.uint8).reshape(len(first), -1)
         for b, table in enumerate(tables):
             score = np.zeros((len(x), table.shape[2]), np.float32)
@@ -151,13 +161,13 @@ def scan(batches: Iterator[pa.RecordBatch], quantiser, queries, size: int, k: in
                 score += table[p].take(code[:, p], axis=0)
             for j, mine in enumerate(np.ascontiguousarray(score.T)):
                 i = b * WIDE + j
-                rows = near_ties(mine, max(RERANK, k))
-                exact = x[rows] @ q[i] / (length[rows] * norm[i])
+                rows = near_ties(mine, max(rerank, k))
+                exact = products(x[rows], q[i]) / (length[rows] * norm[i])
                 if len(rows) < len(x):  # where many are as near, all that their error may hide
                     kth = max(np.partition(exact, len(exact) - k)[len(exact) - k], -best[i][k - 1][0] if len(best[i]) == k else -1.0)
                     if kth - 2 * quantiser.value.error < mine[rows].min():
                         rows = np.flatnonzero(mine >= kth - 2 * quantiser.value.error)
-                        exact = x[rows] @ q[i] / (length[rows] * norm[i])
+                        exact = products(x[rows], q[i]) / (length[rows] * norm[i])
                 some = near_ties(exact, k + 1)
                 found = best[i]
                 for e, r in zip(exact[some].tolist(), rows[some].tolist()):
@@ -176,7 +186,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     return v.filter(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~bad & F.exists("embedding", lambda x: x != 0))
 
 
-def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
+def search(vectors: DataFrame, is_query, k: int = 5, rerank: int = RERANK) -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine): the k nearest of each row of vectors (vec_id, embedding) for which the condition is_query holds."""
     spark = vectors.sparkSession
     rows = usable(vectors)
@@ -190,7 +200,8 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     sent = spark.sparkContext.broadcast(quantiser)
     index = cut(rows.mapInArrow(lambda it: encode(it, sent, size), "vec_id long, embedding array<double>, code binary"), "nearest-index")
     queries = index.filter(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+    most = max(1, min(QUERY_BLOCK, TABLE_BYTES // (quantiser.pairs // 2 * 256 * 4)))
+    blocks = max(1, -(-queries.count() // most))
     path = shared_dir(spark, "nearest-queries")
     queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).write.partitionBy("block").parquet(path)
     queries = spark.read.schema("vec_id long, embedding array<double>, block int").parquet(path)
@@ -198,7 +209,7 @@ def search(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     for b in range(blocks):
         part = queries.filter(F.col("block") == b).toArrow()
         block = spark.sparkContext.broadcast((part.column(0).to_numpy(), matrix(part.column(1).combine_chunks(), size)))
-        got = index.mapInArrow(lambda it, block=block: scan(it, sent, block, size, k), "query_id long, vec_id long, score double")
+        got = index.mapInArrow(lambda it, block=block: scan(it, sent, block, size, k, rerank), "query_id long, vec_id long, score double")
         found = got if found is None else found.union(got)
     place = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -39,14 +39,13 @@ def test_recall(spark):
 
 
 @pytest.mark.parametrize("rerank", [1, 128])
-def test_copies_and_near_copies(spark, monkeypatch, rerank):
+def test_copies_and_near_copies(spark, rerank):
     """Large groups of copies and of near copies: the nearest and the smallest ids are found although few candidates get an exact score at first."""
-    monkeypatch.setattr(nearest, "RERANK", rerank)
     rng = np.random.default_rng(3)
     a, b = rng.normal(size=8), rng.normal(size=8)
     rows = [(i, a.tolist()) for i in range(300, 0, -1)] + [(1000 + i, (b + 0.1 * rng.normal(size=8)).tolist()) for i in range(300)] + [(0, a.tolist()), (2000, b.tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
-    got, want = as_dict(nearest.search(df, "vec_id in (0, 2000)")), brute(rows, {0, 2000})
+    got, want = as_dict(nearest.search(df, "vec_id in (0, 2000)", rerank=rerank)), brute(rows, {0, 2000})
     assert [i for i, _ in got[0]] == [1, 2, 3, 4, 5]
     assert [i for i, _ in got[2000]] == [i for i, _ in want[2000]]
 
@@ -62,6 +61,20 @@ def test_edges(spark):
     assert as_dict(nearest.search(one, "vec_id = 0")) == {0: [(1, -1.0)]}
 
 
+@pytest.mark.parametrize("size", [3, 8, 16, 100])
+def test_copies_over_batches(spark, size):
+    """Copies of one vector come in the order of their ids, whatever stands beside them in a batch."""
+    rng = np.random.default_rng(size)
+    one = rng.normal(size=size)
+    rows = [(i, one.tolist()) for i in (3, 7, 1, 2, 4, 6)] + [(100 + i, (one + rng.normal(size=size)).tolist()) for i in range(80)]
+    for parts in (1, 2, 5, 11):
+        df = spark.createDataFrame(rows + [(0, one.tolist())], "vec_id long, embedding array<double>").repartition(parts)
+        got = as_dict(nearest.search(df, "vec_id = 0"))[0]
+        assert [i for i, _ in got] == [1, 2, 3, 4, 6] and len({s for _, s in got}) == 1
+    x, q = rng.normal(size=(50, size)), rng.normal(size=size)
+    assert all(nearest.products(x[i : i + 1], q)[0] == nearest.products(x, q)[i] for i in range(50))
+
+
 def test_query_blocks(spark, monkeypatch):
     rng = np.random.default_rng(5)
     rows = [(i, rng.normal(size=6).tolist()) for i in range(120)]
