@@ -11,6 +11,8 @@ distribution whose location grows with the logarithm of the text's words; its pa
 quarter's class 0. A segment with a small enough p-value is a passage. The sum of a text's best segments, as standard extreme values, is compared with
 what such sums reach by chance, and that goes through a logistic function fitted on the calibration quarter.
 
+SAMPLE bounds the labelled rows that are learned from, thus the units too; every text is scored, by all its segments.
+
 Null and empty texts have no passage and get the score of an empty text. Labels other than 0 and 1 are ignored, a document labelled both
 ways counts for both. Without labels of both classes every score is 0. Repeated rows are scored each.
 """
@@ -26,16 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import steps, words
+from labharm.llm.common import cut, steps, words
 from labharm.llm.decontaminate import strip
 
-SAMPLE, UNITS = 40_000, 50_000
+SAMPLE = 40_000
 #: Strength of the prior as a share of the documents; least z-score, log-odds and documents of a unit.
 PRIOR, LEAST_Z, LEAST_ODDS, LEAST_DOCS = 0.05, 3.0, 1.0, 4
 #: What a word without a unit takes away, and the p-value of a passage.
 DRIFT, SIGNIFICANT = 1.0, 0.01
-#: Segments of a text whose sum counts, best first.
-MOST = 50
 
 
 def units(word: str) -> list[str]:
@@ -116,24 +116,30 @@ class Model:
 
     def feature(self, n: int, found: list[tuple[float, int, int]]) -> float:
         """How far the best segments together surpass chance: the largest, over r, of -ln P(r best extreme values sum to so much)."""
-        total, most = 0.0, -5.0
-        for r, s in enumerate(sorted((s for s, _, _ in found), reverse=True)[:MOST], 1):
-            total += self.place(n, s)
-            if total > 0:
-                most = max(most, total - (r - 1) * math.log(total) + math.lgamma(r + 1) + math.lgamma(r) if total > r else total)
-        return min(200.0, most)
+        if not found:
+            return -5.0
+        best = np.sort(np.array([s for s, _, _ in found]))[::-1]
+        total = np.cumsum((best - math.log1p(n) - self.location) / self.scale)
+        r = np.arange(1, len(best) + 1)
+        factorial = np.cumsum(np.log(r))  # of r, thus 2 ln r! - ln r for those of r and r - 1
+        some = np.maximum(total, 1e-9)
+        mass = np.where(total > r, total - (r - 1) * np.log(some) + 2 * factorial - np.log(r), total)
+        return float(np.clip(mass.max(), -5.0, 200.0)) if (total > 0).any() else -5.0
 
     def score(self, n: int, found: list[tuple[float, int, int]]) -> float:
         if self.b == -math.inf:
             return 0.0
         return 1 / (1 + math.exp(-x)) if (x := max(-700.0, self.a * self.feature(n, found) + self.b)) < 700 else 1.0
 
-    def calibrate(self, n: np.ndarray, best: np.ndarray, feature_of, toxic: np.ndarray) -> None:
-        """Fits the extreme-value distribution to class 0 by its median and ninth decile, and the logistic function by Newton steps."""
-        half, most = np.quantile(best[toxic == 0] - np.log1p(n[toxic == 0]), [0.5, 0.9])
+    def fit_extremes(self, n: np.ndarray, best: np.ndarray) -> None:
+        """Fits the extreme-value distribution to the best segments of texts of class 0 by their median and ninth decile."""
+        half, most = np.quantile(best - np.log1p(n), [0.5, 0.9])
         self.scale = max(0.1, float(most - half) / (math.log(math.log(2)) - math.log(-math.log(0.9))))
         self.location = float(half) + self.scale * math.log(math.log(2))
-        x, y = np.array(feature_of()), toxic.astype(float)
+
+    def fit_scores(self, x: np.ndarray, toxic: np.ndarray) -> None:
+        """Fits the logistic function of the feature by Newton steps."""
+        y = toxic.astype(float)
         middle, wide = x.mean(), max(1e-6, x.std())
         d = np.stack([(x - middle) / wide, np.ones(len(x))], axis=1)
         beta = np.zeros(2)
@@ -147,18 +153,18 @@ class Model:
 
 
 def measure(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch]:
-    """text, toxic -> words, segment scores, toxic."""
+    """text, toxic -> words, best segment's score, feature, toxic."""
     for batch in batches:
         for a, z in steps(batch.column(0)):
-            got = list(model.value.texts(batch.column(0)[a:z]))
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in got], pa.int64()), pa.array([sorted((s for s, _, _ in f), reverse=True)[:MOST] for _, f in got], pa.list_(pa.float64())), batch.column(1)[a:z]], names=["n", "scores", "toxic"])
+            got = [(n, max((s for s, _, _ in found), default=0.0), model.value.feature(n, found)) for n, found in model.value.texts(batch.column(0)[a:z])]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(zip(*got), (pa.int64(), pa.float64(), pa.float64()))), batch.column(1)[a:z]], names=["n", "best", "feature", "toxic"])
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learns from docs (doc_id, text) and labels (doc_id, toxic)."""
     spark = docs.sparkSession
     chosen = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "toxic").limit(SAMPLE)
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    known = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
     part = F.pmod(F.xxhash64(F.col("h")), F.lit(4))
     tally = known.filter(part > 0).select("text", "toxic").mapInArrow(count, "unit string, n0 long, n1 long").groupBy("unit").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     total = tally.filter("unit = ''").first()
@@ -168,14 +174,20 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     share = (F.col("n0") + F.col("n1")) * PRIOR
     odds = lambda n, all_: F.log((F.col(n) + share) / (F.lit(all_ + prior) - F.col(n) - share))
     scored = tally.filter(f"unit <> '' and n0 + n1 >= {LEAST_DOCS} and n0 + n1 < {total.n0 + total.n1}").select("unit", (odds("n1", total.n1) - odds("n0", total.n0)).alias("w"), F.sqrt(1 / (F.col("n1") + share) + 1 / (F.col("n0") + share)).alias("sd"))
-    kept = scored.filter(F.abs(F.col("w")) >= F.greatest(F.lit(LEAST_ODDS), LEAST_Z * F.col("sd"))).orderBy(F.desc(F.abs(F.col("w")) / F.col("sd")), "unit").limit(UNITS).collect()
+    kept = scored.filter(F.abs(F.col("w")) >= F.greatest(F.lit(LEAST_ODDS), LEAST_Z * F.col("sd"))).collect()  # no more than the sample's texts hold
     model = Model({r.unit: r.w for r in kept})
-    sent = spark.sparkContext.broadcast(model)
-    rows = known.filter(part == 0).select("text", "toxic").mapInArrow(lambda it: measure(it, sent), "n long, scores array<double>, toxic int").collect()
-    if len({r.toxic for r in rows}) < 2:
+    calibration = known.filter(part == 0).select("text", "toxic")
+
+    def measured() -> tuple[np.ndarray, ...]:
+        sent = spark.sparkContext.broadcast(model)
+        rows = calibration.mapInArrow(lambda it: measure(it, sent), "n long, best double, feature double, toxic int").collect()
+        return tuple(np.array([r[k] for r in rows]) for k in range(4))
+
+    n, best, _, toxic = measured()
+    if len(set(toxic.tolist())) < 2:
         return Model({})
-    n, best, toxic = (np.array(x) for x in ([r.n for r in rows], [max(r.scores, default=0.0) for r in rows], [r.toxic for r in rows]))
-    model.calibrate(n, best, lambda: [model.feature(r.n, [(s, 0, 0) for s in r.scores]) for r in rows], toxic)
+    model.fit_extremes(n[toxic == 0], best[toxic == 0])
+    model.fit_scores(*measured()[2:])
     return model
 
 
