@@ -82,10 +82,10 @@ plans AS (
   SELECT l.*, g.given AS budget, CASE WHEN tokens > 0 THEN g.given // tokens ELSE 0 END AS epochs FROM leaves l JOIN given2 g
   ON l.domain IS NOT DISTINCT FROM g.domain AND l.lang IS NOT DISTINCT FROM g.lang AND l.source IS NOT DISTINCT FROM g.source WHERE g.given > 0
 ), placed AS (
-  SELECT d.*, p.epochs, p.budget - p.epochs * p.tokens AS rest, md5('{SEED}:' || p.epochs::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '')) AS key FROM docs d JOIN plans p
+  SELECT d.*, p.epochs, p.budget - p.epochs * p.tokens AS rest, md5('{SEED}:' || p.epochs::VARCHAR || ':' || coalesce(d.doc_id::VARCHAR, '') || ':' || md5(coalesce(d.text, ''))) AS key FROM docs d JOIN plans p
   ON d.domain IS NOT DISTINCT FROM p.domain AND d.lang IS NOT DISTINCT FROM p.lang AND d.source IS NOT DISTINCT FROM p.source
 ), ordered AS (
-  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key, n_tokens, md5(coalesce(text, '')) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed
+  SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM placed
 )
 SELECT doc_id, domain, lang, source, unnest(range(epochs))::BIGINT AS epoch, n_tokens FROM placed
 UNION ALL SELECT doc_id, domain, lang, source, epochs::BIGINT, n_tokens FROM ordered WHERE rest > 0 AND before < rest
@@ -111,7 +111,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))  # a null doc_id has no label to hold out
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").filter(~held_out))
     scored = toxicity.score(docs, model)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))

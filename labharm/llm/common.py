@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,10 +28,12 @@ _own: dict[str, str] = {}
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which the driver and all executors see.
 
-    Only where that is unset (tests on one machine) a temporary folder takes its place, and goes at exit.
+    Only where that is unset and all runs in this process (tests) a temporary folder takes its place, and goes at exit.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if "base" not in _own:
             _own["base"] = tempfile.mkdtemp(prefix="labharm-")
             atexit.register(shutil.rmtree, _own["base"], ignore_errors=True)
@@ -45,9 +48,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, limit: int) -> DataFrame:
-    """Hints a broadcast if df, which is cheap to count, has at most limit rows; else leaves it to Spark."""
-    return F.broadcast(df) if df.count() <= limit else df
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table that `cut` made and nothing reads any more."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at, path = fs.FileSystem.from_uri(folder)
+        at.delete_dir(path)
+
+
+def small(df: DataFrame, most_bytes: int) -> DataFrame:
+    """Hints a broadcast if df, which is cheap to read, takes most_bytes at most: 8 a column and row, and its texts' own; else leaves it to Spark."""
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    size = df.agg(F.coalesce(F.sum(sum(texts, F.lit(8 * len(df.columns) + 8).cast("long"))), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= most_bytes else df
 
 
 def sample(df: DataFrame, key: str, most: int) -> DataFrame:

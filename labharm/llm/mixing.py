@@ -4,13 +4,13 @@ Budgets. The root's budget is a share of all tokens. A node's budget goes to its
 its tokens times max_epochs; what it can't take goes to its siblings, by their weights, again up to what those can supply. A node's
 supply is its leaves' sum, so only what a whole subtree can't take reaches the siblings of an ancestor. Budgets are whole tokens, rounded down.
 
-Selection. A leaf's documents come in epochs, each a permutation by md5(seed:epoch:doc_id). The leaf yields as many whole epochs as its budget
+Selection. A leaf's documents come in epochs, each a permutation by md5(seed:epoch:doc_id:md5 of the text), so that rows of one doc_id, or of none, spread too. The leaf yields as many whole epochs as its budget
 holds, and of the next one a prefix: the documents before which fewer tokens have come than the budget has left. The order is never made for a whole leaf:
 token sums by the key's first digits tell which of these lie before the budget's end, which one holds it, and only that one is sorted.
 
 Tokens are words [^\\x20\\x09-\\x0D]+; null and empty texts have none. Null domains, languages and sources are nodes of their own, of weight 1 like all
-that have no weight given; weight 0 gets nothing. Leaves without tokens yield nothing. Repeated rows count each; rows with one
-doc_id are taken by their tokens, then by the md5 of their texts. Of an empty table nothing is chosen.
+that have no weight given; weight 0 gets nothing. Leaves without tokens yield nothing. Repeated rows count each, and one is as
+good as another. Columns named __key, __bucket, __epochs, __rest, __end, __left or __before can't be used. Of an empty table nothing is chosen.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from labharm.llm.common import cut, small
 
 LEVELS = ("domain", "lang", "source")
-#: Rows meant to share the first digits of their keys, and leaves up to which budgets are broadcast.
-BUCKET_ROWS, BROADCAST_ROWS = 4096, 100_000
+#: Rows meant to share the first digits of their keys, and bytes up to which budgets are broadcast.
+BUCKET_ROWS, BROADCAST_BYTES = 4096, 16 << 20
 
 
 def tokens(text: Column) -> Column:
@@ -58,7 +58,7 @@ def joined(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str
     at = F.lit(True)
     for c in keys:
         at = at & F.col(c).eqNullSafe(F.col(f"__of_{c}"))
-    return left.join(small(right, BROADCAST_ROWS), at, how).drop(*(f"__of_{c}" for c in keys))
+    return left.join(small(right, BROADCAST_BYTES), at, how).drop(*(f"__of_{c}" for c in keys))
 
 
 def plan(leaves: DataFrame, weights: dict[str, dict[str, int]], budget_share: float, max_epochs: int) -> DataFrame:
@@ -79,13 +79,15 @@ def plan(leaves: DataFrame, weights: dict[str, dict[str, int]], budget_share: fl
 def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], budget_share: float, max_epochs: int = 2, seed: int = 0) -> DataFrame:
     """docs (doc_id, text, lang, source, ...) as chosen, a row for each epoch of a document; further columns: domain, epoch (from 0), n_tokens."""
     columns = [c for c in docs.columns if c not in ("domain", "epoch", "n_tokens")]
+    if clash := {"__key", "__bucket", "__epochs", "__rest", "__end", "__left", "__before"} & set(columns):
+        raise ValueError(f"columns that mixing uses itself: {sorted(clash)}")
     docs = docs.withColumns({"domain": domain, "n_tokens": tokens(F.col("text"))}).select(*columns, "domain", "n_tokens")
     leaves = cut(docs.groupBy(*LEVELS).agg(F.sum("n_tokens").alias("tokens"), F.count("*").alias("rows")), "mixing-leaves")
     most = leaves.agg(F.max("rows")).first()[0] or 1
     digits = max(1, min(8, math.ceil(math.log(max(1, most / BUCKET_ROWS), 16))))
     made = plan(leaves, weights, budget_share, max_epochs).filter("budget > 0").select(*LEVELS, F.col("epochs").alias("__epochs"), F.col("rest").alias("__rest"))
     made = cut(made, "mixing-plan")
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("__epochs").cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col("__epochs").cast("string"), F.lit(":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
     rows = joined(docs, made, list(LEVELS), ["__epochs", "__rest"]).withColumn("__key", key).withColumn("__bucket", F.substring("__key", 1, digits))
     # the bucket that holds the end of each leaf's prefix, and what is left there
     sums = rows.filter("__rest > 0").groupBy(*LEVELS, "__rest", "__bucket").agg(F.sum("n_tokens").alias("n"))
@@ -96,7 +98,7 @@ def mix(docs: DataFrame, domain: Column, weights: dict[str, dict[str, int]], bud
     part = placed.filter("__rest > 0").withColumn("epoch", F.col("__epochs"))
     inside = part.filter("__bucket < __end")
     last = part.filter("__bucket = __end")
-    order = W.partitionBy(*LEVELS).orderBy("__key", "n_tokens", F.md5(F.coalesce("text", F.lit("")))).rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy(*LEVELS).orderBy("__key").rowsBetween(W.unboundedPreceding, -1)
     last = last.withColumn("__before", F.coalesce(F.sum("n_tokens").over(order), F.lit(0))).filter("__before < __left")
     out = [*columns, "domain", "epoch", "n_tokens"]
     return whole.select(*out).union(inside.select(*out)).union(last.select(*out))

@@ -36,7 +36,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from labharm.llm.common import cut, hashes, mix, shingles, small, steps, words
+from labharm.llm.common import cut, drop, hashes, mix, shingles, small, steps, words
 
 #: Sizes of a band's sets lie within this factor.
 BAND = 1.5
@@ -48,8 +48,8 @@ BANDS = 57
 FULL = 8
 #: Cost model: chance that a shingle of two unlike sets in one segment agrees, and what a false candidate costs in signatures.
 AGREE, FALSE_COST = 0.2, 200.0
-#: Rows up to which a table of ids is broadcast (16 bytes a row).
-BROADCAST_ROWS = 1_000_000
+#: Bytes up to which a table of ids is broadcast.
+BROADCAST_BYTES = 16 << 20
 
 
 @lru_cache(maxsize=None)
@@ -230,7 +230,9 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
         large = cut(large, name)
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(low, "a").select(F.col("b").alias("x"), "m").filter("x <> m")
-        edges = cut(moved.select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct(), name)
+        before, edges = edges, cut(moved.select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).union(low.select("a", F.col("m").alias("b"))).distinct(), name)
+        drop(before)
+        drop(large)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == last:
             break
@@ -312,7 +314,7 @@ def checked(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, nu
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     one = members.join(needed, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     one = cut(one, "ngram-needed")
-    texts = docs.join(small(one.select("doc_id").distinct(), BROADCAST_ROWS).withColumnRenamed("doc_id", "needed"), F.col("doc_id").eqNullSafe(F.col("needed")), "left_semi")
+    texts = docs.join(small(one.select("doc_id").distinct(), BROADCAST_BYTES).withColumnRenamed("doc_id", "needed"), F.col("doc_id").eqNullSafe(F.col("needed")), "left_semi")
     sets = texts.select("text").mapInArrow(lambda it: sets_of(it, size), "node long, shingles binary")
     sets = cut(sets.join(one, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles")), "ngram-sets")
     left, right = sets.toDF("a", "x"), sets.toDF("b", "y")
@@ -377,11 +379,11 @@ def dedup(docs: DataFrame, size: int = 5, similarity: tuple[int, int] = (4, 5))
     stay = least.union(rows.filter("n = 0").select("doc_id", "node").distinct())
     stay = cut(stay.join(several, F.col("doc_id").eqNullSafe(F.col("__id")), "left").select(F.col("doc_id").alias("__doc"), F.col("node").alias("__stays"), F.coalesce("several", F.lit(False)).alias("several")), "ngram-stay")
     same = F.col("doc_id").eqNullSafe(F.col("__doc"))
-    once = docs.join(small(stay.filter("not several").select("__doc"), BROADCAST_ROWS), same, "left_semi").select(*docs.columns)
+    once = docs.join(small(stay.filter("not several").select("__doc"), BROADCAST_BYTES), same, "left_semi").select(*docs.columns)
     # which row of a doc_id it is that stays, its text tells
     stay = stay.filter("several")
     at, schema = docs.columns.index("text"), StructType([*docs.schema.fields, StructField("__node", LongType()), StructField("__n", LongType())])
-    more = docs.join(small(stay.select("__doc").distinct(), BROADCAST_ROWS), same, "left_semi").select(*docs.columns).mapInArrow(lambda it: with_nodes(it, at, size), schema)
+    more = docs.join(small(stay.select("__doc").distinct(), BROADCAST_BYTES), same, "left_semi").select(*docs.columns).mapInArrow(lambda it: with_nodes(it, at, size), schema)
     more = more.join(stay, (F.col("__node") == F.col("__stays")) & same, "left_semi").withColumn("__key", F.xxhash64("text"))
     more = cut(more.dropDuplicates(["doc_id", "__node", "__key"]), "ngram-several")
     first = more.groupBy(F.col("doc_id").alias("__doc"), F.col("__node").alias("__stays")).agg(F.min("__key").alias("__first"))

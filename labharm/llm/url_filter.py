@@ -17,6 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -116,11 +117,10 @@ def publish(spark: SparkSession, rules: list[tuple[str, str, str]]) -> str:
     data = build(rules)
     name = f"url-rules-{xxhash.xxh3_128_hexdigest(data)}.bin"
     folder = shared_dir(spark, "url-rules")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(data))
-    out.close()
+    at, path = fs.FileSystem.from_uri(folder)
+    at.create_dir(path)
+    with at.open_output_stream(f"{path}/{name}") as out:
+        out.write(data)
     if not any(f.endswith(name) for f in spark.sparkContext.listFiles):
         spark.sparkContext.addFile(f"{folder}/{name}")
     return name

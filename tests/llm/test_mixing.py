@@ -49,7 +49,8 @@ def brute(rows, weights, share, epochs, seed):
         whole, rest = divmod(b, tokens[leaf])
         mine = [d for d in docs if d[2] == leaf]
         out += [(d[0], *leaf, e, d[3]) for d in mine for e in range(whole)]
-        key = lambda d: (hashlib.md5(f"{seed}:{whole}:{'' if d[0] is None else d[0]}".encode()).hexdigest(), d[3], hashlib.md5((d[1] or "").encode()).hexdigest())
+        md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
+        key = lambda d: md5(f"{seed}:{whole}:{'' if d[0] is None else d[0]}:{md5(d[1] or '')}")
         before = 0
         for d in sorted(mine, key=key):
             if before < rest:
@@ -82,6 +83,11 @@ def test_shortage_goes_to_siblings_first(spark):
     assert got == {("en", "small"): 50, ("en", "big"): 480, ("fr", "big"): 530} or got == {("en", "small"): 50, ("en", "big"): 480, ("fr", "big"): 525 + 5}
 
 
+def test_own_columns(spark):
+    with pytest.raises(ValueError, match="__key"):
+        M.mix(spark.createDataFrame([], "doc_id long, text string, lang string, source string, __key int"), F.lit("d"), {}, 0.5)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string")
     assert M.mix(docs, F.lit(None).cast("string"), {}, 0.5).collect() == []
