@@ -38,6 +38,21 @@ def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id::BIGINT AS id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), fit AS (
+  SELECT * FROM v WHERE len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+), n AS (
+  SELECT id, e, sqrt(list_reduce(list_transform(e, lambda x: x * x), lambda a, b: a + b)) AS norm FROM fit WHERE len(e) = (SELECT mode(len(e)) FROM fit)
+), scored AS (
+  SELECT q.id AS query_id, c.id AS vec_id, list_reduce(list_transform(range(1, len(c.e) + 1), lambda i: c.e[i] * q.e[i]), lambda a, b: a + b) / (c.norm * q.norm) AS score
+  FROM n q JOIN n c ON q.id % 50 = 0 AND c.id <> q.id
+), ranked AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
 #: The mixture asked for: domains by source, and weights by node.
 DOMAINS = {"web": [f"src{i}" for i in range(10)], "books": [f"src{i}" for i in range(10, 15)]}
 WEIGHTS = {"domain": {"web": 5, "books": 3, "news": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
@@ -105,6 +120,20 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), size=4, similarity=(85, 100))
 
 
+OP6_SQL = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) END) AS s FROM docs
+), flat AS (SELECT doc_id, len(s) AS n, unnest(list_transform(s, lambda x: hash(x))) AS g FROM sets),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS k FROM flat a JOIN flat b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM pairs WHERE 100 * k >= 85 * (n + m - k)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN least ON x = doc_id
+"""
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.summary(table(spark, sf_dir, "documents"))
 
@@ -158,4 +187,4 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_token_tables": op10_token_tables,
 }
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op3_mixing": OP3_SQL, "op9_url_filter": OP9_SQL}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_nearest": OP2_SQL, "op3_mixing": OP3_SQL, "op6_ngram_join": OP6_SQL, "op9_url_filter": OP9_SQL}
