@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labharm.functions import text
 from labharm.functions.keys import K5, numeric_filter, regex_filter
 from labharm.operators import distributions as D
-from labharm.operators import drift, extract, report, similarity, validate
+from labharm.operators import drift, extract, preview, report, similarity, validate
 from labharm.operators import harmonise as H
 from labharm.plans import lab
+from labharm.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -155,8 +157,7 @@ add("summary_test", lambda s, d: extract.summary_test(measurement(s, d)), "SELEC
 add("summary_values_source", lambda s, d: extract.summary_values_source(measurement(s, d)), "SELECT * FROM sources")
 add("summary_outcomes", lambda s, d: extract.summary_outcomes(measurement(s, d)), "SELECT * FROM outcomes")
 VALS = "n_subjects, n_records, round(decile, 1) AS decile, round(decile_MEASUREMENT_VALUE, 6) AS decile_MEASUREMENT_VALUE, round(decile_MEASUREMENT_VALUE_HARMONIZED, 6) AS decile_MEASUREMENT_VALUE_HARMONIZED"
-for _name in ("summary_values", "deciles_long"):
-    add(_name, lambda s, d: extract.summary_values(measurement(s, d)).select(*K5, "n_subjects", "n_records", F.round("decile", 1).alias("decile"), *rounded("decile_MEASUREMENT_VALUE", "decile_MEASUREMENT_VALUE_HARMONIZED")), f"SELECT {K}, {VALS} FROM vals")
+add("summary_values", lambda s, d: extract.summary_values(measurement(s, d)).select(*K5, "n_subjects", "n_records", F.round("decile", 1).alias("decile"), *rounded("decile_MEASUREMENT_VALUE", "decile_MEASUREMENT_VALUE_HARMONIZED")), f"SELECT {K}, {VALS} FROM vals")
 add("deciles_wide", lambda s, d: extract.summary_values_wide(measurement(s, d)).select(*K5, *(F.round(F.get("v", F.lit(i)), 6).alias(f"v{i + 1}") for i in range(9))), f"SELECT {K}, {', '.join(f'round(v[{i}], 6) AS v{i}' for i in range(1, 10))} FROM wide")
 add("scaled_suppression", lambda s, d: extract.summary_values_wide(measurement(s, d)).select(*K5, "n_records", "n_subjects"), f"SELECT {K}, n_records, n_subjects FROM wide")
 add("suppress_small_cells", lambda s, d: extract.suppressed(extract.counted(measurement(s, d), "TEST_NAME", "MEASUREMENT_UNIT", "IS_EXTRACTED", "MEASUREMENT_VALUE_TYPE", "TEST_OUTCOME")), "SELECT TEST_NAME, MEASUREMENT_UNIT, IS_EXTRACTED, MEASUREMENT_VALUE_TYPE, TEST_OUTCOME, count(*) AS n_records, count(DISTINCT subject) AS n_subjects FROM m GROUP BY ALL HAVING count(DISTINCT subject) > 5")
@@ -238,25 +239,69 @@ add("unit_injection_decision", lambda s, d: _injection(s, d).select("OMOP_CONCEP
 
 # ---- comparison and report
 add("remote_differences", lambda s, d: enriched(s, d).select("rowId", "diff_measurement_unit", "differences"), "SELECT rowId, diff_measurement_unit, differences FROM enriched")
-UNIT_CHANGE = "CASE WHEN coalesce(MEASUREMENT_UNIT_PREFIX, '') <> coalesce(local_MEASUREMENT_UNIT, '') THEN coalesce(MEASUREMENT_UNIT_PREFIX, '') || ' -> ' || coalesce(local_MEASUREMENT_UNIT, '') ELSE '' END"
-VALUE_CHANGE = "CASE WHEN local_h IS NULL THEN '' ELSE (CASE WHEN coalesce(local_MEASUREMENT_UNIT_HARMONIZED, '') <> coalesce(local_MEASUREMENT_UNIT_HARMONIZED_target, '') THEN 'MISSING ' ELSE '' END) || (CASE WHEN coalesce(local_MEASUREMENT_UNIT, '') <> coalesce(local_MEASUREMENT_UNIT_HARMONIZED_target, '') THEN coalesce(local_MEASUREMENT_UNIT, '') || ' -> ' || coalesce(local_MEASUREMENT_UNIT_HARMONIZED_target, '') ELSE '' END) || ' *' || coalesce(local_CONVERSION_FACTOR, 'NA') END"
-TEST_ID = "coalesce(TEST_NAME, 'NA') || ' [' || coalesce(MEASUREMENT_UNIT_PREFIX, '') || ']' || CASE WHEN IS_EXTRACTED THEN ' (Extracted)' ELSE '' END"
-add("unit_change_text", lambda s, d: enriched(s, d).select("rowId", report.unit_change().alias("unitChange"), report.value_unit_change().alias("valueUnitChange")), f"SELECT rowId, {UNIT_CHANGE} AS unitChange, {VALUE_CHANGE} AS valueUnitChange FROM enriched")
-add("test_id", lambda s, d: summary(s, d).select("rowId", report.test_id().alias("testId")), f"SELECT rowId, {TEST_ID} AS testId FROM summary")
+UNIT = lambda local: "local_MEASUREMENT_UNIT" if local else "MEASUREMENT_UNIT"
+
+
+def _unit_change(local: bool = True) -> str:
+    return f"CASE WHEN coalesce(MEASUREMENT_UNIT_PREFIX, '') <> coalesce({UNIT(local)}, '') THEN coalesce(MEASUREMENT_UNIT_PREFIX, '') || ' -> ' || coalesce({UNIT(local)}, '') ELSE '' END"
+
+
+def _value_change(local: bool = True) -> str:
+    c = "local_" if local else ""
+    target = "coalesce(local_MEASUREMENT_UNIT_HARMONIZED_target, '')"
+    return f"CASE WHEN {'local_h' if local else 'h'} IS NULL THEN '' ELSE (CASE WHEN coalesce({c}MEASUREMENT_UNIT_HARMONIZED, '') <> {target} THEN 'MISSING: ' ELSE '' END) || (CASE WHEN coalesce({c}MEASUREMENT_UNIT, '') <> {target} THEN coalesce({c}MEASUREMENT_UNIT, '') || ' -> ' || {target} ELSE '' END) || coalesce(' *' || {c}CONVERSION_FACTOR, '') END"
+
+
+def _test_id(unit: str = "MEASUREMENT_UNIT") -> str:
+    return f"coalesce(TEST_NAME, 'NA') || ' [' || coalesce({unit}, '') || ']' || CASE WHEN IS_EXTRACTED THEN ' (Extracted)' ELSE '' END"
+
+
+add("unit_change_text", lambda s, d: enriched(s, d).select("rowId", report.unit_change().alias("unitChange"), report.value_unit_change().alias("valueUnitChange")), f"SELECT rowId, {_unit_change()} AS unitChange, {_value_change()} AS valueUnitChange FROM enriched")
+add("test_id", lambda s, d: summary(s, d).select("rowId", report.test_id().alias("testId")), f"SELECT rowId, {_test_id()} AS testId FROM summary")
 add("issue_links", lambda s, d: lab.vocabulary(s, "mapping").select("line", report.issue_links("validationMessages", "https://example.org/issues/").alias("message")), """SELECT line, regexp_replace(validationMessages, '#(\\d+)', '<a href="https://example.org/issues/\\1">#\\1</a>', 'g') AS message FROM mapping""")
 for _name, _local in (("view_local", True), ("view_remote", False)):
-    add(_name, lambda s, d, x=_local: report.view(enriched(s, d), x), "SELECT rowId, " + ", ".join(f"{c[0] if _local else c[1]} AS {n}" for n, c in report.VIEW.items()) + " FROM enriched")
+    _plain = {n: c for n, c in report.VIEW.items() if n != "decilesHarmonized"}
+    add(_name, lambda s, d, x=_local: report.view(enriched(s, d), x).withColumn("decilesHarmonized", F.get("decilesHarmonized", F.lit(4)).cast("double")).withColumn("decilesHarmonized", F.round("decilesHarmonized", 6)), "SELECT rowId, " + ", ".join(f"{c[0] if _local else c[1]} AS {n}" for n, c in _plain.items()) + f", round({'local_h' if _local else 'h'}[5], 6) AS decilesHarmonized FROM enriched")
 add("report_distribution_text", lambda s, d: summary(s, d).select("rowId", report.distribution_text("distribution_values", D.SOURCES).alias("values"), report.distribution_text("distribution_outcomes", D.OUTCOMES).alias("outcomes")), f'SELECT rowId, {_text_sql("dv", D.SOURCES)} AS "values", {_text_sql("dx", D.OUTCOMES)} AS outcomes FROM summary')
 DECILE_SQL = "CASE WHEN $v IS NOT NULL THEN '[ ' || array_to_string(list_transform($v, lambda x: format('{:.2f}', floor(x * 100 + 0.5) / 100)), ', ') || ' ' || coalesce($u, 'NA') || ' ]' END"
 _dec = lambda v, u: DECILE_SQL.replace("$v", v).replace("$u", u)
 add("report_decile_text", lambda s, d: enriched(s, d).select("rowId", report.decile_text("v", "local_MEASUREMENT_UNIT").alias("deciles")), f"SELECT rowId, {_dec('v', 'local_MEASUREMENT_UNIT')} AS deciles FROM enriched")
+
+
+def _report_sql(local: bool) -> str:
+    c = "local_" if local else ""
+    log_p = lambda p: f"round(-log10(nullif({p}, 0.0)), 2)"
+    return f"""SELECT rowId, status, {c}OMOP_CONCEPT_ID AS conceptId, local_OMOP_CONCEPT_NAME AS conceptName, {c}omopQuantity AS omopQuantity, {_unit_change(local)} AS unitChange, {_test_id(UNIT(local))} AS testId, n_subjects AS nPeople, n_records AS nRecords,
+    {_text_sql("dv", D.SOURCES)} AS "values", {_text_sql("dx", D.OUTCOMES)} AS outcomes, {_dec("v", UNIT(local))} AS deciles, round(ks, 2) AS ks, {log_p("p")} AS ksLogP, {_value_change(local)} AS valueUnitChange,
+    {_dec(f"{'local_h' if local else 'h'}", f"{c}MEASUREMENT_UNIT_HARMONIZED")} AS decilesHarmonized, round(ks_harmonized, 2) AS ksHarmonized, {log_p("p_harmonized")} AS ksHarmonizedLogP,
+    regexp_replace(message, '#(\\d+)', '<a href="https://example.org/issues/\\1">#\\1</a>', 'g') AS message, differences, isNotHarmonised FROM enriched"""
+
+
+for _name, _local in (("report_table", True), ("report_table_remote", False)):
+    add(_name, lambda s, d, x=_local: report.table(enriched(s, d), x, "https://example.org/issues/"), _report_sql(_local))
+add("report_top", lambda s, d: report.table(enriched(s, d)).limit(5).select("rowId", "nRecords"), "SELECT rowId, n_records AS nRecords FROM enriched ORDER BY n_records DESC NULLS LAST, rowId LIMIT 5")
+add(
+    "report_text_table",
+    lambda s, d: report.text_table(enriched(s, d)),
+    f"""SELECT rowId, status, local_OMOP_CONCEPT_ID AS conceptId, local_OMOP_CONCEPT_NAME AS conceptName, local_omopQuantity AS omopQuantity, {_test_id(UNIT(True))} AS testId, n_subjects AS nPeople, n_records AS nRecords, {_text_sql("dv", D.SOURCES)} AS "values", {_text_sql("dx", D.OUTCOMES)} AS outcomes,
+    {_dec("v", UNIT(True))} AS deciles, round(ks, 2) AS ks, {_dec("local_h", "local_MEASUREMENT_UNIT_HARMONIZED")} AS decilesHarmonized, round(ks_harmonized, 2) AS ksHarmonized, message, differences, round(p, 2) AS pValue, round(p_harmonized, 2) AS pValueHarmonized FROM enriched""",
+)
+_SOURCE_COLOURS = {"Source": "#51A351", "Extracted": "#F89406", "Missing": "#BD362F"}
+_JSON_SQL = "[" + ", ".join(repr(c) for c in D.SOURCES) + "]"
+add(
+    "distribution_json",
+    lambda s, d: summary(s, d).select("rowId", report.distribution_json("distribution_values", D.SOURCES, _SOURCE_COLOURS).alias("json")),
+    "SELECT rowId, '[' || array_to_string(list_transform(" + _JSON_SQL + ", lambda c: '{\"value\":\"' || c || '\",\"n\":' || dv[c] || ',\"percent\":\"' || format('{:.1f}', floor(1000.0::DOUBLE * dv[c] / greatest(list_sum(map_values(dv)), 1) + 0.5) / 10) || '\",\"colour\":\"' || CASE c "
+    + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SOURCE_COLOURS.items()) + " ELSE '#CCCCCC' END || '\"}'), ',') || ']' AS json FROM summary",
+)
 add(
-    "report_table",
-    lambda s, d: report.table(enriched(s, d)),
-    f"""SELECT rowId, status, local_OMOP_CONCEPT_ID AS conceptId, local_OMOP_CONCEPT_NAME AS conceptName, {TEST_ID} AS testId, n_subjects AS nPeople, n_records AS nRecords, {UNIT_CHANGE} AS unitChange, {VALUE_CHANGE} AS valueUnitChange,
-    {_text_sql("dv", D.SOURCES)} AS "values", {_text_sql("dx", D.OUTCOMES)} AS outcomes, {_dec("v", "local_MEASUREMENT_UNIT")} AS deciles, {_dec("local_h", "local_MEASUREMENT_UNIT_HARMONIZED")} AS decilesHarmonized, round(ks, 2) AS ks, round(ks_harmonized, 2) AS ksHarmonized, differences, message FROM enriched""",
+    "running_percent",
+    lambda s, d: summary(s, d).select("rowId", F.posexplode(report.running_percent("distribution_outcomes", D.OUTCOMES)).alias("place", "percent")),
+    ", lists AS (SELECT rowId, list_transform([" + ", ".join(repr(c) for c in D.OUTCOMES) + "], lambda c: dx[c]) AS n FROM summary), places AS (SELECT rowId, n, unnest(range(len(n)))::INT AS place FROM lists) SELECT rowId, place, floor(1000.0::DOUBLE * list_sum(n[1 : place + 1]) / list_sum(n) + 0.5) / 10 AS percent FROM places WHERE list_sum(n) > 0",
 )
-add("distribution_json", lambda s, d: summary(s, d).select("rowId", F.to_json("distribution_values").alias("json")), "SELECT rowId, '[' || array_to_string(list_transform(map_entries(dv), lambda e: '{\"value\":\"' || e.key || '\",\"n\":' || e.value || '}'), ',') || ']' AS json FROM summary")
+add("unnest_keep_empty", lambda s, d: summary(s, d).select("rowId", F.inline_outer(F.filter("distribution_outcomes", lambda x: x["n"] > 100))), ", flat AS (SELECT rowId, unnest(map_entries(dx), recursive := true) FROM summary), many AS (SELECT * FROM flat WHERE value > 100) SELECT s.rowId, f.key AS value, f.value AS n FROM summary s LEFT JOIN many f USING (rowId)")
+add("number_text", lambda s, d: summary(s, d).select("rowId", text.number("n_records").alias("n"), text.number(F.col("n_subjects") / F.col("n_records")).alias("share")), "SELECT rowId, regexp_replace(printf('%.6f', n_records::DOUBLE), '\\.?0+$', '') AS n, regexp_replace(printf('%.6f', n_subjects::DOUBLE / n_records), '\\.?0+$', '') AS share FROM summary")
+add("quote_escaping", lambda s, d: mapped(s, d).select("rowId", text.escaped(F.concat(F.lit("title=\""), F.coalesce("message", F.lit("it's")), F.lit("\""))).alias("attribute")), "SELECT rowId, replace(replace('title=\"' || coalesce(message, 'it''s') || '\"', '\"', '&quot;'), chr(39), '&#39;') AS attribute FROM mapped")
 add("category_colour", lambda s, d: mapped(s, d).select("rowId", report.colour(F.col("status")).alias("colour")), "SELECT rowId, CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in report.COLOURS.items()) + " ELSE '#CCCCCC' END AS colour FROM mapped")
 add("ordered_distribution", lambda s, d: summary(s, d).select("rowId", D.text(report.ordered("distribution_outcomes", D.OUTCOMES)).alias("outcomes")), "SELECT rowId, array_to_string(list_transform([" + ", ".join(repr(c) for c in D.OUTCOMES) + "], lambda c: c || '=' || dx[c]), '|') AS outcomes FROM summary")
 add("status_rollup", lambda s, d: report.status_rollup(mapped(s, d)), "SELECT status, count(*) FILTER (WHERE contains(message, 'WARNING')) AS n_warnings, count(*) AS n_tests, sum(n_subjects)::BIGINT AS n_subjects, sum(n_records)::BIGINT AS n_records FROM mapped GROUP BY status")
@@ -264,34 +309,34 @@ SHARE_SQL = ", rolled AS (SELECT status, count(*) FILTER (WHERE contains(message
 add("status_share", lambda s, d: report.status_share(mapped(s, d)).drop("p_running"), SHARE_SQL + "SELECT * EXCLUDE (p_running) FROM shares")
 add("running_share", lambda s, d: report.status_share(mapped(s, d)).select("status", "p_running"), SHARE_SQL + "SELECT status, p_running FROM shares")
 add("value_source_rollup", lambda s, d: report.source_rollup(mapped(s, d)), "SELECT local_OMOP_CONCEPT_ID, " + ", ".join(f"sum(dv['{c}'])::BIGINT AS {c}" for c in D.SOURCES) + " FROM mapped GROUP BY 1")
-MESSAGES = ["WARNING", "IGNORED", "#"]
-add("message_rollup", lambda s, d: report.message_rollup(mapped(s, d), MESSAGES), "SELECT local_OMOP_CONCEPT_ID, " + ", ".join(f"count(*) FILTER (WHERE contains(message, '{t}')) AS n_{i}" for i, t in enumerate(MESSAGES)) + " FROM mapped GROUP BY 1")
+add("message_rollup", lambda s, d: report.message_rollup(mapped(s, d)), "SELECT local_OMOP_CONCEPT_ID, count(*) AS n_tests, sum(n_subjects)::BIGINT AS n_subjects, sum(n_records)::BIGINT AS n_records, " + ", ".join(f"count(*) FILTER (WHERE contains(message, '{t}')) AS {n}" for n, t in report.MESSAGES.items()) + " FROM mapped GROUP BY 1")
 
 # ---- filters
-add("filter_regex", lambda s, d: summary(s, d).withColumn("testId", report.test_id()).filter(regex_filter("testId", "^CLICK|mol")).select("rowId", "testId"), f"SELECT * FROM (SELECT rowId, {TEST_ID} AS testId FROM summary) WHERE regexp_matches(testId, '(?i)^CLICK|mol')")
-for _name, _text, _sql in (("range", "80 - 30.5", "ks_x > 30.5 - 1e-9 AND ks_x < 80 + 1e-9"), ("ge", ">= 60", "ks_x >= 60 - 1e-9"), ("lt", "<60", "ks_x < 60 - 1e-9"), ("eq", "=0", "abs(ks_x) < 1e-9"), ("na", "NA", "ks_x IS NULL"), ("other", "==3", "ks_x IS NOT NULL")):
+add("filter_regex", lambda s, d: summary(s, d).withColumn("testId", report.test_id()).filter(regex_filter("testId", "^CLICK|mol")).select("rowId", "testId"), f"SELECT * FROM (SELECT rowId, {_test_id()} AS testId FROM summary) WHERE regexp_matches(testId, '(?i)^CLICK|mol')")
+for _name, _text, _sql in (("range", "80 - 10", "ks_x > 10 - 1e-9 AND ks_x < 80 + 1e-9"), ("ge", ">= 10", "ks_x >= 10 - 1e-9"), ("lt", "<60", "ks_x < 60 - 1e-9"), ("eq", "=0", "abs(ks_x) < 1e-9"), ("na", "NA", "ks_x IS NULL"), ("other", "==3", "ks_x IS NOT NULL")):
     add(f"filter_numeric_{_name}", lambda s, d, t=_text: enriched(s, d).withColumn("ks_x", F.col("ks") * 100).filter(numeric_filter("ks_x", t)).select("rowId"), f", x AS (SELECT rowId, ks * 100 AS ks_x FROM enriched) SELECT rowId FROM x WHERE {_sql}")
 
 
 # ---- similar names, out of part: names that come in size 50 are mapped, the others not
 def _tests(s: SparkSession, d: str) -> DataFrame:
-    return s.read.parquet(f"{d}/part.parquet").groupBy(F.concat_ws(" ", "p_name", "p_brand").alias("name")).agg(F.when(F.max("p_size") >= 50, F.max("p_partkey")).otherwise(F.lit(0).cast("long")).alias("concept"), F.count("*").alias("n"))
+    return s.read.parquet(f"{d}/part.parquet").groupBy(F.concat(F.concat_ws(" ", "p_name", "p_brand"), F.lit(" []")).alias("name")).agg(F.when(F.max("p_size") >= 50, F.max("p_partkey")).otherwise(F.lit(0).cast("long")).alias("concept"), F.count("*").alias("n"))
 
 
-TESTS_SQL = "WITH tests AS (SELECT p_name || ' ' || p_brand AS name, CASE WHEN max(p_size) >= 50 THEN max(p_partkey) ELSE 0 END AS concept, count(*) AS n FROM part GROUP BY 1), named AS (SELECT * FROM tests WHERE try_cast(name AS DOUBLE) IS NULL), found AS (SELECT a.name, b.concept, b.name AS other, 1 - jaro_similarity(a.name, b.name) AS distance FROM named a, named b WHERE a.concept < 1 AND b.concept >= 1), near AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, other, concept) AS rank FROM found QUALIFY rank <= 10), rolled AS (SELECT name, concept, count(*) AS n, string_agg(other, ' | ' ORDER BY other) AS names, avg(distance) AS mean_distance FROM near GROUP BY 1, 2) "
+TESTS_SQL = "WITH tests AS (SELECT p_name || ' ' || p_brand || ' []' AS name, CASE WHEN max(p_size) >= 50 THEN max(p_partkey) ELSE 0 END AS concept, count(*) AS n FROM part GROUP BY 1), named AS (SELECT * FROM tests WHERE try_cast(name AS DOUBLE) IS NULL AND n > 0), found AS (SELECT a.name, b.concept, b.name AS other, 1 - jaro_similarity(a.name, b.name) AS distance FROM named a, named b WHERE a.concept < 1 AND b.concept >= 1), near AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, other, concept) AS rank FROM found QUALIFY rank <= 10), rolled AS (SELECT name, concept, count(*) AS n, string_agg(other, ' | ' ORDER BY other) AS names, avg(distance) AS mean_distance FROM near GROUP BY 1, 2) "
 
 
 def _pairs(s, d):
-    mapped_, unmapped = similarity.split_mapped(_tests(s, d))
+    mapped_, unmapped = similarity.split_mapped(_tests(s, d), above=0)
     return similarity.pairs(mapped_, unmapped)
 
 
 add("non_numeric_names", lambda s, d: _tests(s, d).filter("try_cast(name as double) is null"), TESTS_SQL + "SELECT * FROM named", own=True)
-add("mapped_unmapped_split", lambda s, d: similarity.split_mapped(_tests(s, d))[1].select("name"), TESTS_SQL + "SELECT name FROM named WHERE concept < 1", own=True)
-for _name in ("similarity_pairs", "jaro_distance"):
-    add(_name, lambda s, d: _pairs(s, d).select("name", "concept", "other", *rounded("distance")), TESTS_SQL + "SELECT name, concept, other, round(distance, 6) AS distance FROM found", own=True)
+add("mapped_unmapped_split", lambda s, d: similarity.split_mapped(_tests(s, d), above=0)[1].select("name"), TESTS_SQL + "SELECT name FROM named WHERE concept < 1", own=True)
+add("jaro_distance", lambda s, d: _pairs(s, d).select("name", "concept", "other", *rounded("distance")), TESTS_SQL + "SELECT name, concept, other, round(distance, 6) AS distance FROM found", own=True)
 add("similarity_topk", lambda s, d: similarity.nearest(_pairs(s, d)).select("name", "rank", "other", "concept"), TESTS_SQL + "SELECT name, rank, other, concept FROM near", own=True)
 add("similarity_rollup", lambda s, d: similarity.by_concept(similarity.nearest(_pairs(s, d))).select("name", "concept", "n", "names", *rounded("mean_distance")), TESTS_SQL + "SELECT name, concept, n, names, round(mean_distance, 6) AS mean_distance FROM rolled", own=True)
+_LINK = "'=HYPERLINK(\"https://example.org/' || concept || '\", \"' || concept || '\"&CHAR(10)&\"' || n || ' testIds: ' || replace(names, '\"', '\"\"') || '\"&CHAR(10)&\"distance: ' || regexp_replace(printf('%.6f', round(mean_distance, 3)), '\\.?0+$', '') || '\")'"
+add("similarity_formulas", lambda s, d: similarity.formulas(similarity.by_concept(similarity.nearest(_pairs(s, d))), "https://example.org/"), TESTS_SQL + "SELECT name, " + ", ".join(f"max(CASE WHEN r = {i} THEN {_LINK} END) AS closest_{i}" for i in (1, 2, 3)) + " FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
 WIDE_SQL = ", ".join(f"max(CASE WHEN r = {i} THEN concept END) AS concept_{i}, round(max(CASE WHEN r = {i} THEN mean_distance END), 6) AS mean_distance_{i}" for i in (1, 2, 3))
 add("similarity_wide", lambda s, d: similarity.wide(similarity.by_concept(similarity.nearest(_pairs(s, d)))).select("name", *(f"concept_{i}" for i in (1, 2, 3)), *rounded(*(f"mean_distance_{i}" for i in (1, 2, 3)))), TESTS_SQL + f"SELECT name, {WIDE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
 
@@ -306,18 +351,18 @@ add("conversion_reciprocity", lambda s, d: validate.one_way_rules(lab.vocabulary
 
 def _log(s: SparkSession, d: str) -> DataFrame:
     mapping, conversion, fix = (lab.vocabulary(s, n) for n in ("mapping", "conversion", "unit_fix"))
-    return validate.log("mapping", validate.mapping_rules(mapping, conversion)).union(validate.log("unit_fix", validate.fix_rules(fix, mapping)))
+    return validate.log("mapping", validate.mapping_rules(mapping, conversion)).union(validate.log("codes", validate.code_rules(lab.vocabulary(s, "codes"), lab.vocabulary(s, "concepts")))).union(validate.log("unit_fix", validate.fix_rules(fix, mapping)))
 
 
 _BAD_UNIT = "measurementUnit IS NULL AND NOT EXISTS (SELECT 1 FROM conversion WHERE source_unit_valid IS NULL) OR measurementUnit IS NOT NULL AND measurementUnit NOT IN (SELECT source_unit_valid FROM conversion WHERE source_unit_valid IS NOT NULL)"
 _BAD_QUANTITY = "NOT EXISTS (SELECT 1 FROM rules r WHERE r.omop_quantity = omopQuantity AND r.source_unit_valid = measurementUnit)"
+_OUTDATED = "conceptId <> 0 AND conceptId NOT IN (SELECT conceptId FROM concepts WHERE invalidReason IS NULL)"
+_MIXED = "SELECT count(*) FROM (SELECT sourceCode, string_agg(DISTINCT domainId, '|' ORDER BY domainId) AS domains FROM codes JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND mappingStatus {} GROUP BY 1) t WHERE contains(domains, '|') AND domains NOT IN (" + ", ".join(map(repr, validate.TOGETHER)) + ")"
 _STEPS = [
     ("mapping", "Missing default columns", "ERROR", "SELECT 0 AS n"),
     ("mapping", "SourceCode is empty", "ERROR", "SELECT count(*) FROM mapping WHERE coalesce(trim(sourceCode), '') = ''"),
     ("mapping", "SourceCode and conceptId not unique", "ERROR", "SELECT count(*) FROM (SELECT 1 FROM mapping GROUP BY sourceCode, conceptId HAVING count(*) > 1)"),
     ("mapping", "SourceCode is more than 50 characters", "ERROR", "SELECT count(*) FROM mapping WHERE length(sourceCode) > 50"),
-    ("mapping", "ConceptName is empty", "WARNING", "SELECT count(*) FROM mapping WHERE coalesce(trim(conceptName), '') = ''"),
-    ("mapping", "ConceptName is more than 255 characters", "ERROR", "SELECT count(*) FROM mapping WHERE length(conceptName) > 255"),
     ("mapping", "MappingStatus is empty", "ERROR", "SELECT count(*) FROM mapping WHERE coalesce(trim(mappingStatus), '') = ''"),
     ("mapping", "MappingStatus is not valid", "ERROR", "SELECT count(*) FROM mapping WHERE mappingStatus NOT IN (" + ", ".join(map(repr, validate.STATUSES)) + ")"),
     ("mapping", "APPROVED conceptId is 0", "ERROR", "SELECT count(*) FROM mapping WHERE mappingStatus = 'APPROVED' AND conceptId = 0"),
@@ -327,6 +372,25 @@ _STEPS = [
     ("mapping", "LAB APPROVED invalid quantity", "ERROR", f"SELECT count(*) FROM mapping WHERE mappingStatus = 'APPROVED' AND {_BAD_QUANTITY}"),
     ("mapping", "LAB not APPROVED invalid quantity", "WARNING", f"SELECT count(*) FROM mapping WHERE mappingStatus <> 'APPROVED' AND {_BAD_QUANTITY}"),
     ("mapping", "LAB same test and quantity, different concepts", "WARNING", "SELECT count(*) FROM (SELECT 1 FROM mapping WHERE mappingStatus = 'APPROVED' GROUP BY testNameAbbreviation, omopQuantity HAVING count(DISTINCT conceptId) > 1)"),
+    ("codes", "SourceName is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceName), '') = ''"),
+    ("codes", "SourceName is more than 255 characters", "ERROR", "SELECT count(*) FROM codes WHERE length(sourceName) > 255"),
+    ("codes", "SourceFrequency is not empty", "ERROR", "SELECT count(*) FROM codes WHERE sourceFrequency IS NULL"),
+    ("codes", "APPROVED mappingStatus with concepts outdated", "ERROR", f"SELECT count(*) FROM codes WHERE mappingStatus = 'APPROVED' AND {_OUTDATED}"),
+    ("codes", "Not APPROVED mappingStatus with concepts outdated", "WARNING", f"SELECT count(*) FROM codes WHERE mappingStatus <> 'APPROVED' AND {_OUTDATED}"),
+    ("codes", "Missing C&CR columns", "ERROR", "SELECT 0 AS n"),
+    ("codes", "SourceConceptId is empty", "ERROR", "SELECT count(*) FROM codes WHERE sourceConceptId IS NULL"),
+    ("codes", "SourceConceptId is not a number on the range", "ERROR", "SELECT count(*) FROM codes WHERE sourceConceptId < 2002400000 OR sourceConceptId > 2002499999"),
+    ("codes", "SourceConceptClass is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceConceptClass), '') = ''"),
+    ("codes", "SourceConceptClass is more than 20 characters", "ERROR", "SELECT count(*) FROM codes WHERE length(sourceConceptClass) > 20"),
+    ("codes", "SourceDomain is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceDomain), '') = ''"),
+    ("codes", "SourceDomain is not a valid domain", "ERROR", "SELECT count(*) FROM codes WHERE trim(sourceDomain) <> '' AND sourceDomain NOT IN (" + ", ".join(map(repr, validate.DOMAINS)) + ")"),
+    ("codes", "Not APPROVED mappingStatus with valid domain combination", "WARNING", _MIXED.format("<> 'APPROVED'")),
+    ("codes", "APPROVED mappingStatus with valid domain combination", "ERROR", _MIXED.format("= 'APPROVED'")),
+    ("codes", "Missing date columns", "ERROR", "SELECT 0 AS n"),
+    ("codes", "SourceValidStartDate is after SourceValidEndDate", "ERROR", "SELECT count(*) FROM codes WHERE validStart::DATE > validEnd::DATE"),
+    ("codes", "Missing parent columns", "ERROR", "SELECT 0 AS n"),
+    ("codes", "Invalid parent concept code", "ERROR", "SELECT count(*) FROM codes c WHERE trim(parentCode) <> '' AND NOT EXISTS (SELECT 1 FROM codes p WHERE p.sourceCode = c.parentCode)"),
+    ("codes", "LAB: Invalid lab mapped domain", "WARNING", "SELECT count(*) FROM codes JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND domainId <> 'Measurement'"),
     ("unit_fix", "Missing required columns", "ERROR", "SELECT 0 AS n"),
     ("unit_fix", "TEST_NAME and unit not unique", "ERROR", "SELECT count(*) FROM (SELECT 1 FROM unit_fix GROUP BY TEST_NAME_ABBREVIATION, source_unit_clean HAVING count(*) > 1)"),
     ("unit_fix", "TEST_NAME_ABBREVIATION is empty", "ERROR", "SELECT count(*) FROM unit_fix WHERE coalesce(trim(TEST_NAME_ABBREVIATION), '') = ''"),
@@ -336,3 +400,22 @@ LOG_SQL = VOCABULARY + ", log AS (" + " UNION ALL ".join(f"SELECT '{c}' AS conte
 add("validate_log", _log, LOG_SQL + "SELECT * FROM log", own=True)
 add("validate_rollup", lambda s, d: validate.rollup(_log(s, d)), LOG_SQL + "SELECT context, " + ", ".join(f"count(*) FILTER (WHERE type = '{t}') AS {t}" for t in validate.SEVERITY) + " FROM log GROUP BY context", own=True)
 add("final_status", lambda s, d: validate.final_status(_log(s, d)), LOG_SQL + "SELECT CASE WHEN count(*) FILTER (WHERE type = 'ERROR') > 0 THEN 'ERROR' WHEN count(*) FILTER (WHERE type = 'WARNING') > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS final_status FROM log", own=True)
+add("status_page", lambda s, d: s.createDataFrame([(line,) for line in validate.status_markdown(_log(s, d)).split("\n") if line.startswith("|") and line.count("|") == 5 and "type" not in line and ":--" not in line and "SUCCESS|WARNING" not in line], "line string"), LOG_SQL + "SELECT '|' || context || '|' || type || '|' || step || '|' || n || '|' AS line FROM log UNION ALL SELECT '|' || context || '|' || count(*) FILTER (WHERE type = 'SUCCESS') || '|' || count(*) FILTER (WHERE type = 'WARNING') || '|' || count(*) FILTER (WHERE type = 'ERROR') || '|' FROM log GROUP BY context", own=True)
+
+# ---- looking at tables
+add("row_cap", lambda s, d: preview.cap(measurement(s, d), 100).agg(F.count("*").alias("n")), "SELECT least(100, count(*)) AS n FROM m")
+add("seeded_sample", lambda s, d: preview.sample(lab.raw(s, d).select("TEST_NAME").distinct(), 3, ["TEST_NAME"], 7), "SELECT DISTINCT TEST_NAME FROM m ORDER BY md5('7' || chr(31) || coalesce(TEST_NAME, '')) LIMIT 3")
+add("column_preview", lambda s, d: preview.columns(lab.vocabulary(s, "conversion")).select("place", "name", "n", "n_missing", "smallest", "largest"), "WITH " + lab.sql_tables() + " " + " UNION ALL ".join(f"SELECT {i}::INT AS place, '{c}' AS name, count(*) AS n, count(*) - count({c}) AS n_missing, min({c}) AS smallest, max({c}) AS largest FROM conversion" for i, c in enumerate(x.split()[0] for x in lab.TABLES["conversion"][0].split(", "))), own=True)
+add("row_counts", lambda s, d: preview.counts(extract.summary_values_source(measurement(s, d)), K5), f"SELECT (SELECT count(*) FROM sources) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT {K} FROM sources)) AS n_keys")
+add("look_up", lambda s, d: preview.look_up(summary(s, d).select("rowId", "TEST_NAME", "MEASUREMENT_UNIT"), 4, TEST_NAME="click", MEASUREMENT_UNIT=None), "SELECT rowId, TEST_NAME, MEASUREMENT_UNIT FROM summary WHERE TEST_NAME = 'click' AND MEASUREMENT_UNIT IS NULL ORDER BY rowId LIMIT 4")
+add("side_by_side", lambda s, d: preview.beside(lab.vocabulary(s, "mapping").select("line", "sourceCode"), lab.vocabulary(s, "ignored"), [F.col("line")], [F.col("TEST_NAME"), F.col("REASON")]), VOCABULARY + "SELECT line, sourceCode, TEST_NAME, REASON FROM (SELECT line, sourceCode, row_number() OVER (ORDER BY line) AS k FROM mapping) FULL JOIN (SELECT *, row_number() OVER (ORDER BY TEST_NAME, REASON) AS k FROM ignored) USING (k)", own=True)
+add("concept_ids", lambda s, d: lab.vocabulary(s, "conversion").select("omop_quantity", F.expr("try_cast(only_to_omop_concepts as int)").alias("concept"), F.expr("try_cast(conversion as int)").alias("factor")), VOCABULARY + "SELECT omop_quantity, try_cast(only_to_omop_concepts AS INT) AS concept, CASE WHEN regexp_matches(conversion, '^-?[0-9]+$') THEN try_cast(conversion AS INT) END AS factor FROM conversion", own=True)
+
+# ---- vocabulary files: the same tables written and read by the readers
+add("read_unit_fix", lambda s, d: tables.read_unit_fix(s, lab.vocabulary_files(s)["unit_fix"]).select("TEST_NAME_ABBREVIATION", "source_unit_clean", "source_unit_clean_fix"), VOCABULARY + "SELECT nullif(TEST_NAME_ABBREVIATION, '') AS TEST_NAME_ABBREVIATION, source_unit_clean, source_unit_clean_fix FROM unit_fix", own=True)
+add("read_unit_conversion", lambda s, d: tables.read_unit_conversion(s, lab.vocabulary_files(s)["conversion"]).drop("validation_messages"), VOCABULARY + "SELECT * FROM conversion", own=True)
+add("read_ignore_list", lambda s, d: tables.read_ignore_list(s, lab.vocabulary_files(s)["ignored"]).select("TEST_NAME", "REASON"), VOCABULARY + "SELECT * FROM ignored", own=True)
+add("read_mapping", lambda s, d: tables.read_mapping(s, lab.vocabulary_files(s)["mapping"]), VOCABULARY + "SELECT line::BIGINT AS line, conceptId, sourceCode, testNameAbbreviation, measurementUnit, nullif(conceptName, '') AS conceptName, omopQuantity, validationMessages, mappingStatus, ignoreReason FROM mapping", own=True)
+add("read_vocabulary_folder", lambda s, d: tables.vocabulary_views(s, lab.vocabulary_files(s)["folder"], {"CONCEPT": "conceptId int, domainId string, invalidReason string"}) or s.table("CONCEPT"), VOCABULARY + "SELECT * FROM concepts", own=True)
+add("read_extract", lambda s, d: tables.read_extracts(s, lab.extract_files(s, extract.all_extracts(measurement(s, d))))["summaryOutcomes"], "SELECT * FROM outcomes")
+add("text_to_parquet", lambda s, d: s.read.parquet(lab.parquet_of_text(s)), VOCABULARY + "SELECT TEST_NAME_ABBREVIATION, nullif(source_unit_clean_fix, 'NA') AS source_unit_clean_fix FROM unit_fix WHERE TEST_NAME_ABBREVIATION <> ''", own=True)

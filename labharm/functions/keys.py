@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,8 +40,8 @@ def na(x: str | Column) -> Column:
 def regex_filter(column: str, pattern: str) -> Column:
     """Case-insensitive search; a pattern that is no regular expression keeps all rows."""
     try:
-        re.compile(pattern)
-    except re.error:
+        SparkSession.active().range(1).select(F.lit("").rlike(f"(?i){pattern}")).collect()
+    except PySparkException:
         return F.lit(True)
     return F.coalesce(F.col(column).rlike(f"(?i){pattern}"), F.lit(False))
 

@@ -59,11 +59,11 @@ def two_samples(sample: DataFrame, reference: DataFrame, keys: list[str], by: li
     mine = sample.filter("value is not null").groupBy(*keys, "value").agg(F.count("*").alias("n"))
     theirs = reference.filter("value is not null").groupBy(*by, "value").agg(F.count("*").alias("m"))
     both = mine.withColumn("m", F.lit(0).cast("long")).unionByName(left_join(mine.select(*keys).distinct(), theirs, by, how="inner").withColumn("n", F.lit(0).cast("long")))
-    at = W.partitionBy(*keys).orderBy("value").rangeBetween(W.unboundedPreceding, W.currentRow)
-    both = both.withColumns({"a": F.sum("n").over(at), "b": F.sum("m").over(at)})
-    whole = both.groupBy(*keys).agg(F.sum("n").alias("n_sample"), F.sum("m").alias("n_reference"), F.collect_set(F.struct("a", "b")).alias("__c"))
-    gap = F.array_max(F.transform("__c", lambda x: F.abs(x["a"] / F.col("n_sample") - x["b"] / F.nullif(F.col("n_reference"), F.lit(0)))))
-    return whole.select(*keys, gap.alias("ks"), "n_sample", "n_reference")
+    whole = W.partitionBy(*keys)
+    at = whole.orderBy("value").rangeBetween(W.unboundedPreceding, W.currentRow)
+    both = both.withColumns({"a": F.sum("n").over(at), "b": F.sum("m").over(at), "n_sample": F.sum("n").over(whole), "n_reference": F.sum("m").over(whole)})
+    gap = F.abs(F.col("a") / F.col("n_sample") - F.col("b") / F.nullif(F.col("n_reference"), F.lit(0)))
+    return both.groupBy(*keys).agg(F.max(gap).alias("ks"), F.max("n_sample").alias("n_sample"), F.max("n_reference").alias("n_reference"))
 
 
 def injection(ks: DataFrame, below: float = 0.3) -> DataFrame:

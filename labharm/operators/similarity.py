@@ -7,11 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labharm.functions.keys import BROADCAST_ROWS, jaro
+from labharm.functions.text import hyperlink, number
 
 
-def split_mapped(tests: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Mapped and unmapped rows of tests (name, concept, n); names that are numbers and rows without concept are in neither."""
-    named = tests.filter("try_cast(name as double) is null")
+def split_mapped(tests: DataFrame, above: int = 500) -> tuple[DataFrame, DataFrame]:
+    """Mapped and unmapped rows of tests (name, concept, n); names that are numbers, rows without concept and those of above records or fewer are in neither."""
+    named = tests.filter("try_cast(name as double) is null").filter(F.col("n") > above)
     return named.filter("concept >= 1"), named.filter("concept < 1")
 
 
@@ -33,6 +34,13 @@ def by_concept(near: DataFrame) -> DataFrame:
     return near.groupBy("name", "concept").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_list("other")), " | ").alias("names"), F.avg("distance").alias("mean_distance"))
 
 
+def formulas(rolled: DataFrame, base: str, k: int = 3) -> DataFrame:
+    """name, closest_1, ...: a spreadsheet link to each of a name's k closest concepts, with the names that speak for it and their mean distance."""
+    text = hyperlink(F.concat(F.lit(base), F.col("concept").cast("string")), [F.col("concept"), F.concat(F.col("n").cast("string"), F.lit(" testIds: "), F.col("names")), F.concat(F.lit("distance: "), number(F.round("mean_distance", 3)))])
+    top = rolled.withColumn("r", F.row_number().over(W.partitionBy("name").orderBy("mean_distance", "concept"))).filter(F.col("r") <= k).withColumn("formula", text)
+    return top.groupBy("name").agg(*(F.max(F.when(F.col("r") == i, F.col("formula"))).alias(f"closest_{i}") for i in range(1, k + 1)))
+
+
 def wide(rolled: DataFrame, k: int = 3) -> DataFrame:
     """A row a name with its k closest concepts side by side."""
     top = rolled.withColumn("r", F.row_number().over(W.partitionBy("name").orderBy("mean_distance", "concept"))).filter(F.col("r") <= k)

@@ -47,8 +47,6 @@ def mapping_rules(mapping: DataFrame, conversion: DataFrame) -> list[tuple[str,
         ("SourceCode is empty", "ERROR", mapping.filter(empty("sourceCode"))),
         ("SourceCode and conceptId not unique", "ERROR", twice(mapping, ["sourceCode", "conceptId"])),
         ("SourceCode is more than 50 characters", "ERROR", mapping.filter(F.length("sourceCode") > 50)),
-        ("ConceptName is empty", "WARNING", mapping.filter(empty("conceptName"))),
-        ("ConceptName is more than 255 characters", "ERROR", mapping.filter(F.length("conceptName") > 255)),
         ("MappingStatus is empty", "ERROR", mapping.filter(empty("mappingStatus"))),
         ("MappingStatus is not valid", "ERROR", mapping.filter(~F.col("mappingStatus").isin(STATUSES))),
         ("APPROVED conceptId is 0", "ERROR", mapping.filter(approved & (F.col("conceptId") == 0))),
@@ -61,6 +59,45 @@ def mapping_rules(mapping: DataFrame, conversion: DataFrame) -> list[tuple[str,
     ]
 
 
+#: Ids that source codes may have: the first, and how many there are.
+FIRST_ID, IDS = 2_002_400_000, 100_000
+#: Domains of the common data model, and those which the targets of one code may have together.
+DOMAINS = ["Condition", "Device", "Drug", "Measurement", "Observation", "Procedure", "Specimen", "Unit", "Visit"]
+TOGETHER = ["Condition|Measurement", "Condition|Observation", "Condition|Procedure", "Measurement|Observation", "Measurement|Procedure", "Observation|Procedure"]
+
+
+def code_rules(codes: DataFrame, concepts: DataFrame, first_id: int = FIRST_ID, ids: int = IDS) -> list[tuple[str, str, DataFrame]]:
+    """Rules for source codes (see the columns below) and the concepts (conceptId, domainId, invalidReason) they are mapped to."""
+    known = codes.join(F.broadcast(concepts.withColumn("__known", F.lit(True))), "conceptId", "left")
+    approved = F.coalesce(F.col("mappingStatus") == "APPROVED", F.lit(False))
+    mapped = known.filter("conceptId <> 0")
+    outdated = mapped.filter("__known is null or invalidReason is not null")
+    targets = mapped.filter("domainId is not null").withColumn("approved", approved).groupBy("sourceCode", "approved").agg(F.array_join(F.array_sort(F.collect_set("domainId")), "|").alias("domains"))
+    mixed = targets.filter(F.col("domains").contains("|") & ~F.col("domains").isin(TOGETHER))
+    parents = codes.select(F.col("sourceCode").alias("parent")).distinct()
+    return [
+        ("SourceName is empty", "ERROR", codes.filter(empty("sourceName"))),
+        ("SourceName is more than 255 characters", "ERROR", codes.filter(F.length("sourceName") > 255)),
+        ("SourceFrequency is not empty", "ERROR", codes.filter("sourceFrequency is null")),
+        ("APPROVED mappingStatus with concepts outdated", "ERROR", outdated.filter(approved)),
+        ("Not APPROVED mappingStatus with concepts outdated", "WARNING", outdated.filter(~approved)),
+        ("Missing C&CR columns", "ERROR", schema_rule(codes, ["sourceConceptId", "sourceConceptClass", "sourceDomain"])),
+        ("SourceConceptId is empty", "ERROR", codes.filter("sourceConceptId is null")),
+        ("SourceConceptId is not a number on the range", "ERROR", codes.filter(~F.col("sourceConceptId").between(first_id, first_id + ids - 1))),
+        ("SourceConceptClass is empty", "ERROR", codes.filter(empty("sourceConceptClass"))),
+        ("SourceConceptClass is more than 20 characters", "ERROR", codes.filter(F.length("sourceConceptClass") > 20)),
+        ("SourceDomain is empty", "ERROR", codes.filter(empty("sourceDomain"))),
+        ("SourceDomain is not a valid domain", "ERROR", codes.filter(~empty("sourceDomain") & ~F.col("sourceDomain").isin(DOMAINS))),
+        ("Not APPROVED mappingStatus with valid domain combination", "WARNING", mixed.filter("not approved")),
+        ("APPROVED mappingStatus with valid domain combination", "ERROR", mixed.filter("approved")),
+        ("Missing date columns", "ERROR", schema_rule(codes, ["validStart", "validEnd"])),
+        ("SourceValidStartDate is after SourceValidEndDate", "ERROR", codes.filter(F.col("validStart").cast("date") > F.col("validEnd").cast("date"))),
+        ("Missing parent columns", "ERROR", schema_rule(codes, ["parentCode"])),
+        ("Invalid parent concept code", "ERROR", codes.filter(~empty("parentCode")).join(parents, F.col("parentCode") == F.col("parent"), "left_anti")),
+        ("LAB: Invalid lab mapped domain", "WARNING", mapped.filter("domainId is not null and domainId <> 'Measurement'")),
+    ]
+
+
 def fix_rules(unit_fix: DataFrame, mapping: DataFrame) -> list[tuple[str, str, DataFrame]]:
     pairs = {"testNameAbbreviation": "TEST_NAME_ABBREVIATION", "measurementUnit": "source_unit_clean_fix"}
     return [
@@ -81,6 +118,13 @@ def rollup(logs: DataFrame) -> DataFrame:
     return logs.groupBy("context").pivot("type", SEVERITY).agg(F.count(F.lit(1))).na.fill(0)
 
 
+def status_markdown(logs: DataFrame) -> str:
+    """The roll-up and the whole log, a row a rule, as a markdown page."""
+    rows = lambda names, found: [f"|{'|'.join(names)}|", f"|{'|'.join(':--' for _ in names)}|", *(f"|{'|'.join(str(r[n]) for n in names)}|" for r in found)]
+    counts = rollup(logs).orderBy("context").collect()
+    return "\n".join(["# Validation status", "", *rows(["context", *SEVERITY], counts), "", "## Full log", "", *rows(["context", "type", "step", "n"], logs.orderBy("context", "step").collect()), ""])
+
+
 def final_status(logs: DataFrame) -> DataFrame:
     """The gravest type there is."""
     at = F.max(F.array_position(F.array(*map(F.lit, SEVERITY)), F.col("type")))

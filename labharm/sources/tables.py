@@ -44,21 +44,35 @@ def read_ignore_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """The mapping file: all cells as text, then the columns that are used, typed."""
+    """The mapping, one file: all cells as text, then the columns that are used, typed, and line, the record's number in the file (from 1)."""
     raw = spark.read.option("header", True).option("nullValue", "").option("multiLine", True).option("escape", '"').csv(path)
     names = {"sourceCode": "sourceCode", "ADD_INFO:testNameAbbreviation": "testNameAbbreviation", "ADD_INFO:measurementUnit": "measurementUnit", "conceptName": "conceptName", "ADD_INFO:omopQuantity": "omopQuantity", "ADD_INFO:validationMessages": "validationMessages", "mappingStatus": "mappingStatus", "ADD_INFO:ignoreReason": "ignoreReason"}
-    return raw.select(F.monotonically_increasing_id().alias("line"), F.expr("try_cast(conceptId as int)").alias("conceptId"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    return raw.select((F.monotonically_increasing_id().bitwiseAND(2**33 - 1) + 1).alias("line"), F.expr("try_cast(conceptId as int)").alias("conceptId"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
 
 
 def text_to_parquet(spark: SparkSession, source: str, target: str) -> None:
-    """Tab-separated raw text, gzipped or not, to Parquet: NA is null, malformed lines go."""
-    spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA").option("mode", "DROPMALFORMED").csv(source).write.parquet(target)
+    """Tab-separated raw text, gzipped or not, to Parquet: NA is null. Lines with too many or too few cells go, as they are, to a text table beside it, target-malformed."""
+    read = spark.read.option("sep", "\t").option("header", True).option("nullValue", "NA")
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in read.csv(source).columns), T.StructField("__line", T.StringType())])
+    lines = read.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__line").csv(source)
+    lines.filter("__line is null").drop("__line").write.parquet(target)
+    lines.filter("__line is not null").select(F.coalesce("__line", *schema.names[:-1]).alias("value")).write.text(f"{target}-malformed")
 
 
-def vocabulary_views(spark: SparkSession, folder: str, names: list[str]) -> None:
-    """A view for each CSV file of a vocabulary folder."""
-    for name in names:
-        spark.read.option("header", True).option("sep", "\t").csv(f"{folder}/{name}.csv").createOrReplaceTempView(name)
+def vocabulary_views(spark: SparkSession, folder: str, schemas: dict[str, str]) -> None:
+    """A view for each tab-separated file (name.csv) of a vocabulary folder, with the given schemas."""
+    for name, schema in schemas.items():
+        read_tsv(spark, f"{folder}/{name}.csv", schema).createOrReplaceTempView(name)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """Comma-separated, missing values as empty cells, quotes doubled. path must not be one that df reads: a changed file is written anew, then put in its place."""
+    df.write.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path)
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text (a status, a page) as a text table of one part."""
+    spark.createDataFrame([(line,) for line in text.split("\n")], "value string").coalesce(1).write.text(path)
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
