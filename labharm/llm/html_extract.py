@@ -1,12 +1,14 @@
 """HTML extraction: a page's main text as the contiguous run of tokens with the largest score.
 
 Each word scores by where it stands, each tag by its name; a linear scan finds the run of tokens with the largest sum. Words are
-positive and tags negative; words in places such as menus are negative too. Inside the run, text in such places is left out.
+positive and tags negative; words in places such as menus are slightly negative. Inside the run, text in such places is left out.
 
 Weights come from labelled pages: pages that mark their content themselves with exactly one article or main element, SAMPLE of them
-at most (smallest hash of their html). A place is the nearest landmark (nav, footer, article, a class that names an advert, ...) and the
-nearest block element; its weight is the log-odds of words there to be content. Words below landmarks that are never content (AWAY) have a
-fixed weight. A place seen too rarely falls back to its block element, then to a default. Pages without such elements, or tables without
+at most (smallest hash of their html). A place is the nearest landmark and block element; its weight is the log-odds of words there to be
+content. The names that a word stands below, landmarks such as nav and the words of class, id and role attributes, have weights of their own: the
+log-odds, over pages, that content stands below that name. A word below a name that speaks against content enough is away from it, whatever else
+it has. Names that are known to mark what isn't content (AWAY, HINTS) start with PRIOR pages that say so, which labelled pages outweigh; all others start
+with none. A place or name seen too rarely falls back to its block element, then to a default. Pages without such elements, or tables without
 labelled pages, thus work with fallbacks.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by line feeds; br is white space.
@@ -25,9 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import sample
+from labharm.llm.common import cut, sample
 
 SAMPLE, LEAST = 2000, 20
+#: Pages from which a name's weight counts, pages that known names start with, and the log-odds below which words are away from content.
+LEAST_PAGES, PRIOR, FAR = 5, 20, -1.0
+#: What a word away from content and a tag there cost.
+AWAY_WORD, AWAY_TAG = -0.001, -0.001
 # Element names of HTML by their role.
 #: Raw text, up to the closing tag or the end of the page.
 RAW = frozenset("script style textarea iframe".split())
@@ -37,7 +43,7 @@ NARROW = frozenset("select button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 LANDMARKS = frozenset("nav header footer aside form menu head title dialog fieldset article main".split())
-AWAY = frozenset("nav header footer aside form menu head title dialog fieldset hint".split())
+AWAY = frozenset("nav header footer aside form menu head title dialog fieldset".split())
 #: Words in class, id or role attributes that name what isn't content.
 HINTS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination paywall popup promo promoted recommended related replies share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split())
 #: Those that tell even of an article element that it isn't the article.
@@ -96,16 +102,32 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         at = end
 
 
-def hinted(attributes: str, hints: frozenset[str] = HINTS) -> bool:
-    """Whether an element's attributes name what isn't content, or hide it."""
-    return bool(attributes) and (any(w in hints for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower())) or bool(HIDDEN.search(attributes)))
+def names(tag: str, attributes: str) -> list[str]:
+    """What an element is called: its name if it is a landmark, and the words of its class, id and role, each with a dot before it; "(hidden)" if it is."""
+    found = [tag] if tag in LANDMARKS else []
+    if attributes:
+        if tag not in ("html", "body"):
+            words = dict.fromkeys(f".{w}" for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower()))
+            found += (w for w in words if tag not in ("article", "main") or w[1:] in NOT_ARTICLE)
+        if HIDDEN.search(attributes):
+            found.append("(hidden)")
+    return found
+
+
+def suspect(name: str) -> bool:
+    """Whether a name is known to mark what isn't content."""
+    return name in AWAY or name == "(hidden)" or name[0] == "." and name[1:] in HINTS
 
 
 def parse(page: str) -> list[tuple]:
-    """("text", text, (landmark, block), block number, inside) and the same with "tag" and its name, in page order; inside: within article or main."""
+    """("text", text, (landmark, block, names above), block number, inside) and the same with "tag" and its name, in page order.
+
+    inside: within article or main, and below no name there that is known to mark what isn't content.
+    """
     out: list[tuple] = []
-    stack: list[tuple[str, str]] = []  # block elements that are open, with the nearest landmark
-    block = inside = 0
+    # block elements that are open, with the nearest landmark, all names above, whether they are inside, and whether within article or main
+    stack: list[tuple[str, str, tuple, bool, bool]] = []
+    block, root = 0, ("-", "-", (), False, False)
     skipped, depth, within = "", 0, []  # the element being left out, how often it is open, and the blocks open in it
     for kind, value, attributes in tokens(page):
         if kind == "skip":
@@ -133,8 +155,8 @@ def parse(page: str) -> list[tuple]:
             skipped = ""
         if kind == "text":
             if not value.isspace():
-                landmark, name = (stack[-1][1], stack[-1][0]) if stack else ("-", "-")
-                out.append(("text", value, (landmark, name), block, inside > 0))
+                name, landmark, above, inside, _ = stack[-1] if stack else root
+                out.append(("text", value, (landmark, name, above), block, inside))
             continue
         if value in BLOCKS:
             block += 1
@@ -142,39 +164,53 @@ def parse(page: str) -> list[tuple]:
                 if value not in VOID:
                     if stack and stack[-1][0] == "p" or value in ("li", "tr", "td", "th", "dt", "dd") and stack and stack[-1][0] == value:
                         stack.pop()
-                    mark = "hint" if value not in ("html", "body") and hinted(attributes, NOT_ARTICLE if value in ("article", "main") else HINTS) else value if value in LANDMARKS else stack[-1][1] if stack else "-"
-                    if value in LANDMARKS and value in ("article", "main") and stack and stack[-1][1] in AWAY:
-                        mark = stack[-1][1]
-                    stack.append((value, mark))
-                    inside += value in ("article", "main")
+                    _, landmark, above, inside, within_article = stack[-1] if stack else root
+                    own = names(value, attributes)
+                    content = value in ("article", "main")
+                    inside = (inside or content and not within_article) and not any(map(suspect, own))
+                    stack.append((value, value if value in LANDMARKS else landmark, (*above, *(n for n in own if n not in above)), inside, within_article or content))
             elif any(x[0] == value for x in stack):
-                while stack:
-                    gone = stack.pop()[0]
-                    inside -= gone in ("article", "main")
-                    if gone == value:
-                        break
-        out.append(("tag", value, (stack[-1][1] if stack else "-", ""), block, inside > 0))
+                while stack and stack.pop()[0] != value:
+                    pass
+        _, landmark, above, inside, _ = stack[-1] if stack else root
+        out.append(("tag", value, (landmark, "", above), block, inside))
     return out
 
 
 class Weights:
-    """Log-odds of places ((landmark, block)), of block elements (name) and of tags ("<" + name) to be content; the last two outside AWAY."""
+    """Log-odds of places ((landmark, block)), of block elements (name) and of tags ("<" + name) to be content, and of names ("~", name) to stand above content, by page."""
 
     def __init__(self, inside: Counter, outside: Counter):
-        self.odds = {k: max(-4.0, min(4.0, math.log((inside[k] + 0.5) / (outside[k] + 0.5)))) for k, n in (inside + outside).items() if n >= LEAST}
-
-    def word(self, place: tuple[str, str]) -> float:
-        if place[0] in AWAY:
-            return -0.25
+        odds = lambda k, more=0.0: max(-4.0, min(4.0, math.log((inside[k] + 0.5) / (outside[k] + more + 0.5))))
+        self.odds, self.names, self.far = {}, {}, {}
+        for k, n in (inside + outside).items():
+            if k[0] != "~":
+                if n >= LEAST:
+                    self.odds[k] = odds(k)
+            elif suspect(k[1]) or n >= LEAST_PAGES:
+                self.names[k[1]] = odds(k, PRIOR * suspect(k[1]))
+
+    def away(self, above: tuple[str, ...]) -> bool:
+        """Whether one of the names above speaks against content."""
+        if above not in self.far:
+            if len(self.far) > 100_000:
+                self.far.clear()
+            self.far[above] = any(self.names.get(n, -4.0 if suspect(n) else 0.0) < FAR for n in above)
+        return self.far[above]
+
+    def word(self, place: tuple[str, str, tuple]) -> float:
+        if self.away(place[2]):
+            return AWAY_WORD
+        place = place[:2]
         if place in self.odds:
             return self.odds[place]
         if place[0] in ("article", "main"):
             return 1.0
         return self.odds.get(place[1], 1.0) if place[1] not in ("body", "html", "-") else 0.2
 
-    def tag(self, name: str, landmark: str) -> float:
+    def tag(self, name: str, above: tuple[str, ...]) -> float:
         """Tags are negative, those that stand outside content more so."""
-        return -0.1 if landmark in AWAY else -0.1 - min(1.0, max(0.0, -self.odds.get("<" + name, 0.0)))
+        return AWAY_TAG if self.away(above) else -0.1 - min(1.0, max(0.0, -self.odds.get("<" + name, 0.0)))
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -191,7 +227,7 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str | None, weights: Weights) -> str:
     found = parse(page or "")
-    a, z = best_run([len(t[1].split()) * weights.word(t[2]) if t[0] == "text" else weights.tag(t[1], t[2][0]) for t in found])
+    a, z = best_run([len(t[1].split()) * weights.word(t[2]) if t[0] == "text" else weights.tag(t[1], t[2][2]) for t in found])
     blocks: dict[int, list[str]] = {}
     for kind, value, place, block, _ in found[a:z]:
         if kind == "tag":
@@ -203,26 +239,50 @@ def extract(page: str | None, weights: Weights) -> str:
     return "\n".join(t for t in texts if t)
 
 
-def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """html of labelled pages -> kind of token, how often inside and outside content."""
+def count_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """html of labelled pages -> name, pages in which content stands below it, and others that have it."""
+    for batch in batches:
+        tally: dict[str, list[int]] = {}
+        for page in batch.column(0).to_pylist():
+            texts = [t for t in parse(page) if t[0] == "text"]
+            holding = {n for t in texts if t[4] for n in t[2][2]}
+            for name in {n for t in texts for n in t[2][2]}:
+                tally.setdefault(name, [0, 0])[name not in holding] += 1
+        yield tallied({("~", k): v for k, v in tally.items()})
+
+
+def count(batches: Iterator[pa.RecordBatch], weights) -> Iterator[pa.RecordBatch]:
+    """html of labelled pages -> kind of token, how often inside and outside content, where names don't tell already."""
     for batch in batches:
         tally: dict[tuple[str, str], list[int]] = {}
         for page in batch.column(0).to_pylist():
             for kind, value, place, _, inside in parse(page):
-                if place[0] in AWAY:
+                if weights.value.away(place[2]):
                     continue
-                for key in [place, ("", place[1])] if kind == "text" else [("<", value)]:
+                for key in [place[:2], ("", place[1])] if kind == "text" else [("<", value)]:
                     tally.setdefault(key, [0, 0])[not inside] += len(value.split()) if kind == "text" else 1
-        keys = list(tally)
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *(pa.array([tally[k][i] for k in keys], pa.int64()) for i in (0, 1))], names=["landmark", "name", "inside", "outside"])
+        yield tallied(tally)
+
+
+def tallied(tally: dict[tuple[str, str], list[int]]) -> pa.RecordBatch:
+    keys = list(tally)
+    return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), *(pa.array([tally[k][i] for k in keys], pa.int64()) for i in (0, 1))], names=["landmark", "name", "inside", "outside"])
 
 
 def fit(pages: DataFrame) -> Weights:
+    """Weights from the labelled ones among pages (html): of names first, then of places and tags that names leave open."""
     marked = F.regexp_count("html", F.lit("(?i)<(article|main)[\\s>]")) == 1
-    chosen = sample(pages.select("html").filter(marked), "html", SAMPLE)
-    rows = chosen.mapInArrow(count, "landmark string, name string, inside long, outside long").groupBy("landmark", "name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).filter(f"length(name) <= 40 and i + o >= {LEAST}").collect()
+    chosen = cut(sample(pages.select("html").filter(marked), "html", SAMPLE), "html-labelled")
     key = lambda r: r.name if r.landmark == "" else "<" + r.name if r.landmark == "<" else (r.landmark, r.name)
-    return Weights(Counter({key(r): r.i for r in rows}), Counter({key(r): r.o for r in rows}))
+
+    def counts(counting, least: int) -> tuple[dict, dict]:
+        rows = chosen.mapInArrow(counting, "landmark string, name string, inside long, outside long").groupBy("landmark", "name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).filter(f"length(name) <= 40 and i + o >= {least}").collect()
+        return {key(r): r.i for r in rows}, {key(r): r.o for r in rows}
+
+    inside, outside = counts(count_names, LEAST_PAGES)
+    sent = pages.sparkSession.sparkContext.broadcast(Weights(Counter(inside), Counter(outside)))
+    more_inside, more_outside = counts(lambda it: count(it, sent), LEAST)
+    return Weights(Counter(inside | more_inside), Counter(outside | more_outside))
 
 
 def texts(pages: DataFrame, weights: Weights) -> DataFrame:

@@ -101,3 +101,36 @@ def test_edges(spark):
 )
 def test_elements_left_out(page, want):
     assert H.extract(page, BLANK) == want
+
+
+def page_with(article, box="", wrapper="", links=3):
+    menu = "".join(f"<a href=x>to {i}</a>" for i in range(links))
+    return f"<body><div class='zzmenu'>{menu}<p>go to some other pages of this site</p></div><div class='{wrapper}'><article><h1>Head</h1><p>{article}</p></article></div>{box}</body>"
+
+
+def test_learned_names(spark):
+    """Names that no list holds are learned from labelled pages, and listed ones unlearned."""
+    rows = [(i, page_with(f"text {i} of the article with many words in it", "<div class='qqbox'><p>other things to look at today</p></div>", "header big")) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    trained = H.fit(pages)
+    unlike = "<body><div class='zzmenu'><p>go to some other pages of this site</p></div><div class='header big'><p>The text of a page that marks no article.</p></div><div class=qqbox><p>other things to look at today</p></div></body>"
+    assert H.extract(unlike, trained) == "The text of a page that marks no article."
+    assert "other things" in H.extract(unlike, BLANK) and "marks no article" not in H.extract(unlike, BLANK)
+
+
+def test_scan_leaves_out_links(spark):
+    """A box of links that has no name stands outside the best run, as tags cost more where they were seen outside content."""
+    links = "<div>" + "".join(f"<a href=x>page{i}</a>" for i in range(12)) + "</div>"
+    rows = [(i, f"<body>{links}<article><p>text {i} of the article with many words in it</p></article>{links}</body>") for i in range(60)]
+    trained = H.fit(spark.createDataFrame(rows, "page_id long, html string"))
+    page = f"<body><section><p>Some text of a page, which is long enough.</p><p>And a second part.</p></section>{links}</body>"
+    assert H.extract(page, trained) == "Some text of a page, which is long enough.\nAnd a second part."
+    assert "page11" in H.extract(page, BLANK)
+    found = H.parse(page)
+    assert any(t[0] == "text" and t[1] == "page11" and trained.word(t[2]) > -5 for t in found)
+
+
+def test_short_blocks_after_an_aside():
+    """What stands after a long box that isn't content is kept, however short."""
+    box = "<aside><p>" + "not this " * 100 + "</p></aside>"
+    assert H.extract(f"<body><article><p>one two three four</p>{box}<p>five six</p></article></body>", BLANK) == "one two three four\nfive six"
