@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bytes of text that one vectorised step takes; a longer text is a step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 _own: dict[str, str] = {}
 
@@ -92,6 +92,7 @@ def steps(texts: pa.Array, most: int | None = None) -> Iterator[tuple[int, int]]
         total += int(n)
     if len(sizes) > start:
         yield start, len(sizes)
+    pa.default_memory_pool().release_unused()  # a worker lives on and would keep what its largest batch took
 
 
 def words(texts: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:

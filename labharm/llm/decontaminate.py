@@ -35,7 +35,7 @@ RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: A window's words as a share of its items', and at most, so that counts of words fit a byte.
 SHARE, WIDEST = 0.7, 255
 #: Words whose hashes a Python worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 
 _hashes: dict[str, int] = {}
 #: A byte's bits, each in a byte of its own.
