@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -9,6 +11,9 @@ from pyspark.sql import functions as F
 from labharm.functions.keys import BROADCAST_ROWS, jaro
 from labharm.functions.text import hyperlink, number
 
+#: Names meant to share a block where the mapped ones are too many to broadcast.
+BLOCK_ROWS = 4096
+
 
 def split_mapped(tests: DataFrame, above: int = 500) -> tuple[DataFrame, DataFrame]:
     """Mapped and unmapped rows of tests (name, concept, n); names that are numbers, rows without concept and those of above records or fewer are in neither."""
@@ -16,14 +21,25 @@ def split_mapped(tests: DataFrame, above: int = 500) -> tuple[DataFrame, DataFra
     return named.filter("concept >= 1"), named.filter("concept < 1")
 
 
-def pairs(mapped: DataFrame, unmapped: DataFrame) -> DataFrame:
-    """Every unmapped name with every mapped one (both are vocabularies): name, concept, other, distance."""
+def pairs(mapped: DataFrame, unmapped: DataFrame, broadcast_rows: int = BROADCAST_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Every unmapped name with every mapped one (both are vocabularies): name, concept, other, distance.
+
+    Up to broadcast_rows mapped names go to every task. More are dealt into blocks of about block_rows by their hash, unmapped names likewise,
+    and each block of the one meets each of the other in a task of its own, so that no task grows with the vocabularies.
+    """
+    left = unmapped.select("name").distinct()
+    right = mapped.select(F.col("name").alias("other"), "concept").distinct()
     n = mapped.count()
-    if n > BROADCAST_ROWS:
-        raise ValueError(f"{n} mapped names are too many to hand to every task")
-    left = unmapped.select("name").distinct().withColumn("__all", F.lit(0))
-    right = F.broadcast(mapped.select(F.col("name").alias("other"), "concept").distinct().withColumn("__any", F.lit(0)))
-    return left.join(right, F.col("__all") == F.col("__any")).select("name", "concept", "other", jaro(F.col("name"), F.col("other")).alias("distance"))
+    if n <= broadcast_rows:
+        rows = blocks = 1
+    else:
+        rows, blocks = math.ceil(unmapped.count() / block_rows) or 1, math.ceil(n / block_rows)
+    block = lambda n, *of: F.pmod(F.xxhash64(*of), F.lit(n))
+    left = left.withColumn("__row", block(rows, "name")).withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    right = right.withColumn("__at", block(blocks, "other", "concept")).withColumn("__to", F.explode(F.sequence(F.lit(0), F.lit(rows - 1))))
+    right = F.broadcast(right) if n <= broadcast_rows else right
+    met = left.join(right, (F.col("__block") == F.col("__at")) & (F.col("__row") == F.col("__to")))
+    return met.select("name", "concept", "other", jaro(F.col("name"), F.col("other")).alias("distance"))
 
 
 def nearest(found: DataFrame, k: int = 10) -> DataFrame:

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labharm.functions.keys import jaro, left_join, numeric_filter, regex_filter
-from labharm.operators import drift, extract, harmonise
+from labharm.operators import drift, extract, harmonise, similarity
 from labharm.sources import tables
 
 
@@ -54,6 +54,15 @@ def test_jaro(spark):
     assert got[:4] == [pytest.approx(1 - 17 / 18), pytest.approx(1 - 0.7666666667), 0.0, 1.0] and got[4] is None and got[5] == 1.0
 
 
+@pytest.mark.parametrize("n,m", [(37, 23), (0, 23), (37, 0), (1, 23)])
+def test_pairs_in_blocks(spark, n, m):
+    tests = lambda k, c: spark.createDataFrame([(f"name {i % 30} {c}", c + i % 3) for i in range(k)] + [(None, c)] * min(k, 2), "name string, concept int")
+    mapped, unmapped = tests(m, 1), tests(n, -9)
+    want = sorted(map(tuple, similarity.pairs(mapped, unmapped).collect()), key=str)
+    got = sorted(map(tuple, similarity.pairs(mapped, unmapped, broadcast_rows=4, block_rows=5).collect()), key=str)
+    assert got == want and len(want) == unmapped.select("name").distinct().count() * mapped.distinct().count()
+
+
 def test_files(spark, tmp_path):
     df = spark.createDataFrame([(1, "NA", None), (2, None, "x")], "n int, a string, b string")
     tables.write_tsv(df, str(tmp_path / "t"))
