@@ -8,9 +8,9 @@ that hold sets it may be similar to. Candidates are verified on the sets themsel
 
 Hot groups: equal sets share one node; a signature bucket yields a star about the member that meets most
 others, not all pairs. Where
-a star's candidate turns out not to be similar and the two stay in different components, that bucket is open: its members' sketches (see
-below) are compared in blocks inside tasks, and what they leave open across components is verified. So no link between
-components is lost. Each band has some segments to spare (`spare`), so that a set may drop as many of its full
+a star's candidate turns out not to be similar and the two stay in different components, that bucket is open: the sketches (see
+below) of the members left out meet each other's and the rest's in blocks inside tasks, and what they leave open across
+components is verified. The rest are one component already. So no link between components is lost. Each band has some segments to spare (`spare`), so that a set may drop as many of its full
 buckets: of the buckets that a similar pair shares, one more than those at least, the least full is dropped by neither.
 
 Candidates first meet with sketches, counts of their shingles by hash bucket: the sum of the counts' differences is a
@@ -241,21 +241,24 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
 
 
 def buckets(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """sig, node, rank (from 1), rows of the buckets that hold several nodes, less each set's SPARE fullest ones."""
-    rows = docs.select("text").mapInArrow(lambda it: index(it, size, num, den), "sig long, node long")
-    by = W.partitionBy("sig")
-    rows = rows.withColumns({"rows": F.count("*").over(by), "low": F.min("node").over(by), "high": F.max("node").over(by), "rank": F.dense_rank().over(by.orderBy("node")), "before": F.lag("node").over(by.orderBy("node"))})
-    several = cut(rows.filter("low <> high and (before is null or before <> node)").select("sig", "node", "rank", "rows"), "ngram-buckets")
+    """sig, node, first, rows of the buckets that hold several nodes, less each set's spare fullest ones: first is the member that meets most others."""
+    rows = docs.select("text").mapInArrow(lambda it: index(it, size, num, den), "sig long, node long").repartition("sig")
+    # one shuffle serves both: which signatures hold several nodes, and a look-up that streams past them, without a sort of a full bucket
+    held = rows.groupBy("sig").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("rows")).filter("low <> high").select("sig", "rows")
+    several = cut(rows.join(held.hint("shuffle_hash"), "sig").distinct(), "ngram-several")
     full = several.filter((F.col("rows") > FULL) & (F.col("sig").bitwiseAND(256) == 0))
     band = F.col("sig").bitwiseAND(255)
     spares = F.element_at(F.array(*[F.lit(spare(b, num, den)) for b in range(BANDS)]), band.cast("int") + 1)
     order = W.partitionBy("node", band).orderBy(F.desc("rows"), "sig")
     dropped = full.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= spares).select("sig", "node")
-    kept = several.join(dropped, ["sig", "node"], "left_anti")
+    kept = cut(several.join(dropped, ["sig", "node"], "left_anti"), "ngram-kept")
+    drop(several)
     # first the sets that meet most others: an original before its copies, each of which may differ too much from the next
     met = kept.groupBy("node").agg(F.sum("rows").alias("met"))
-    kept = kept.drop("rank").join(met, "node").withColumn("rank", F.row_number().over(by.orderBy(F.desc("met"), "node")))
-    return cut(kept.withColumn("rows", F.count("*").over(by)).filter("rows > 1"), "ngram-buckets")
+    best = kept.join(met, "node").groupBy("sig").agg(F.min(F.struct((-F.col("met")).alias("less"), "node"))["node"].alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    table = cut(kept.select("sig", "node").join(best, "sig"), "ngram-buckets")
+    drop(kept)
+    return table
 
 
 def compare(node: np.ndarray, n: np.ndarray, component: np.ndarray, block: np.ndarray, i: int, j: int, sketches: list[bytes], num: int, den: int) -> list[tuple[int, int]]:
@@ -294,13 +297,20 @@ def compare_all(batches: Iterator[pa.RecordBatch], num: int, den: int) -> Iterat
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found)], names=["a", "b"])
 
 
-def open_pairs(table: DataFrame, found: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
-    """Candidates (a, b) among the rows (sig, node, rank) of open buckets; these are compared in blocks of BLOCK members."""
-    rows = cut(table.select("sig", "node", F.floor((F.col("rank") - 1) / BLOCK).cast("int").alias("block")), "ngram-open")
-    last = rows.groupBy("sig").agg(F.max("block").alias("last"))
+def open_pairs(table: DataFrame, alone: DataFrame, found: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Candidates (a, b) in the open buckets of table (sig, node, rows). alone (sig, node) are the members that aren't in the component of their bucket's first.
+
+    All others of a bucket are, so only a member in alone can add a link: blocks of BLOCK of these meet each other and the blocks of the others.
+    """
+    opened = alone.groupBy("sig").agg(F.count("*").alias("n_alone"))
+    rows = table.select("sig", "node", "rows").join(opened, "sig").join(alone.withColumn("alone", F.lit(True)), ["sig", "node"], "left")
+    opens, rest = F.ceil(F.col("n_alone") / BLOCK), F.ceil((F.col("rows") - F.col("n_alone")) / BLOCK)
+    dealt, alone_ = F.xxhash64("sig", "node"), F.col("alone").isNotNull()
+    block = F.when(alone_, F.pmod(dealt, opens)).otherwise(opens + F.pmod(dealt, rest))
+    rows = cut(rows.select("sig", "node", block.alias("block"), (F.when(alone_, opens + rest).otherwise(opens) - 1).alias("last")), "ngram-open")
     nodes = members.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     nodes = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    each = rows.join(last, "sig").withColumn("with", F.explode(F.sequence(F.lit(0), "last"))).select("sig", "node", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
+    each = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).select("sig", "node", "block", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"))
     groups = each.join(nodes, "node").select("sig", "i", "j", "node", "n", "component", "block", "sketch").repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
     return groups.mapInArrow(lambda it: compare_all(it, num, den), "a long, b long").distinct()
 
@@ -335,8 +345,7 @@ def named(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     docs = docs.select("doc_id", "text")
     members = cut(docs.mapInArrow(lambda it: ids(it, size), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, node long, sketch binary"), "ngram-members")
     table = buckets(docs, size, num, den)
-    first = table.filter("rank = 1").select("sig", F.col("node").alias("a"))
-    star = table.filter("rank > 1").join(first, "sig").select("a", F.col("node").alias("b")).distinct()
+    star = table.filter("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     tried = cut(checked(star, docs, members, size, num, den), "ngram-tried")
     links = tried.filter("linked").select("a", "b")
     found = cut(components(links), "ngram-components")
@@ -344,8 +353,8 @@ def named(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     failed = tried.filter("not linked").select("a", "b")
     apart = _apart(failed, found)
     wide = table.filter("rows > 2")
-    open_sigs = wide.filter("rank > 1").withColumnRenamed("node", "b").join(first, "sig").join(apart, ["a", "b"], "left_semi").select("sig").distinct()
-    more = checked(open_pairs(wide.join(open_sigs, "sig", "left_semi"), found, members, num, den), docs, members, size, num, den).filter("linked").select("a", "b")
+    alone = cut(wide.join(apart.toDF("first", "node"), ["first", "node"], "left_semi").select("sig", "node"), "ngram-alone")
+    more = checked(open_pairs(wide, alone, found, members, num, den), docs, members, size, num, den).filter("linked").select("a", "b")
     more = cut(more, "ngram-more")
     if more.limit(1).count():
         found = cut(components(links.union(more)), "ngram-components")
