@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labharm.llm import decontaminate, html_extract, line_dedup, mixing, nearest, ngram_join, substring_dedup, token_tables, toxicity, url_filter
+from labharm.llm import decontaminate, html_extract, line_dedup, mixing, nearest, negatives, ngram_join, rope, sharding, substring_dedup, token_tables, toxicity, url_filter
 from labharm.llm.common import shared_dir
 
 
@@ -175,6 +175,70 @@ fits AS (
 SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.page_id = p.page_id AND f.k = 1
 """
 
+
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = rope.transform(table(spark, sf_dir, "documents").select("doc_id", "text"), rope.Settings(seed=7, rate=100, spm=50))
+    return rope.restore(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("fim_text", 256).alias("output_sha256"), F.sha2("text", 256).alias("restored_sha256"))
+
+
+OP11_SQL = r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), ranked AS (
+  SELECT *, len(u) AS n, ('0x' || h[1:8])::BIGINT % (len(u) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(u) + 1) AS y,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain' WHEN ('0x' || h[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM hashed
+), parts AS (
+  SELECT doc_id, n, form, text, coalesce(array_to_string(u[1 : least(x, y)], ''), '') AS p, coalesce(array_to_string(u[least(x, y) + 1 : greatest(x, y)], ''), '') AS m, coalesce(array_to_string(u[greatest(x, y) + 1 :], ''), '') AS s FROM ranked
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(text) AS restored_sha256 FROM parts
+"""
+
+
+SHARDS = 40
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS, shared_dir(spark, "shard-map"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
+
+
+#: CRC-32 byte by byte with a table made by its rule (the polynomial is a fixed value); the map by a fold over the slots, a list of loads with the shards chosen so far behind it.
+OP12_SQL = f"""
+WITH crc_table AS (SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, b) ORDER BY b) AS steps FROM (SELECT unnest(range(256)) AS b)),
+hexed AS (SELECT *, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS bytes FROM documents),
+records AS (
+  SELECT doc_id, (strlen(coalesce(text, '')) + {sharding.RECORD_BYTES})::BIGINT AS size, xor(coalesce(list_reduce(bytes, lambda v, x: xor(steps[(xor(v, x) & 255) + 1], v >> 8), 4294967295::BIGINT), 4294967295), 4294967295) AS text_crc32,
+    md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS digest FROM hexed, crc_table
+), placed AS (SELECT *, (('0x' || digest[1:8])::BIGINT % {sharding.SLOTS})::INTEGER AS virtual_slot FROM records),
+slots AS (SELECT s.virtual_slot, coalesce(sum(size), 0)::BIGINT AS bytes, count(p.size) AS rows FROM (SELECT unnest(range({sharding.SLOTS}))::INTEGER AS virtual_slot) s LEFT JOIN placed p USING (virtual_slot) GROUP BY 1),
+folded AS (
+  SELECT list_reduce(list([bytes, virtual_slot] ORDER BY bytes DESC, virtual_slot DESC), lambda a, x: list_concat(
+    list_transform(a[1:{SHARDS}], lambda v, i: v + CASE WHEN i = list_position(a[1:{SHARDS}], list_min(a[1:{SHARDS}])) THEN x[1] + 1 ELSE 0 END), a[{SHARDS + 1}:], [list_position(a[1:{SHARDS}], list_min(a[1:{SHARDS}]))::BIGINT - 1]), list_transform(range({SHARDS}), lambda i: 0::BIGINT)) AS fold,
+    list(virtual_slot ORDER BY bytes DESC, virtual_slot DESC) AS slot_list FROM slots
+), chosen AS (SELECT unnest(slot_list) AS virtual_slot, unnest(fold[{SHARDS + 1}:])::INTEGER AS shard FROM folded)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, digest, doc_id NULLS FIRST) - 1 AS slot, NULL::INTEGER AS grown_shard, virtual_slot FROM placed JOIN chosen USING (virtual_slot)
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label, positives=5, k=5, low=80)
+
+
+OP13_SQL = """
+WITH fit AS (
+  SELECT vec_id::BIGINT AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR abs(x) > 262144)) = 0
+), rows AS (SELECT * FROM fit WHERE len(v) = (SELECT mode(len(v)) FROM fit) QUALIFY row_number() OVER (PARTITION BY id ORDER BY label, v) = 1),
+scored AS (
+  SELECT a.id AS anchor_id, r.id AS id, a.label = r.label AS same, list_sum(list_transform(range(1, len(r.v) + 1), lambda i: a.v[i] * r.v[i]))::BIGINT AS score FROM rows a JOIN rows r ON a.id % 100 = 0 AND a.id <> r.id
+), positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) QUALIFY row_number() OVER w <= 5
+"""
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_nearest": op2_nearest,
@@ -186,5 +250,8 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_url_filter": op9_url_filter,
     "op10_token_tables": op10_token_tables,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sharding": op12_sharding,
+    "op13_hard_negatives": op13_hard_negatives,
 }
-ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_nearest": OP2_SQL, "op3_mixing": OP3_SQL, "op6_ngram_join": OP6_SQL, "op9_url_filter": OP9_SQL}
+ORACLE_SQL = {"op1_line_dedup": OP1_SQL, "op2_nearest": OP2_SQL, "op3_mixing": OP3_SQL, "op6_ngram_join": OP6_SQL, "op9_url_filter": OP9_SQL, "op11_fill_in_middle": OP11_SQL, "op12_sharding": OP12_SQL, "op13_hard_negatives": OP13_SQL}
