@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labharm.functions import text
-from labharm.functions.keys import K5, numeric_filter, regex_filter
+from labharm.functions import store, text
+from labharm.functions.keys import K5, left_join, numeric_filter, regex_filter
 from labharm.operators import distributions as D
-from labharm.operators import drift, extract, preview, report, similarity, validate
+from labharm.operators import checks, drift, extract, preview, report, similarity, validate
 from labharm.operators import harmonise as H
-from labharm.plans import lab
+from labharm.plans import lab, vocabulary
 from labharm.sources import tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,18 +37,23 @@ def measurement(spark: SparkSession, sf: str) -> DataFrame:
     return extract.measurement(lab.raw(spark, sf))
 
 
+def facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the extracts are made of; the records are scanned once for them."""
+    return store.once(spark, "facts", sf, lambda: extract.facts(measurement(spark, sf)))
+
+
 def summary(spark: SparkSession, sf: str) -> DataFrame:
-    """The assembled summary; it has a row a key, and several joins read it."""
+    """The assembled summary; it has a row a key, and is written once a session."""
     order = [F.desc_nulls_last("n_records"), *(F.asc_nulls_first(c) for c in [*K5, "MEASUREMENT_UNIT_HARMONIZED", "omopQuantity", "CONVERSION_FACTOR"])]
-    return H.row_ids(D.assemble(extract.all_extracts(measurement(spark, sf))), order).persist()
+    return store.once(spark, "summary", sf, lambda: H.row_ids(D.assemble(extract.all_extracts(facts(spark, sf))), order))
 
 
 def mapped(spark: SparkSession, sf: str) -> DataFrame:
-    return H.map_concepts(H.fix_units(summary(spark, sf), lab.vocabulary(spark, "unit_fix")), lab.vocabulary(spark, "mapping")).persist()
+    return H.map_concepts(H.fix_units(summary(spark, sf), lab.vocabulary(spark, "unit_fix")), lab.vocabulary(spark, "mapping"))
 
 
 def converted(spark: SparkSession, sf: str) -> DataFrame:
-    return H.rescale(H.convert(mapped(spark, sf), lab.vocabulary(spark, "conversion"))).persist()
+    return H.rescale(H.convert(mapped(spark, sf), lab.vocabulary(spark, "conversion")))
 
 
 def enriched(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,6 +153,10 @@ def add(name: str, run: Callable[[SparkSession, str], DataFrame], sql: str, own:
 
 
 
+def voc(*names: str) -> str:
+    return f"WITH {vocabulary.sql(*names)} "
+
+
 # ---- extracts
 ROUND_M = f"SELECT subject, {K}, MEASUREMENT_VALUE_TYPE, round(MEASUREMENT_VALUE, 6) AS MEASUREMENT_VALUE, round(HARMONIZED_VALUE, 6) AS HARMONIZED_VALUE FROM m"
 add("measurement_projection", lambda s, d: measurement(s, d).select("subject", *K5, "MEASUREMENT_VALUE_TYPE", *rounded("MEASUREMENT_VALUE", "HARMONIZED_VALUE")), ROUND_M)
@@ -157,9 +167,9 @@ add("summary_test", lambda s, d: extract.summary_test(measurement(s, d)), "SELEC
 add("summary_values_source", lambda s, d: extract.summary_values_source(measurement(s, d)), "SELECT * FROM sources")
 add("summary_outcomes", lambda s, d: extract.summary_outcomes(measurement(s, d)), "SELECT * FROM outcomes")
 VALS = "n_subjects, n_records, round(decile, 1) AS decile, round(decile_MEASUREMENT_VALUE, 6) AS decile_MEASUREMENT_VALUE, round(decile_MEASUREMENT_VALUE_HARMONIZED, 6) AS decile_MEASUREMENT_VALUE_HARMONIZED"
-add("summary_values", lambda s, d: extract.summary_values(measurement(s, d)).select(*K5, "n_subjects", "n_records", F.round("decile", 1).alias("decile"), *rounded("decile_MEASUREMENT_VALUE", "decile_MEASUREMENT_VALUE_HARMONIZED")), f"SELECT {K}, {VALS} FROM vals")
-add("deciles_wide", lambda s, d: extract.summary_values_wide(measurement(s, d)).select(*K5, *(F.round(F.get("v", F.lit(i)), 6).alias(f"v{i + 1}") for i in range(9))), f"SELECT {K}, {', '.join(f'round(v[{i}], 6) AS v{i}' for i in range(1, 10))} FROM wide")
-add("scaled_suppression", lambda s, d: extract.summary_values_wide(measurement(s, d)).select(*K5, "n_records", "n_subjects"), f"SELECT {K}, n_records, n_subjects FROM wide")
+add("summary_values", lambda s, d: extract.summary_values(facts(s, d)).select(*K5, "n_subjects", "n_records", F.round("decile", 1).alias("decile"), *rounded("decile_MEASUREMENT_VALUE", "decile_MEASUREMENT_VALUE_HARMONIZED")), f"SELECT {K}, {VALS} FROM vals")
+add("deciles_wide", lambda s, d: extract.summary_values_wide(facts(s, d)).select(*K5, *(F.round(F.get("v", F.lit(i)), 6).alias(f"v{i + 1}") for i in range(9))), f"SELECT {K}, {', '.join(f'round(v[{i}], 6) AS v{i}' for i in range(1, 10))} FROM wide")
+add("scaled_suppression", lambda s, d: extract.summary_values_wide(facts(s, d)).select(*K5, "n_records", "n_subjects"), f"SELECT {K}, n_records, n_subjects FROM wide")
 add("suppress_small_cells", lambda s, d: extract.suppressed(extract.counted(measurement(s, d), "TEST_NAME", "MEASUREMENT_UNIT", "IS_EXTRACTED", "MEASUREMENT_VALUE_TYPE", "TEST_OUTCOME")), "SELECT TEST_NAME, MEASUREMENT_UNIT, IS_EXTRACTED, MEASUREMENT_VALUE_TYPE, TEST_OUTCOME, count(*) AS n_records, count(DISTINCT subject) AS n_subjects FROM m GROUP BY ALL HAVING count(DISTINCT subject) > 5")
 add("distinct_keys", lambda s, d: measurement(s, d).select(*K5).distinct(), f"SELECT DISTINCT {K} FROM m")
 add("duplicate_keys", lambda s, d: validate.twice(extract.summary_values_source(measurement(s, d)), K5), f"SELECT {K} FROM sources GROUP BY {K} HAVING count(*) > 1")
@@ -199,14 +209,14 @@ add("row_id", lambda s, d: summary(s, d).select("rowId", *K5, "n_records"), f"SE
 
 # ---- harmonisation
 add("unit_fix", lambda s, d: H.fix_units(summary(s, d), lab.vocabulary(s, "unit_fix")).select("rowId", "MEASUREMENT_UNIT_PREFIX", "local_MEASUREMENT_UNIT"), "SELECT rowId, MEASUREMENT_UNIT_PREFIX, local_MEASUREMENT_UNIT FROM fixed")
-add("mapping_dedup", lambda s, d: H.mapping_rows(lab.vocabulary(s, "mapping")), "SELECT * EXCLUDE (line) FROM mapping_first")
+add("mapping_dedup", lambda s, d: H.mapping_rows(vocabulary.table(s, d, "mapping")).select("sourceCode", "testNameAbbreviation", "measurementUnit", "conceptId", "mappingStatus"), voc("mapping") + "SELECT sourceCode, testNameAbbreviation, measurementUnit, conceptId, mappingStatus FROM mapping QUALIFY row_number() OVER (PARTITION BY testNameAbbreviation, measurementUnit ORDER BY line) = 1", own=True)
 add("mapping_lookup", lambda s, d: mapped(s, d).select("rowId", "local_OMOP_CONCEPT_ID", "local_OMOP_CONCEPT_NAME", "local_omopQuantity"), "SELECT rowId, local_OMOP_CONCEPT_ID, local_OMOP_CONCEPT_NAME, local_omopQuantity FROM mapped")
 add("mapping_status", lambda s, d: mapped(s, d).select("rowId", "status"), "SELECT rowId, status FROM mapped")
 add("ignore_message", lambda s, d: mapped(s, d).select("rowId", "message"), "SELECT rowId, message FROM mapped")
 add("most_common_unit", lambda s, d: H.common_units(mapped(s, d)), "SELECT * FROM common")
 CONVERTED = ["rowId", "local_MEASUREMENT_UNIT_HARMONIZED_target", "local_CONVERSION_FACTOR", "local_MEASUREMENT_UNIT_HARMONIZED"]
 add("target_unit_join", lambda s, d: converted(s, d).select(*CONVERTED[:2]), f"SELECT {', '.join(CONVERTED[:2])} FROM converted")
-add("conversion_valid_rules", lambda s, d: H.valid_rules(lab.vocabulary(s, "conversion")), "SELECT * FROM rules")
+add("conversion_valid_rules", lambda s, d: H.valid_rules(vocabulary.table(s, d, "conversion")), voc("conversion") + "SELECT * FROM conversion WHERE source_unit_valid IS NOT NULL AND to_source_unit_valid IS NOT NULL", own=True)
 add("conversion_lookup", lambda s, d: converted(s, d).select(*CONVERTED), f"SELECT {', '.join(CONVERTED)} FROM converted")
 H9_SQL = ", ".join(f"round(local_h[{i}], 6) AS h{i}" for i in range(1, 10))
 for _name, _where in (("harmonised_deciles", "true"), ("conversion_linear", "try_cast(local_CONVERSION_FACTOR as double) is not null"), ("conversion_affine", "local_CONVERSION_FACTOR like '%X%'"), ("conversion_restricted", "local_CONVERSION_FACTOR is null and local_OMOP_CONCEPT_ID = 104")):
@@ -258,7 +268,7 @@ def _test_id(unit: str = "MEASUREMENT_UNIT") -> str:
 
 add("unit_change_text", lambda s, d: enriched(s, d).select("rowId", report.unit_change().alias("unitChange"), report.value_unit_change().alias("valueUnitChange")), f"SELECT rowId, {_unit_change()} AS unitChange, {_value_change()} AS valueUnitChange FROM enriched")
 add("test_id", lambda s, d: summary(s, d).select("rowId", report.test_id().alias("testId")), f"SELECT rowId, {_test_id()} AS testId FROM summary")
-add("issue_links", lambda s, d: lab.vocabulary(s, "mapping").select("line", report.issue_links("validationMessages", "https://example.org/issues/").alias("message")), """SELECT line, regexp_replace(validationMessages, '#(\\d+)', '<a href="https://example.org/issues/\\1">#\\1</a>', 'g') AS message FROM mapping""")
+add("issue_links", lambda s, d: vocabulary.table(s, d, "mapping").select("line", report.issue_links("validationMessages", "https://example.org/issues/").alias("message")), voc("mapping") + """SELECT line, regexp_replace(validationMessages, '#(\\d+)', '<a href="https://example.org/issues/\\1">#\\1</a>', 'g') AS message FROM mapping""", own=True)
 for _name, _local in (("view_local", True), ("view_remote", False)):
     _plain = {n: c for n, c in report.VIEW.items() if n != "decilesHarmonized"}
     add(_name, lambda s, d, x=_local: report.view(enriched(s, d), x).withColumn("decilesHarmonized", F.get("decilesHarmonized", F.lit(4)).cast("double")).withColumn("decilesHarmonized", F.round("decilesHarmonized", 6)), "SELECT rowId, " + ", ".join(f"{c[0] if _local else c[1]} AS {n}" for n, c in _plain.items()) + f", round({'local_h' if _local else 'h'}[5], 6) AS decilesHarmonized FROM enriched")
@@ -286,11 +296,11 @@ add(
     f"""SELECT rowId, status, local_OMOP_CONCEPT_ID AS conceptId, local_OMOP_CONCEPT_NAME AS conceptName, local_omopQuantity AS omopQuantity, {_test_id(UNIT(True))} AS testId, n_subjects AS nPeople, n_records AS nRecords, {_text_sql("dv", D.SOURCES)} AS "values", {_text_sql("dx", D.OUTCOMES)} AS outcomes,
     {_dec("v", UNIT(True))} AS deciles, round(ks, 2) AS ks, {_dec("local_h", "local_MEASUREMENT_UNIT_HARMONIZED")} AS decilesHarmonized, round(ks_harmonized, 2) AS ksHarmonized, message, differences, round(p, 2) AS pValue, round(p_harmonized, 2) AS pValueHarmonized FROM enriched""",
 )
-_SOURCE_COLOURS = {"Source": "#51A351", "Extracted": "#F89406", "Missing": "#BD362F"}
+_SOURCE_COLOURS = {"Missing": "#D3D3D3", "Extracted": "#808080", "Source": "#0000FF"}
 _JSON_SQL = "[" + ", ".join(repr(c) for c in D.SOURCES) + "]"
 add(
     "distribution_json",
-    lambda s, d: summary(s, d).select("rowId", report.distribution_json("distribution_values", D.SOURCES, _SOURCE_COLOURS).alias("json")),
+    lambda s, d: summary(s, d).select("rowId", report.distribution_json("distribution_values", D.SOURCES, report.SOURCE_COLOURS).alias("json")),
     "SELECT rowId, '[' || array_to_string(list_transform(" + _JSON_SQL + ", lambda c: '{\"value\":\"' || c || '\",\"n\":' || dv[c] || ',\"percent\":\"' || format('{:.1f}', floor(1000.0::DOUBLE * dv[c] / greatest(list_sum(map_values(dv)), 1) + 0.5) / 10) || '\",\"colour\":\"' || CASE c "
     + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SOURCE_COLOURS.items()) + " ELSE '#CCCCCC' END || '\"}'), ',') || ']' AS json FROM summary",
 )
@@ -300,9 +310,10 @@ add(
     ", lists AS (SELECT rowId, list_transform([" + ", ".join(repr(c) for c in D.OUTCOMES) + "], lambda c: dx[c]) AS n FROM summary), places AS (SELECT rowId, n, unnest(range(len(n)))::INT AS place FROM lists) SELECT rowId, place, floor(1000.0::DOUBLE * list_sum(n[1 : place + 1]) / list_sum(n) + 0.5) / 10 AS percent FROM places WHERE list_sum(n) > 0",
 )
 add("unnest_keep_empty", lambda s, d: summary(s, d).select("rowId", F.inline_outer(F.filter("distribution_outcomes", lambda x: x["n"] > 100))), ", flat AS (SELECT rowId, unnest(map_entries(dx), recursive := true) FROM summary), many AS (SELECT * FROM flat WHERE value > 100) SELECT s.rowId, f.key AS value, f.value AS n FROM summary s LEFT JOIN many f USING (rowId)")
-add("number_text", lambda s, d: summary(s, d).select("rowId", text.number("n_records").alias("n"), text.number(F.col("n_subjects") / F.col("n_records")).alias("share")), "SELECT rowId, regexp_replace(printf('%.6f', n_records::DOUBLE), '\\.?0+$', '') AS n, regexp_replace(printf('%.6f', n_subjects::DOUBLE / n_records), '\\.?0+$', '') AS share FROM summary")
+_number = lambda x: f"regexp_replace(regexp_replace(({x})::DOUBLE::VARCHAR::DECIMAL(38, 18)::VARCHAR, '\\.?0+$', ''), '^-0$', '0')"
+add("number_text", lambda s, d: summary(s, d).select("rowId", text.number("n_records").alias("n"), text.number(F.col("n_subjects") / F.col("n_records")).alias("share"), text.number(-1e-9 * F.col("n_subjects")).alias("small")), f"SELECT rowId, {_number('n_records')} AS n, {_number('n_subjects::DOUBLE / n_records')} AS share, {_number('-1e-9::DOUBLE * n_subjects')} AS small FROM summary")
 add("quote_escaping", lambda s, d: mapped(s, d).select("rowId", text.escaped(F.concat(F.lit("title=\""), F.coalesce("message", F.lit("it's")), F.lit("\""))).alias("attribute")), "SELECT rowId, replace(replace('title=\"' || coalesce(message, 'it''s') || '\"', '\"', '&quot;'), chr(39), '&#39;') AS attribute FROM mapped")
-add("category_colour", lambda s, d: mapped(s, d).select("rowId", report.colour(F.col("status")).alias("colour")), "SELECT rowId, CASE status " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in report.COLOURS.items()) + " ELSE '#CCCCCC' END AS colour FROM mapped")
+add("category_colour", lambda s, d: mapped(s, d).select("rowId", report.colour(F.col("status")).alias("colour")), "SELECT rowId, CASE status WHEN 'APPROVED' THEN '#74de74' WHEN 'IGNORED' THEN '#7b7b7b' WHEN 'UNCHECKED' THEN '#cccccc' WHEN 'FLAGGED' THEN '#d75e5e' WHEN 'INVALID_TARGET' THEN '#fffecc' WHEN 'NOT-FOUND' THEN '#deb074' END AS colour FROM mapped")
 add("ordered_distribution", lambda s, d: summary(s, d).select("rowId", D.text(report.ordered("distribution_outcomes", D.OUTCOMES)).alias("outcomes")), "SELECT rowId, array_to_string(list_transform([" + ", ".join(repr(c) for c in D.OUTCOMES) + "], lambda c: c || '=' || dx[c]), '|') AS outcomes FROM summary")
 add("status_rollup", lambda s, d: report.status_rollup(mapped(s, d)), "SELECT status, count(*) FILTER (WHERE contains(message, 'WARNING')) AS n_warnings, count(*) AS n_tests, sum(n_subjects)::BIGINT AS n_subjects, sum(n_records)::BIGINT AS n_records FROM mapped GROUP BY status")
 SHARE_SQL = ", rolled AS (SELECT status, count(*) FILTER (WHERE contains(message, 'WARNING')) AS n_warnings, count(*) AS n_tests, sum(n_subjects)::BIGINT AS n_subjects, sum(n_records)::BIGINT AS n_records FROM mapped GROUP BY status), shares AS (SELECT *, round(100.0::DOUBLE * n_tests / sum(n_tests) OVER (), 4) AS p_tests, round(100.0::DOUBLE * n_records / sum(n_records) OVER (), 4) AS p_records, round(100.0::DOUBLE * sum(n_records) OVER (ORDER BY n_records DESC, status ROWS UNBOUNDED PRECEDING) / sum(n_records) OVER (), 4) AS p_running FROM rolled) "
@@ -317,105 +328,170 @@ for _name, _text, _sql in (("range", "80 - 10", "ks_x > 10 - 1e-9 AND ks_x < 80
     add(f"filter_numeric_{_name}", lambda s, d, t=_text: enriched(s, d).withColumn("ks_x", F.col("ks") * 100).filter(numeric_filter("ks_x", t)).select("rowId"), f", x AS (SELECT rowId, ks * 100 AS ks_x FROM enriched) SELECT rowId FROM x WHERE {_sql}")
 
 
-# ---- similar names, out of part: names that come in size 50 are mapped, the others not
+# ---- similar names, out of part: names that come in size 50 are mapped, the others not; n is what was sold of them
 def _tests(s: SparkSession, d: str) -> DataFrame:
-    return s.read.parquet(f"{d}/part.parquet").groupBy(F.concat(F.concat_ws(" ", "p_name", "p_brand"), F.lit(" []")).alias("name")).agg(F.when(F.max("p_size") >= 50, F.max("p_partkey")).otherwise(F.lit(0).cast("long")).alias("concept"), F.count("*").alias("n"))
+    part, sold = s.read.parquet(f"{d}/part.parquet"), s.read.parquet(f"{d}/lineitem.parquet").groupBy("l_partkey").agg(F.sum("l_quantity").alias("sold"))
+    named = part.join(sold, F.col("p_partkey") == F.col("l_partkey"), "left").groupBy(F.concat(F.concat_ws(" ", "p_name", "p_brand"), F.lit(" []")).alias("name"))
+    return named.agg(F.when(F.max("p_size") >= 50, F.max("p_partkey")).otherwise(F.lit(0).cast("long")).alias("concept"), F.coalesce(F.sum("sold"), F.lit(0)).cast("long").alias("n"))
 
 
-TESTS_SQL = "WITH tests AS (SELECT p_name || ' ' || p_brand || ' []' AS name, CASE WHEN max(p_size) >= 50 THEN max(p_partkey) ELSE 0 END AS concept, count(*) AS n FROM part GROUP BY 1), named AS (SELECT * FROM tests WHERE try_cast(name AS DOUBLE) IS NULL AND n > 0), found AS (SELECT a.name, b.concept, b.name AS other, 1 - jaro_similarity(a.name, b.name) AS distance FROM named a, named b WHERE a.concept < 1 AND b.concept >= 1), near AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, other, concept) AS rank FROM found QUALIFY rank <= 10), rolled AS (SELECT name, concept, count(*) AS n, string_agg(other, ' | ' ORDER BY other) AS names, avg(distance) AS mean_distance FROM near GROUP BY 1, 2) "
+TESTS_SQL = "WITH tests AS (SELECT p_name || ' ' || p_brand || ' []' AS name, CASE WHEN max(p_size) >= 50 THEN max(p_partkey) ELSE 0 END AS concept, coalesce(sum(sold), 0)::BIGINT AS n FROM part LEFT JOIN (SELECT l_partkey, sum(l_quantity) AS sold FROM lineitem GROUP BY 1) ON l_partkey = p_partkey GROUP BY 1), named AS (SELECT * FROM tests WHERE try_cast(name AS DOUBLE) IS NULL AND n > 500), found AS (SELECT a.name, b.concept, b.name AS other, 1 - jaro_similarity(a.name, b.name) AS distance FROM named a, named b WHERE a.concept < 1 AND b.concept >= 1), near AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY distance, other, concept) AS rank FROM found QUALIFY rank <= 10), rolled AS (SELECT name, concept, count(*) AS n, string_agg(other, ' | ' ORDER BY other) AS names, avg(distance) AS mean_distance FROM near GROUP BY 1, 2) "
 
 
-def _pairs(s, d):
-    mapped_, unmapped = similarity.split_mapped(_tests(s, d), above=0)
-    return similarity.pairs(mapped_, unmapped)
+def _near(s, d):
+    return similarity.nearest(*similarity.split_mapped(_tests(s, d)))
 
 
-add("non_numeric_names", lambda s, d: _tests(s, d).filter("try_cast(name as double) is null"), TESTS_SQL + "SELECT * FROM named", own=True)
-add("mapped_unmapped_split", lambda s, d: similarity.split_mapped(_tests(s, d), above=0)[1].select("name"), TESTS_SQL + "SELECT name FROM named WHERE concept < 1", own=True)
-add("jaro_distance", lambda s, d: _pairs(s, d).select("name", "concept", "other", *rounded("distance")), TESTS_SQL + "SELECT name, concept, other, round(distance, 6) AS distance FROM found", own=True)
-add("similarity_topk", lambda s, d: similarity.nearest(_pairs(s, d)).select("name", "rank", "other", "concept"), TESTS_SQL + "SELECT name, rank, other, concept FROM near", own=True)
-add("similarity_rollup", lambda s, d: similarity.by_concept(similarity.nearest(_pairs(s, d))).select("name", "concept", "n", "names", *rounded("mean_distance")), TESTS_SQL + "SELECT name, concept, n, names, round(mean_distance, 6) AS mean_distance FROM rolled", own=True)
+add("non_numeric_names", lambda s, d: _tests(s, d).filter("try_cast(name as double) is null"), TESTS_SQL + "SELECT * FROM tests WHERE try_cast(name AS DOUBLE) IS NULL", own=True)
+add("mapped_unmapped_split", lambda s, d: similarity.split_mapped(_tests(s, d))[1].select("name"), TESTS_SQL + "SELECT name FROM named WHERE concept < 1", own=True)
+add("jaro_distance", lambda s, d: similarity.matrix(*similarity.split_mapped(_tests(s, d))).select("name", "concept", "other", *rounded("distance")), TESTS_SQL + "SELECT name, concept, other, round(distance, 6) AS distance FROM found", own=True)
+add("similarity_topk", lambda s, d: _near(s, d).select("name", "rank", "other", "concept", *rounded("distance")), TESTS_SQL + "SELECT name, rank, other, concept, round(distance, 6) AS distance FROM near", own=True)
+add("similarity_rollup", lambda s, d: similarity.by_concept(_near(s, d)).select("name", "concept", "n", "names", *rounded("mean_distance")), TESTS_SQL + "SELECT name, concept, n, names, round(mean_distance, 6) AS mean_distance FROM rolled", own=True)
 _LINK = "'=HYPERLINK(\"https://example.org/' || concept || '\", \"' || concept || '\"&CHAR(10)&\"' || n || ' testIds: ' || replace(names, '\"', '\"\"') || '\"&CHAR(10)&\"distance: ' || regexp_replace(printf('%.6f', round(mean_distance, 3)), '\\.?0+$', '') || '\")'"
-add("similarity_formulas", lambda s, d: similarity.formulas(similarity.by_concept(similarity.nearest(_pairs(s, d))), "https://example.org/"), TESTS_SQL + "SELECT name, " + ", ".join(f"max(CASE WHEN r = {i} THEN {_LINK} END) AS closest_{i}" for i in (1, 2, 3)) + " FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
+add("similarity_formulas", lambda s, d: similarity.formulas(similarity.by_concept(_near(s, d)), "https://example.org/"), TESTS_SQL + "SELECT name, " + ", ".join(f"max(CASE WHEN r = {i} THEN {_LINK} END) AS closest_{i}" for i in (1, 2, 3)) + " FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
 WIDE_SQL = ", ".join(f"max(CASE WHEN r = {i} THEN concept END) AS concept_{i}, round(max(CASE WHEN r = {i} THEN mean_distance END), 6) AS mean_distance_{i}" for i in (1, 2, 3))
-add("similarity_wide", lambda s, d: similarity.wide(similarity.by_concept(similarity.nearest(_pairs(s, d)))).select("name", *(f"concept_{i}" for i in (1, 2, 3)), *rounded(*(f"mean_distance_{i}" for i in (1, 2, 3)))), TESTS_SQL + f"SELECT name, {WIDE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
+add("similarity_wide", lambda s, d: similarity.wide(similarity.by_concept(_near(s, d))).select("name", *(f"concept_{i}" for i in (1, 2, 3)), *rounded(*(f"mean_distance_{i}" for i in (1, 2, 3)))), TESTS_SQL + f"SELECT name, {WIDE_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY mean_distance, concept) AS r FROM rolled) GROUP BY name", own=True)
 
 # ---- vocabulary upkeep
-VOCABULARY = f"WITH {lab.sql_tables()}, rules AS (SELECT * FROM conversion WHERE source_unit_valid IS NOT NULL AND to_source_unit_valid IS NOT NULL) "
-add("ignore_list_join", lambda s, d: H.ignore_list_join(lab.vocabulary(s, "mapping"), lab.vocabulary(s, "ignored")).select("line", "ignoreReasonNew"), VOCABULARY + "SELECT line, REASON AS ignoreReasonNew FROM mapping LEFT JOIN (SELECT DISTINCT * FROM ignored) i ON i.TEST_NAME = testNameAbbreviation", own=True)
-add("ignore_conflicts", lambda s, d: H.ignore_conflicts(lab.vocabulary(s, "mapping"), lab.vocabulary(s, "ignored")), VOCABULARY + "SELECT TEST_NAME, 'two reasons' AS problem FROM (SELECT DISTINCT * FROM ignored) GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT DISTINCT testNameAbbreviation, 'approved' FROM mapping WHERE mappingStatus = 'APPROVED' AND testNameAbbreviation IN (SELECT TEST_NAME FROM ignored)", own=True)
-add("status_recode", lambda s, d: H.recode_status(lab.vocabulary(s, "mapping")).select("line", "mappingStatus"), VOCABULARY + "SELECT line, CASE WHEN mappingStatus IN ('FLAGGED', 'INVALID_TARGET') THEN 'UNCHECKED' ELSE mappingStatus END AS mappingStatus FROM mapping", own=True)
-add("inherit_unitless_concept", lambda s, d: H.inherit_concepts(lab.vocabulary(s, "mapping")), VOCABULARY + "SELECT testNameAbbreviation, min(conceptId) AS conceptId FROM mapping WHERE mappingStatus = 'APPROVED' GROUP BY 1 HAVING count(DISTINCT conceptId) = 1", own=True)
-add("conversion_reciprocity", lambda s, d: validate.one_way_rules(lab.vocabulary(s, "conversion")), VOCABULARY + "SELECT a.omop_quantity, a.source_unit_valid, a.to_source_unit_valid, try_cast(a.conversion AS DOUBLE) AS there, try_cast(b.conversion AS DOUBLE) AS back FROM rules a JOIN rules b ON a.omop_quantity = b.omop_quantity AND a.source_unit_valid = b.to_source_unit_valid AND a.to_source_unit_valid = b.source_unit_valid WHERE a.source_unit_valid < a.to_source_unit_valid AND abs(try_cast(a.conversion AS DOUBLE) * try_cast(b.conversion AS DOUBLE) - 1) > 1e-5", own=True)
-
-
-def _log(s: SparkSession, d: str) -> DataFrame:
-    mapping, conversion, fix = (lab.vocabulary(s, n) for n in ("mapping", "conversion", "unit_fix"))
-    return validate.log("mapping", validate.mapping_rules(mapping, conversion)).union(validate.log("codes", validate.code_rules(lab.vocabulary(s, "codes"), lab.vocabulary(s, "concepts")))).union(validate.log("unit_fix", validate.fix_rules(fix, mapping)))
-
-
-_BAD_UNIT = "measurementUnit IS NULL AND NOT EXISTS (SELECT 1 FROM conversion WHERE source_unit_valid IS NULL) OR measurementUnit IS NOT NULL AND measurementUnit NOT IN (SELECT source_unit_valid FROM conversion WHERE source_unit_valid IS NOT NULL)"
-_BAD_QUANTITY = "NOT EXISTS (SELECT 1 FROM rules r WHERE r.omop_quantity = omopQuantity AND r.source_unit_valid = measurementUnit)"
-_OUTDATED = "conceptId <> 0 AND conceptId NOT IN (SELECT conceptId FROM concepts WHERE invalidReason IS NULL)"
-_MIXED = "SELECT count(*) FROM (SELECT sourceCode, string_agg(DISTINCT domainId, '|' ORDER BY domainId) AS domains FROM codes JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND mappingStatus {} GROUP BY 1) t WHERE contains(domains, '|') AND domains NOT IN (" + ", ".join(map(repr, validate.TOGETHER)) + ")"
-_STEPS = [
-    ("mapping", "Missing default columns", "ERROR", "SELECT 0 AS n"),
-    ("mapping", "SourceCode is empty", "ERROR", "SELECT count(*) FROM mapping WHERE coalesce(trim(sourceCode), '') = ''"),
-    ("mapping", "SourceCode and conceptId not unique", "ERROR", "SELECT count(*) FROM (SELECT 1 FROM mapping GROUP BY sourceCode, conceptId HAVING count(*) > 1)"),
-    ("mapping", "SourceCode is more than 50 characters", "ERROR", "SELECT count(*) FROM mapping WHERE length(sourceCode) > 50"),
-    ("mapping", "MappingStatus is empty", "ERROR", "SELECT count(*) FROM mapping WHERE coalesce(trim(mappingStatus), '') = ''"),
-    ("mapping", "MappingStatus is not valid", "ERROR", "SELECT count(*) FROM mapping WHERE mappingStatus NOT IN (" + ", ".join(map(repr, validate.STATUSES)) + ")"),
-    ("mapping", "APPROVED conceptId is 0", "ERROR", "SELECT count(*) FROM mapping WHERE mappingStatus = 'APPROVED' AND conceptId = 0"),
-    ("mapping", "LAB invalid source name format", "ERROR", r"SELECT count(*) FROM mapping WHERE NOT coalesce(regexp_matches(sourceCode, '^[^\[\]]+\[[^\[\]]*\]$'), false)"),
-    ("mapping", "LAB APPROVED invalid unit", "ERROR", f"SELECT count(*) FROM mapping WHERE mappingStatus = 'APPROVED' AND ({_BAD_UNIT})"),
-    ("mapping", "LAB not APPROVED invalid unit", "WARNING", f"SELECT count(*) FROM mapping WHERE mappingStatus <> 'APPROVED' AND ({_BAD_UNIT})"),
-    ("mapping", "LAB APPROVED invalid quantity", "ERROR", f"SELECT count(*) FROM mapping WHERE mappingStatus = 'APPROVED' AND {_BAD_QUANTITY}"),
-    ("mapping", "LAB not APPROVED invalid quantity", "WARNING", f"SELECT count(*) FROM mapping WHERE mappingStatus <> 'APPROVED' AND {_BAD_QUANTITY}"),
-    ("mapping", "LAB same test and quantity, different concepts", "WARNING", "SELECT count(*) FROM (SELECT 1 FROM mapping WHERE mappingStatus = 'APPROVED' GROUP BY testNameAbbreviation, omopQuantity HAVING count(DISTINCT conceptId) > 1)"),
-    ("codes", "SourceName is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceName), '') = ''"),
-    ("codes", "SourceName is more than 255 characters", "ERROR", "SELECT count(*) FROM codes WHERE length(sourceName) > 255"),
-    ("codes", "SourceFrequency is not empty", "ERROR", "SELECT count(*) FROM codes WHERE sourceFrequency IS NULL"),
-    ("codes", "APPROVED mappingStatus with concepts outdated", "ERROR", f"SELECT count(*) FROM codes WHERE mappingStatus = 'APPROVED' AND {_OUTDATED}"),
-    ("codes", "Not APPROVED mappingStatus with concepts outdated", "WARNING", f"SELECT count(*) FROM codes WHERE mappingStatus <> 'APPROVED' AND {_OUTDATED}"),
-    ("codes", "Missing C&CR columns", "ERROR", "SELECT 0 AS n"),
-    ("codes", "SourceConceptId is empty", "ERROR", "SELECT count(*) FROM codes WHERE sourceConceptId IS NULL"),
-    ("codes", "SourceConceptId is not a number on the range", "ERROR", "SELECT count(*) FROM codes WHERE sourceConceptId < 2002400000 OR sourceConceptId > 2002499999"),
-    ("codes", "SourceConceptClass is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceConceptClass), '') = ''"),
-    ("codes", "SourceConceptClass is more than 20 characters", "ERROR", "SELECT count(*) FROM codes WHERE length(sourceConceptClass) > 20"),
-    ("codes", "SourceDomain is empty", "ERROR", "SELECT count(*) FROM codes WHERE coalesce(trim(sourceDomain), '') = ''"),
-    ("codes", "SourceDomain is not a valid domain", "ERROR", "SELECT count(*) FROM codes WHERE trim(sourceDomain) <> '' AND sourceDomain NOT IN (" + ", ".join(map(repr, validate.DOMAINS)) + ")"),
-    ("codes", "Not APPROVED mappingStatus with valid domain combination", "WARNING", _MIXED.format("<> 'APPROVED'")),
-    ("codes", "APPROVED mappingStatus with valid domain combination", "ERROR", _MIXED.format("= 'APPROVED'")),
-    ("codes", "Missing date columns", "ERROR", "SELECT 0 AS n"),
-    ("codes", "SourceValidStartDate is after SourceValidEndDate", "ERROR", "SELECT count(*) FROM codes WHERE validStart::DATE > validEnd::DATE"),
-    ("codes", "Missing parent columns", "ERROR", "SELECT 0 AS n"),
-    ("codes", "Invalid parent concept code", "ERROR", "SELECT count(*) FROM codes c WHERE trim(parentCode) <> '' AND NOT EXISTS (SELECT 1 FROM codes p WHERE p.sourceCode = c.parentCode)"),
-    ("codes", "LAB: Invalid lab mapped domain", "WARNING", "SELECT count(*) FROM codes JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND domainId <> 'Measurement'"),
-    ("unit_fix", "Missing required columns", "ERROR", "SELECT 0 AS n"),
-    ("unit_fix", "TEST_NAME and unit not unique", "ERROR", "SELECT count(*) FROM (SELECT 1 FROM unit_fix GROUP BY TEST_NAME_ABBREVIATION, source_unit_clean HAVING count(*) > 1)"),
-    ("unit_fix", "TEST_NAME_ABBREVIATION is empty", "ERROR", "SELECT count(*) FROM unit_fix WHERE coalesce(trim(TEST_NAME_ABBREVIATION), '') = ''"),
-    ("unit_fix", "Test name and fixed unit not mapped", "WARNING", "SELECT count(*) FROM unit_fix WHERE NOT EXISTS (SELECT 1 FROM mapping WHERE testNameAbbreviation = TEST_NAME_ABBREVIATION AND measurementUnit IS NOT DISTINCT FROM source_unit_clean_fix)"),
-]
-LOG_SQL = VOCABULARY + ", log AS (" + " UNION ALL ".join(f"SELECT '{c}' AS context, '{step}' AS step, CASE WHEN n > 0 THEN '{kind}' ELSE 'SUCCESS' END AS type, n FROM ({sql}) t(n)" for c, step, kind, sql in _STEPS) + ") "
-add("validate_log", _log, LOG_SQL + "SELECT * FROM log", own=True)
+V = vocabulary.table
+add("ignore_list_join", lambda s, d: H.ignore_list_join(V(s, d, "mapping"), V(s, d, "ignored")).select("line", "ignoreReasonNew"), voc("mapping", "ignored") + "SELECT line, REASON AS ignoreReasonNew FROM mapping LEFT JOIN (SELECT DISTINCT * FROM ignored) i ON i.TEST_NAME IS NOT DISTINCT FROM testNameAbbreviation", own=True)
+add("ignore_conflicts", lambda s, d: H.ignore_conflicts(V(s, d, "mapping"), V(s, d, "ignored")), voc("mapping", "ignored") + "SELECT TEST_NAME, 'two reasons' AS problem FROM (SELECT DISTINCT * FROM ignored) GROUP BY 1 HAVING count(*) > 1 UNION ALL SELECT DISTINCT testNameAbbreviation, 'approved' FROM mapping WHERE mappingStatus = 'APPROVED' AND testNameAbbreviation IN (SELECT TEST_NAME FROM ignored)", own=True)
+add("status_recode", lambda s, d: H.recode_status(V(s, d, "mapping")).select("line", "mappingStatus"), voc("mapping") + "SELECT line, CASE WHEN mappingStatus IN ('FLAGGED', 'INVALID_TARGET') THEN 'UNCHECKED' ELSE mappingStatus END AS mappingStatus FROM mapping", own=True)
+add("inherit_unitless_concept", lambda s, d: H.inherit_concepts(V(s, d, "mapping")), voc("mapping") + "SELECT testNameAbbreviation, min(conceptId) AS conceptId FROM mapping WHERE mappingStatus = 'APPROVED' GROUP BY 1 HAVING count(DISTINCT conceptId) = 1", own=True)
+add("conversion_reciprocity", lambda s, d: validate.one_way_rules(V(s, d, "conversion")), voc("conversion") + ", rules AS (SELECT * FROM conversion WHERE source_unit_valid IS NOT NULL AND to_source_unit_valid IS NOT NULL) SELECT a.omop_quantity, a.source_unit_valid, a.to_source_unit_valid, try_cast(a.conversion AS DOUBLE) AS there, try_cast(b.conversion AS DOUBLE) AS back FROM rules a JOIN rules b ON a.omop_quantity = b.omop_quantity AND a.source_unit_valid = b.to_source_unit_valid AND a.to_source_unit_valid = b.source_unit_valid WHERE a.source_unit_valid < a.to_source_unit_valid AND abs(try_cast(a.conversion AS DOUBLE) * try_cast(b.conversion AS DOUBLE) - 1) > 1e-5", own=True)
+
+
+def _rewritten(s: SparkSession, d: str) -> DataFrame:
+    """The mapping file read, its statuses recoded, put in its own place, and read again."""
+
+    def write() -> str:
+        path = f"{store.folder(s, 'rewritten')}/mapping"
+        tables.write_csv(V(s, d, "mapping").orderBy("line").drop("line").withColumnsRenamed(vocabulary.ADDED), path)
+        cells = s.read.option("header", True).option("nullValue", "").option("multiLine", True).option("escape", '"').csv(path)
+        tables.replace_csv(H.recode_status(cells), path)
+        return path
+
+    return tables.read_mapping(s, store.once(s, "rewritten", d, write))
+
+
+add("mapping_rewrite", lambda s, d: _rewritten(s, d).select("sourceCode", "conceptId", "mappingStatus", "validationMessages"), voc("mapping") + "SELECT nullif(sourceCode, '') AS sourceCode, conceptId, CASE WHEN mappingStatus IN ('FLAGGED', 'INVALID_TARGET') THEN 'UNCHECKED' ELSE mappingStatus END AS mappingStatus, validationMessages FROM mapping", own=True)
+
+
+def _log(s: SparkSession, d: str, *lacking: str) -> DataFrame:
+    """The log of all rules; with lacking, of a mapping without these columns."""
+    tables_ = lambda: validate.log("LAB", V(s, d, "mapping").drop(*lacking), V(s, d, "conversion"), V(s, d, "concepts"), V(s, d, "unit_fix"))
+    return store.once(s, "-".join(("log", *lacking)), d, tables_)
+
+
+def _steps(lacking: tuple[str, ...] = ()) -> list[tuple[str, str, str, str]]:
+    """Step, severity, count and what the message says, as SQL over the vocabulary tables; a lacking column is null in the mapping that they read."""
+    bad_unit = "(measurementUnit IS NULL OR measurementUnit NOT IN (SELECT source_unit_valid FROM conversion WHERE source_unit_valid IS NOT NULL))"
+    bad_quantity = "NOT EXISTS (SELECT 1 FROM conversion r WHERE r.to_source_unit_valid IS NOT NULL AND r.omop_quantity = omopQuantity AND r.source_unit_valid = measurementUnit)"
+    outdated = "conceptId <> 0 AND conceptId NOT IN (SELECT conceptId FROM concepts WHERE invalidReason IS NULL)"
+    mixed = "(SELECT sourceCode, string_agg(DISTINCT domainId, '|' ORDER BY domainId) AS domains FROM mapping JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND {} GROUP BY 1) t WHERE contains(domains, '|') AND domains NOT IN ('Condition|Measurement', 'Condition|Observation', 'Condition|Procedure', 'Measurement|Observation', 'Measurement|Procedure', 'Observation|Procedure')"
+    approved, other = "coalesce(mappingStatus = 'APPROVED', false)", "NOT coalesce(mappingStatus = 'APPROVED', false)"
+    m, blank = "mapping WHERE ", "coalesce(trim({}), '') = ''"
+    absent = lambda *columns: (str(n := sum(c in lacking for c in columns)), "missing columns" + (": " + ", ".join(c for c in columns if c in lacking) if n else ""))
+    count = lambda where, found="rows": (f"(SELECT count(*) FROM {where})", found)
+    return [
+        ("Missing default columns", "ERROR", *absent("sourceCode", "sourceName", "sourceFrequency", "conceptId", "conceptName", "mappingStatus")),
+        ("SourceCode is empty", "ERROR", *count(m + blank.format("sourceCode"))),
+        ("SourceCode and conceptId are not unique", "ERROR", *count("(SELECT 1 FROM mapping GROUP BY sourceCode, conceptId HAVING count(*) > 1)", "repeated pairs")),
+        ("SourceCode is more than 50 characters", "ERROR", *count(m + "length(sourceCode) > 50")),
+        ("SourceName is empty", "ERROR", *count(m + blank.format("sourceName"))),
+        ("SourceName is more than 255 characters", "ERROR", *count(m + "length(sourceName) > 255")),
+        ("SourceFrequency is not empty", "ERROR", *count(m + "sourceFrequency IS NULL")),
+        ("MappingStatus is empty", "ERROR", *count(m + blank.format("mappingStatus"))),
+        ("MappingStatus is not valid", "ERROR", *count(m + "mappingStatus NOT IN ('APPROVED', 'IGNORED', 'UNCHECKED', 'FLAGGED', 'INVALID_TARGET')")),
+        ("APPROVED mappingStatus conceptId is 0", "ERROR", *count(m + "mappingStatus = 'APPROVED' AND conceptId = 0")),
+        ("APPROVED mappingStatus with concepts outdated", "ERROR", *count(m + f"{approved} AND {outdated}")),
+        ("Not APPROVED mappingStatus with concepts outdated", "WARNING", *count(m + f"{other} AND {outdated}")),
+        ("Missing C&CR columns", "ERROR", *absent("sourceConceptId", "sourceConceptClass", "sourceDomain")),
+        ("SourceConceptId is empty", "ERROR", *count(m + "sourceConceptId IS NULL")),
+        ("SourceConceptId is not a number on the range", "ERROR", *count(m + "sourceConceptId NOT BETWEEN 2002400000 AND 2002499999")),
+        ("SourceConceptClass is empty", "ERROR", *count(m + blank.format("sourceConceptClass"))),
+        ("SourceConceptClass is more than 20 characters", "ERROR", *count(m + "length(sourceConceptClass) > 20")),
+        ("SourceDomain is empty", "ERROR", *count(m + blank.format("sourceDomain"))),
+        ("SourceDomain is not a valid domain", "ERROR", *count(m + "trim(sourceDomain) <> '' AND sourceDomain NOT IN ('Condition', 'Device', 'Drug', 'Measurement', 'Observation', 'Procedure', 'Specimen', 'Unit', 'Visit')")),
+        ("Not APPROVED mappingStatus with valid domain combination", "WARNING", *count(mixed.format(other), "codes")),
+        ("APPROVED mappingStatus with valid domain combination", "ERROR", *count(mixed.format(approved), "codes")),
+        ("Missing date columns", "ERROR", *absent("validStart", "validEnd")),
+        ("SourceValidStartDate is after SourceValidEndDate", "ERROR", *count(m + "validStart::DATE > validEnd::DATE")),
+        ("Missing parent columns", "ERROR", *absent("parentCode")),
+        ("Invalid parent concept code", "ERROR", *count("mapping c WHERE trim(parentCode) <> '' AND NOT EXISTS (SELECT 1 FROM mapping p WHERE p.sourceCode = c.parentCode)")),
+        ("LAB: Invalid lab source name format", "ERROR", *count(m + r"NOT coalesce(regexp_matches(sourceCode, '^[^\[\]]+\[[^\[\]]*\]$'), false)")),
+        ("LAB: APPROVED Invalid lab unit", "ERROR", *count(m + f"{approved} AND {bad_unit}", "APPROVED lab source codes where unit is not in validUnitsList or is NA")),
+        ("LAB: not APPROVED Invalid lab unit", "WARNING", *count(m + f"{other} AND {bad_unit}", "not APPROVED lab source codes where unit is not in validUnitsList or is NA")),
+        ("LAB: Invalid lab mapped domain", "WARNING", *count("mapping JOIN concepts USING (conceptId) WHERE conceptId <> 0 AND domainId <> 'Measurement'", "mapped lab source codes where domain is not 'Measurement'")),
+        ("LAB: APPROVED Invalid lab quantity", "ERROR", *count(m + f"{approved} AND {bad_quantity}", "APPROVED lab source codes where test unit does not agree with omop_quantity")),
+        ("LAB: not APPROVED Invalid lab quantity", "WARNING", *count(m + f"{other} AND {bad_quantity}", "not APPROVED lab source codes where test unit does not agree with omop_quantity")),
+        ("LAB: TestName with same quantity maps to different concept ids", "WARNING", *count("(SELECT 1 FROM mapping WHERE mappingStatus = 'APPROVED' GROUP BY testNameAbbreviation, omopQuantity HAVING count(DISTINCT conceptId) > 1)", "codes with testName with same quantity maps to different concept ids")),
+        ("Missing required columns", "ERROR", *absent()),
+        ("TEST_NAME_ABBREVIATION source_unit_clean is unique", "ERROR", *count("(SELECT 1 FROM unit_fix GROUP BY TEST_NAME_ABBREVIATION, source_unit_clean HAVING count(*) > 1)", "repeated pairs")),
+        ("TEST_NAME_ABBREVIATION is empty", "ERROR", *count("unit_fix WHERE " + blank.format("TEST_NAME_ABBREVIATION"))),
+        ("TEST_NAME_ABBREVIATION source_unit_clean_fix pair valid", "WARNING", *count("unit_fix WHERE NOT EXISTS (SELECT 1 FROM mapping WHERE testNameAbbreviation IS NOT DISTINCT FROM TEST_NAME_ABBREVIATION AND measurementUnit IS NOT DISTINCT FROM source_unit_clean_fix)", "pairs that aren't mapped")),
+    ]
+
+
+def _log_sql(*lacking: str) -> str:
+    text = lambda x: x.replace("'", "''")
+    types = {"sourceFrequency": "INTEGER", "conceptId": "INTEGER", "sourceConceptId": "BIGINT"}
+    whole = f"WITH {vocabulary.sql()}".replace("mapping AS (", "mapping_ AS (", 1) + ", mapping AS (SELECT * REPLACE (line AS line" + "".join(f", NULL::{types.get(c, 'VARCHAR')} AS {c}" for c in lacking) + ") FROM mapping_)"
+    rows = " UNION ALL ".join(f"SELECT {i} AS place, 'LAB' AS context, '{text(step)}' AS step, '{kind}' AS severity, {n}::BIGINT AS n, '{text(found)}' AS found" for i, (step, kind, n, found) in enumerate(_steps(lacking)))
+    return whole + f", log AS (SELECT context, CASE WHEN n > 0 THEN severity ELSE 'SUCCESS' END AS type, step, CASE WHEN n > 0 THEN 'Found ' || n || ' ' || found ELSE '' END AS message, n, place FROM ({rows})) "
+
+
+LOG_SQL = _log_sql()
+LOG = ["context", "type", "step", "message", "n"]
+add("validate_log", lambda s, d: _log(s, d).select(*LOG), LOG_SQL + f"SELECT {', '.join(LOG)} FROM log", own=True)
+_LACKING = ("parentCode", "sourceDomain", "sourceName", "validEnd")
+add("validate_lacking_columns", lambda s, d: _log(s, d, *_LACKING).select(*LOG), _log_sql(*_LACKING) + f"SELECT {', '.join(LOG)} FROM log", own=True)
 add("validate_rollup", lambda s, d: validate.rollup(_log(s, d)), LOG_SQL + "SELECT context, " + ", ".join(f"count(*) FILTER (WHERE type = '{t}') AS {t}" for t in validate.SEVERITY) + " FROM log GROUP BY context", own=True)
 add("final_status", lambda s, d: validate.final_status(_log(s, d)), LOG_SQL + "SELECT CASE WHEN count(*) FILTER (WHERE type = 'ERROR') > 0 THEN 'ERROR' WHEN count(*) FILTER (WHERE type = 'WARNING') > 0 THEN 'WARNING' ELSE 'SUCCESS' END AS final_status FROM log", own=True)
-add("status_page", lambda s, d: s.createDataFrame([(line,) for line in validate.status_markdown(_log(s, d)).split("\n") if line.startswith("|") and line.count("|") == 5 and "type" not in line and ":--" not in line and "SUCCESS|WARNING" not in line], "line string"), LOG_SQL + "SELECT '|' || context || '|' || type || '|' || step || '|' || n || '|' AS line FROM log UNION ALL SELECT '|' || context || '|' || count(*) FILTER (WHERE type = 'SUCCESS') || '|' || count(*) FILTER (WHERE type = 'WARNING') || '|' || count(*) FILTER (WHERE type = 'ERROR') || '|' FROM log GROUP BY context", own=True)
+add("status_page", lambda s, d: validate.page(_log(s, d)).filter("line like '|LAB|%'"), LOG_SQL + "SELECT place + 3.0::DOUBLE AS place, '|' || context || '|' || type || '|' || step || '|' || message || '|' AS line FROM log UNION ALL SELECT 1.0::DOUBLE, '|' || context || '|' || count(*) FILTER (WHERE type = 'SUCCESS') || '|' || count(*) FILTER (WHERE type = 'WARNING') || '|' || count(*) FILTER (WHERE type = 'ERROR') || '|' FROM log GROUP BY context", own=True)
 
 # ---- looking at tables
 add("row_cap", lambda s, d: preview.cap(measurement(s, d), 100).agg(F.count("*").alias("n")), "SELECT least(100, count(*)) AS n FROM m")
 add("seeded_sample", lambda s, d: preview.sample(lab.raw(s, d).select("TEST_NAME").distinct(), 3, ["TEST_NAME"], 7), "SELECT DISTINCT TEST_NAME FROM m ORDER BY md5('7' || chr(31) || coalesce(TEST_NAME, '')) LIMIT 3")
-add("column_preview", lambda s, d: preview.columns(lab.vocabulary(s, "conversion")).select("place", "name", "n", "n_missing", "smallest", "largest"), "WITH " + lab.sql_tables() + " " + " UNION ALL ".join(f"SELECT {i}::INT AS place, '{c}' AS name, count(*) AS n, count(*) - count({c}) AS n_missing, min({c}) AS smallest, max({c}) AS largest FROM conversion" for i, c in enumerate(x.split()[0] for x in lab.TABLES["conversion"][0].split(", "))), own=True)
+_COLUMNS = ("omop_quantity", "source_unit_valid", "to_source_unit_valid", "conversion", "only_to_omop_concepts")
+add("column_preview", lambda s, d: preview.columns(V(s, d, "conversion")).select("place", "name", "n", "n_missing", "smallest", "largest"), voc("conversion") + " UNION ALL ".join(f"SELECT {i}::INT AS place, '{c}' AS name, count(*) AS n, count(*) - count({c}) AS n_missing, min({c}) AS smallest, max({c}) AS largest FROM conversion" for i, c in enumerate(_COLUMNS)), own=True)
 add("row_counts", lambda s, d: preview.counts(extract.summary_values_source(measurement(s, d)), K5), f"SELECT (SELECT count(*) FROM sources) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT {K} FROM sources)) AS n_keys")
 add("look_up", lambda s, d: preview.look_up(summary(s, d).select("rowId", "TEST_NAME", "MEASUREMENT_UNIT"), 4, TEST_NAME="click", MEASUREMENT_UNIT=None), "SELECT rowId, TEST_NAME, MEASUREMENT_UNIT FROM summary WHERE TEST_NAME = 'click' AND MEASUREMENT_UNIT IS NULL ORDER BY rowId LIMIT 4")
-add("side_by_side", lambda s, d: preview.beside(lab.vocabulary(s, "mapping").select("line", "sourceCode"), lab.vocabulary(s, "ignored"), [F.col("line")], [F.col("TEST_NAME"), F.col("REASON")]), VOCABULARY + "SELECT line, sourceCode, TEST_NAME, REASON FROM (SELECT line, sourceCode, row_number() OVER (ORDER BY line) AS k FROM mapping) FULL JOIN (SELECT *, row_number() OVER (ORDER BY TEST_NAME, REASON) AS k FROM ignored) USING (k)", own=True)
-add("concept_ids", lambda s, d: lab.vocabulary(s, "conversion").select("omop_quantity", F.expr("try_cast(only_to_omop_concepts as int)").alias("concept"), F.expr("try_cast(conversion as int)").alias("factor")), VOCABULARY + "SELECT omop_quantity, try_cast(only_to_omop_concepts AS INT) AS concept, CASE WHEN regexp_matches(conversion, '^-?[0-9]+$') THEN try_cast(conversion AS INT) END AS factor FROM conversion", own=True)
+add("side_by_side", lambda s, d: preview.beside(V(s, d, "mapping").select("line", "sourceCode"), V(s, d, "ignored"), [F.col("line")], [F.col("TEST_NAME"), F.col("REASON")]), voc("mapping", "ignored") + "SELECT line, sourceCode, TEST_NAME, REASON FROM (SELECT line, sourceCode, row_number() OVER (ORDER BY line) AS k FROM mapping) FULL JOIN (SELECT *, row_number() OVER (ORDER BY TEST_NAME NULLS FIRST, REASON) AS k FROM ignored) USING (k)", own=True)
+add("concept_ids", lambda s, d: V(s, d, "conversion").select("omop_quantity", F.expr("try_cast(only_to_omop_concepts as int)").alias("concept"), F.expr("try_cast(conversion as int)").alias("factor")), voc("conversion") + "SELECT omop_quantity, try_cast(only_to_omop_concepts AS INT) AS concept, CASE WHEN regexp_matches(conversion, '^-?[0-9]+$') THEN try_cast(conversion AS INT) END AS factor FROM conversion", own=True)
 
 # ---- vocabulary files: the same tables written and read by the readers
-add("read_unit_fix", lambda s, d: tables.read_unit_fix(s, lab.vocabulary_files(s)["unit_fix"]).select("TEST_NAME_ABBREVIATION", "source_unit_clean", "source_unit_clean_fix"), VOCABULARY + "SELECT nullif(TEST_NAME_ABBREVIATION, '') AS TEST_NAME_ABBREVIATION, source_unit_clean, source_unit_clean_fix FROM unit_fix", own=True)
-add("read_unit_conversion", lambda s, d: tables.read_unit_conversion(s, lab.vocabulary_files(s)["conversion"]).drop("validation_messages"), VOCABULARY + "SELECT * FROM conversion", own=True)
-add("read_ignore_list", lambda s, d: tables.read_ignore_list(s, lab.vocabulary_files(s)["ignored"]).select("TEST_NAME", "REASON"), VOCABULARY + "SELECT * FROM ignored", own=True)
-add("read_mapping", lambda s, d: tables.read_mapping(s, lab.vocabulary_files(s)["mapping"]), VOCABULARY + "SELECT line::BIGINT AS line, conceptId, sourceCode, testNameAbbreviation, measurementUnit, nullif(conceptName, '') AS conceptName, omopQuantity, validationMessages, mappingStatus, ignoreReason FROM mapping", own=True)
-add("read_vocabulary_folder", lambda s, d: tables.vocabulary_views(s, lab.vocabulary_files(s)["folder"], {"CONCEPT": "conceptId int, domainId string, invalidReason string"}) or s.table("CONCEPT"), VOCABULARY + "SELECT * FROM concepts", own=True)
-add("read_extract", lambda s, d: tables.read_extracts(s, lab.extract_files(s, extract.all_extracts(measurement(s, d))))["summaryOutcomes"], "SELECT * FROM outcomes")
-add("text_to_parquet", lambda s, d: s.read.parquet(lab.parquet_of_text(s)), VOCABULARY + "SELECT TEST_NAME_ABBREVIATION, nullif(source_unit_clean_fix, 'NA') AS source_unit_clean_fix FROM unit_fix WHERE TEST_NAME_ABBREVIATION <> ''", own=True)
+Files = vocabulary.files
+add("read_unit_fix", lambda s, d: tables.read_unit_fix(s, Files(s, d)["unit_fix"]).select("TEST_NAME_ABBREVIATION", "source_unit_clean", "source_unit_clean_fix"), voc("unit_fix") + "SELECT nullif(TEST_NAME_ABBREVIATION, '') AS TEST_NAME_ABBREVIATION, source_unit_clean, source_unit_clean_fix FROM unit_fix", own=True)
+add("read_unit_conversion", lambda s, d: tables.read_unit_conversion(s, Files(s, d)["conversion"]).drop("validation_messages"), voc("conversion") + "SELECT * REPLACE (nullif(source_unit_valid, '') AS source_unit_valid) FROM conversion", own=True)
+add("read_ignore_list", lambda s, d: tables.read_ignore_list(s, Files(s, d)["ignored"]).select("TEST_NAME", "REASON"), voc("ignored") + "SELECT * FROM ignored", own=True)
+add("read_mapping", lambda s, d: tables.read_mapping(s, Files(s, d)["mapping"]), voc("mapping") + "SELECT row_number() OVER (ORDER BY line) AS line, conceptId, sourceCode, testNameAbbreviation, measurementUnit, nullif(conceptName, '') AS conceptName, omopQuantity, validationMessages, mappingStatus, ignoreReason FROM mapping", own=True)
+add("read_vocabulary_folder", lambda s, d: tables.vocabulary_views(s, Files(s, d)["folder"], {"CONCEPT": "conceptId int, domainId string, invalidReason string"}) or s.table("CONCEPT"), voc("concepts") + "SELECT * FROM concepts", own=True)
+add("text_to_parquet", lambda s, d: s.read.parquet(vocabulary.malformed_text(s, d)), "SELECT p_name || ' ' || p_partkey AS name, CASE WHEN p_size % 4 <> 0 THEN p_brand END AS brand FROM part WHERE p_partkey % 50 NOT IN (7, 8)", own=True)
+_FILE_SQL = {"summaryTest": "SELECT * FROM tests", "summaryValuesSource": "SELECT * FROM sources", "summaryValues": f"SELECT {K}, {VALS} FROM vals", "summaryOutcomes": "SELECT * FROM outcomes"}
+
+
+def _extract(s: SparkSession, d: str, name: str) -> DataFrame:
+    read = tables.read_extracts(s, lab.extract_files(s, d, lambda: extract.all_extracts(facts(s, d))))[name]
+    return read.select(*(F.round(c, 6).alias(c) if kind == "double" else c for c, kind in read.dtypes))
+
+
+for _name, _sql in _FILE_SQL.items():
+    add(f"read_{_name}" if _name != "summaryOutcomes" else "read_extract", lambda s, d, n=_name: _extract(s, d, n), _sql)
+
+# ---- checks
+add("decile_grids", lambda s, d: checks.grids(_extract(s, d, "summaryValues")), f"SELECT {K}, bool_and(true) AS whole, bool_and(true) AS ordered, count(decile_MEASUREMENT_VALUE_HARMONIZED) = 9 AS harmonized FROM vals GROUP BY {K}")
+add("extract_recheck", lambda s, d: functools.reduce(DataFrame.union, (_extract(s, d, n).agg(F.lit(n).alias("name"), F.count("*").alias("n_rows"), F.count_if(F.col("n_subjects") < extract.MIN_SUBJECTS).alias("n_small")) for n in _FILE_SQL)), " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows, count(*) FILTER (WHERE n_subjects < 5) AS n_small FROM {t}" for n, t in (("summaryTest", "tests"), ("summaryValuesSource", "sources"), ("summaryValues", "vals"), ("summaryOutcomes", "outcomes"))))
+
+
+def _sketched(s: SparkSession, d: str) -> DataFrame:
+    """Deciles from sketches of single months that are stored and merged, beside the share of values below and up to them."""
+    m = measurement(s, d).withColumn("part", F.pmod(F.xxhash64("subject"), F.lit(12)))
+    deciles = extract.sketched_deciles(extract.merged(store.cut(extract.sketches(m, ["part"]), "sketches", ["part"])))
+    values = m.filter("MEASUREMENT_VALUE is not null").groupBy(*K5, "MEASUREMENT_VALUE").agg(F.count("*").alias("k"))
+    ranks = left_join(deciles, values, K5).groupBy(*K5, "n", "decile", "value").agg(F.sum(F.when(F.col("MEASUREMENT_VALUE") < F.col("value"), F.col("k")).otherwise(0)).alias("below"), F.sum(F.when(F.col("MEASUREMENT_VALUE") <= F.col("value"), F.col("k")).otherwise(0)).alias("upto"))
+    e = extract.SKETCH_ERROR + 1 / F.col("n")
+    return ranks.select(*K5, "n", F.round("decile", 1).alias("decile"), ((F.col("below") / F.col("n") <= F.col("decile") + e) & (F.col("upto") / F.col("n") >= F.col("decile") - e)).alias("within_error"))
+
+
+add("sketched_deciles", _sketched, f"SELECT {K}, n, round(unnest(range(1, 10)) / 10, 1) AS decile, true AS within_error FROM (SELECT {K}, count(*) AS n FROM m WHERE MEASUREMENT_VALUE IS NOT NULL GROUP BY {K})")

@@ -9,18 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from labharm.functions import names
+
 #: The key that the four extracts share.
 K5 = ["OMOP_CONCEPT_ID", "TEST_NAME", "MEASUREMENT_UNIT_PREFIX", "MEASUREMENT_UNIT", "IS_EXTRACTED"]
-#: Rows up to which a vocabulary table is broadcast.
-BROADCAST_ROWS = 200_000
 
 
-def left_join(left: DataFrame, right: DataFrame, on: list[str] | dict[str, str], vocabulary: bool = False, how: str = "left") -> DataFrame:
-    """Left join in which nulls are equal. on: names, or left names by right ones. vocabulary: broadcasts right if it is small."""
+def left_join(left: DataFrame, right: DataFrame, on: list[str] | dict[str, str], how: str = "left") -> DataFrame:
+    """Left join in which nulls are equal. on: names, or left names by right ones. Spark broadcasts the right side where its size is known to be small."""
     on = on if isinstance(on, dict) else {c: c for c in on}
     right = right.withColumnsRenamed({r: f"__{r}" for r in on})
-    if vocabulary and right.count() <= BROADCAST_ROWS:
-        right = F.broadcast(right)
     at = F.lit(True)
     for r, l in on.items():  # noqa: E741
         at = at & F.col(l).eqNullSafe(F.col(f"__{r}"))
@@ -40,7 +38,7 @@ def na(x: str | Column) -> Column:
 def regex_filter(column: str, pattern: str) -> Column:
     """Case-insensitive search; a pattern that is no regular expression keeps all rows."""
     try:
-        SparkSession.active().range(1).select(F.lit("").rlike(f"(?i){pattern}")).collect()
+        SparkSession.active().sql("SELECT '' RLIKE :pattern", {"pattern": f"(?i){pattern}"}).collect()  # folded while it is planned, without a job
     except PySparkException:
         return F.lit(True)
     return F.coalesce(F.col(column).rlike(f"(?i){pattern}"), F.lit(False))
@@ -65,29 +63,16 @@ def numeric_filter(column: str, text: str, eps: float = 1e-9) -> Column:
 
 
 def jaro(a: Column, b: Column) -> Column:
-    """Jaro distance of two strings."""
+    """Jaro distance of two strings, whole Arrow batches at once."""
 
     @F.pandas_udf("double")
     def distance(x, y):
         import pandas as pd
 
-        return pd.Series([None if p is None or q is None else 1 - similarity(p, q) for p, q in zip(x, y)], dtype="float64")
-
-    def similarity(p: str, q: str) -> float:
-        if not p or not q:
-            return float(p == q)
-        reach = max(0, max(len(p), len(q)) // 2 - 1)
-        taken, mine = [False] * len(q), []
-        for i, c in enumerate(p):
-            for j in range(max(0, i - reach), min(len(q), i + reach + 1)):
-                if not taken[j] and q[j] == c:
-                    taken[j] = True
-                    mine.append(c)
-                    break
-        m = len(mine)
-        if not m:
-            return 0.0
-        moved = sum(x != y for x, y in zip(mine, (c for c, t in zip(q, taken) if t))) // 2
-        return (m / len(p) + m / len(q) + (m - moved) / m) / 3
+        known = x.notna() & y.notna()
+        out = pd.Series(None, index=x.index, dtype="float64")
+        if known.any():
+            out[known] = 1 - names.similarity(names.coded(x[known].tolist()), names.coded(y[known].tolist()))
+        return out
 
     return distance(a, b)

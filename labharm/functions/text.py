@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 
 def number(x: str | Column) -> Column:
-    """A number as text without trailing zeros, up to six decimals: 500, 0.25, 0.000001."""
-    x = F.col(x) if isinstance(x, str) else x
-    return F.regexp_replace(F.format_string("%.6f", x.cast("double")), r"\.?0+$", "")
+    """A number as text in its shortest digits, without exponent and trailing zeros: 500, 0.25, 0.000000001. Of less than 1e-18 nothing is left; from 1e20 on the exponent stays."""
+    x = (F.col(x) if isinstance(x, str) else x).cast("double")
+    plain = x.cast("string").try_cast("decimal(38,18)").cast("string")
+    return F.coalesce(F.regexp_replace(F.regexp_replace(plain, r"\.?0+$", ""), "^-0$", "0"), x.cast("string"))
 
 
 def escaped(x: str | Column) -> Column:

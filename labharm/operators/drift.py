@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from labharm.functions.keys import keep_first, left_join
 from labharm.operators.distributions import n_values
+from labharm.operators.order import gaps
 
 
 def distance(v: str, ref: str) -> Column:
@@ -52,18 +53,8 @@ def neg_log10(p: str) -> Column:
 
 
 def two_samples(sample: DataFrame, reference: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
-    """keys, ks, n_sample, n_reference: each key's values (keys, value) against the reference values (by, value) of its group by.
-
-    Values are counted first, so equal ones are one row; what is sorted are the different values of one key and its group.
-    """
-    mine = sample.filter("value is not null").groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    theirs = reference.filter("value is not null").groupBy(*by, "value").agg(F.count("*").alias("m"))
-    both = mine.withColumn("m", F.lit(0).cast("long")).unionByName(left_join(mine.select(*keys).distinct(), theirs, by, how="inner").withColumn("n", F.lit(0).cast("long")))
-    whole = W.partitionBy(*keys)
-    at = whole.orderBy("value").rangeBetween(W.unboundedPreceding, W.currentRow)
-    both = both.withColumns({"a": F.sum("n").over(at), "b": F.sum("m").over(at), "n_sample": F.sum("n").over(whole), "n_reference": F.sum("m").over(whole)})
-    gap = F.abs(F.col("a") / F.col("n_sample") - F.col("b") / F.nullif(F.col("n_reference"), F.lit(0)))
-    return both.groupBy(*keys).agg(F.max(gap).alias("ks"), F.max("n_sample").alias("n_sample"), F.max("n_reference").alias("n_reference"))
+    """keys, ks, n_sample, n_reference: each key's values (keys, value) against the reference values (by, value) of its group by, in full."""
+    return gaps(sample, reference, keys, by).withColumnRenamed("gap", "ks")
 
 
 def injection(ks: DataFrame, below: float = 0.3) -> DataFrame:

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from labharm.functions.keys import keep_first, left_join, na
 from labharm.operators.distributions import all_missing
+from labharm.operators.order import numbered
 
 AFFINE = r"^\s*(-?[0-9.]+(?:[eE][+-]?[0-9]+)?)\*X([+-][0-9.]+)\s*$"
 
@@ -15,7 +15,7 @@ AFFINE = r"^\s*(-?[0-9.]+(?:[eE][+-]?[0-9]+)?)\*X([+-][0-9.]+)\s*$"
 def fix_units(summary: DataFrame, unit_fix: DataFrame) -> DataFrame:
     """local_MEASUREMENT_UNIT: the rule's unit for the test name and the unit as it came, else the unit; extracted rows are never fixed."""
     rules = unit_fix.select("TEST_NAME_ABBREVIATION", "source_unit_clean", F.col("source_unit_clean_fix").alias("__fix"), F.lit(False).alias("__plain"))
-    out = left_join(summary, rules, {"TEST_NAME_ABBREVIATION": "TEST_NAME", "source_unit_clean": "MEASUREMENT_UNIT_PREFIX", "__plain": "IS_EXTRACTED"}, vocabulary=True)
+    out = left_join(summary, rules, {"TEST_NAME_ABBREVIATION": "TEST_NAME", "source_unit_clean": "MEASUREMENT_UNIT_PREFIX", "__plain": "IS_EXTRACTED"})
     return out.withColumn("local_MEASUREMENT_UNIT", F.coalesce("__fix", "MEASUREMENT_UNIT_PREFIX")).drop("__fix")
 
 
@@ -27,7 +27,7 @@ def mapping_rows(mapping: DataFrame) -> DataFrame:
 def map_concepts(summary: DataFrame, mapping: DataFrame) -> DataFrame:
     """Local concept, quantity, status and message by test name and local unit."""
     rows = mapping_rows(mapping).select("testNameAbbreviation", "measurementUnit", F.col("conceptId").alias("local_OMOP_CONCEPT_ID"), F.col("conceptName").alias("local_OMOP_CONCEPT_NAME"), F.col("omopQuantity").alias("local_omopQuantity"), F.col("validationMessages").alias("message"), "mappingStatus", "ignoreReason")
-    out = left_join(summary, rows, {"testNameAbbreviation": "TEST_NAME", "measurementUnit": "local_MEASUREMENT_UNIT"}, vocabulary=True)
+    out = left_join(summary, rows, {"testNameAbbreviation": "TEST_NAME", "measurementUnit": "local_MEASUREMENT_UNIT"})
     ignored = F.col("ignoreReason").isNotNull()
     status = F.when(F.col("mappingStatus") == "APPROVED", "APPROVED").when(ignored, "IGNORED").when(F.col("mappingStatus").isNotNull(), F.col("mappingStatus")).otherwise("NOT-FOUND")
     message = F.when(ignored, F.concat(F.lit("IGNORED: "), F.col("ignoreReason"), F.lit("; "), na("message"))).otherwise(F.col("message"))
@@ -48,7 +48,7 @@ def convert(summary: DataFrame, conversion: DataFrame, blank_units: bool = False
     """Target unit, factor and harmonised unit, by quantity, unit and target. blank_units: rules without a unit count too."""
     out = left_join(summary, common_units(summary), ["local_OMOP_CONCEPT_ID"])
     rules = (conversion if blank_units else valid_rules(conversion)).select("omop_quantity", "source_unit_valid", "to_source_unit_valid", F.col("conversion").alias("__factor"), F.col("only_to_omop_concepts").cast("int").alias("__only"))
-    out = left_join(out, rules, {"omop_quantity": "local_omopQuantity", "source_unit_valid": "local_MEASUREMENT_UNIT", "to_source_unit_valid": "target_unit"}, vocabulary=True)
+    out = left_join(out, rules, {"omop_quantity": "local_omopQuantity", "source_unit_valid": "local_MEASUREMENT_UNIT", "to_source_unit_valid": "target_unit"})
     fits = F.col("__only").isNull() | (F.col("__only") == F.col("local_OMOP_CONCEPT_ID"))
     factor = F.when(fits, F.col("__factor"))
     target = F.when(F.col("local_MEASUREMENT_UNIT").isNotNull(), F.col("target_unit"))
@@ -87,7 +87,7 @@ def differences(summary: DataFrame) -> DataFrame:
 
 def ignore_list_join(mapping: DataFrame, ignored: DataFrame) -> DataFrame:
     rows = ignored.select("TEST_NAME", F.col("REASON").alias("ignoreReasonNew")).distinct()
-    return left_join(mapping, rows, {"TEST_NAME": "testNameAbbreviation"}, vocabulary=True)
+    return left_join(mapping, rows, {"TEST_NAME": "testNameAbbreviation"})
 
 
 def ignore_conflicts(mapping: DataFrame, ignored: DataFrame) -> DataFrame:
@@ -107,5 +107,5 @@ def inherit_concepts(mapping: DataFrame) -> DataFrame:
 
 
 def row_ids(summary: DataFrame, order: list[Column]) -> DataFrame:
-    """A number for each row of the summary, a table of vocabulary size, in a stated order."""
-    return summary.withColumn("rowId", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order)))
+    """A number for each row of the summary in a stated order."""
+    return numbered(summary, order, "rowId")

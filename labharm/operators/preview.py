@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from labharm.operators.order import numbered
+
 
 def cap(df: DataFrame, n: int = 1_000_000) -> DataFrame:
     """Any n rows, to develop with."""
@@ -45,6 +46,5 @@ def look_up(df: DataFrame, most: int = 10, **values) -> DataFrame:
 
 
 def beside(left: DataFrame, right: DataFrame, left_order: list[Column], right_order: list[Column]) -> DataFrame:
-    """Columns of two small tables side by side, row by row in the given orders; the shorter one is filled with nulls. Both are numbered in one task."""
-    number = lambda df, order: df.withColumn("__n", F.row_number().over(W.partitionBy(F.lit(0)).orderBy(*order)))
-    return number(left, left_order).join(number(right, right_order), "__n", "full").drop("__n")
+    """Columns of two tables side by side, row by row in the given orders; the shorter one is filled with nulls."""
+    return numbered(left, left_order, "__n").join(numbered(right, right_order, "__n"), "__n", "full").drop("__n")

@@ -19,8 +19,10 @@ VIEW = {
     "CONVERSION_FACTOR": ("local_CONVERSION_FACTOR", "CONVERSION_FACTOR"),
     "decilesHarmonized": ("local_h", "h"),
 }
-#: Colours of the categories.
-COLOURS = {"APPROVED": "#51A351", "IGNORED": "#888888", "UNCHECKED": "#F89406", "FLAGGED": "#F8D486", "INVALID_TARGET": "#BD362F", "NOT-FOUND": "#000000"}
+#: Colours of statuses, outcomes and value sources.
+COLOURS = {"APPROVED": "#74de74", "IGNORED": "#7b7b7b", "UNCHECKED": "#cccccc", "FLAGGED": "#d75e5e", "INVALID_TARGET": "#fffecc", "NOT-FOUND": "#deb074"}
+OUTCOME_COLOURS = {"NA": "#D3D3D3", "N": "#808080", "A": "#CD853F", "AA": "#DEB887", "L": "#9370DB", "LL": "#DDA0DD", "H": "#DC143C", "HH": "#8B0000"}
+SOURCE_COLOURS = {"Missing": "#D3D3D3", "Extracted": "#808080", "Source": "#0000FF"}
 
 
 def of(name: str, local: bool) -> str:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labharm.functions import store
+from labharm.operators import checks, extract
 from labharm.sources import tables
 
 #: Raw results out of events; {k} is the number in props, as either engine reads it.
@@ -38,7 +37,7 @@ FROM (
 ) d
 """
 
-#: Vocabulary tables: columns (as DDL) and rows.
+#: What the chain maps the results' tests with: columns (as DDL) and rows.
 TABLES = {
     "unit_fix": ("TEST_NAME_ABBREVIATION string, source_unit_clean string, source_unit_clean_fix string", [("click", "form", "umol/l"), ("view", None, "mmol/l"), ("purchase", "form", None), ("signup", None, "%"), ("error", "%", "form"), ("", "x", "y"), ("click", "form2", "pH")]),
     "mapping": (
@@ -67,23 +66,6 @@ TABLES = {
             ("Substance Concentration", None, "mmol/l", "1", None), ("Mass fraction", "%", "%", "1", None), ("Mass fraction", "mmol/l", "%", "10.93*X-23.50", None), ("Mass fraction", "umol/l", "%", "0.0001", "999"), ("Number", "form", "form", "1", None), ("Number", "e9/l", "e6/l", "1000", None), ("Number", "e6/l", "e9/l", "1000", None),
         ],
     ),
-    "codes": (
-        "sourceCode string, sourceName string, sourceFrequency int, conceptId int, mappingStatus string, sourceConceptId int, sourceConceptClass string, sourceDomain string, validStart string, validEnd string, parentCode string",
-        [
-            ("click[mmol/l]", "click", 500, 101, "APPROVED", 2002400001, "Lab", "Measurement", "1970-01-01", "2099-12-31", "click"),
-            ("click[mmol/l]", "click", 500, 201, "APPROVED", 2002400001, "Lab", "Measurement", "1970-01-01", "2099-12-31", "click"),
-            ("click", "all clicks", 0, 0, "UNCHECKED", 2002400002, "Lab group", "Measurement", "1970-01-01", "2099-12-31", None),
-            ("view[mmol/l]", "", None, 102, "APPROVED", 2002400003, "Lab", "Measurement", "2020-01-01", "2019-12-31", "view"),
-            ("view[umol/l]", "view", 7, 301, "FLAGGED", 2002399999, "A class with a long name", "Meas", "1970-01-01", None, ""),
-            ("signup[%]", "signup", 9, 104, "APPROVED", None, None, None, None, None, "click"),
-            ("error", None, 3, 999, "UNCHECKED", 2002500000, "Lab", "Drug", "1970-01-01", "2099-12-31", "error"),
-            ("error[form]", "error", 3, 999, "APPROVED", 2002400009, "Lab", "Unit", "1970-01-01", "2099-12-31", "error"),
-            ("form", "form", 2, 401, "UNCHECKED", 2002400010, "Lab", "Condition", "1970-01-01", "2099-12-31", None),
-            ("form", "form", 2, 301, "UNCHECKED", 2002400010, "Lab", "Condition", "1970-01-01", "2099-12-31", None),
-        ],
-    ),
-    "concepts": ("conceptId int, domainId string, invalidReason string", [(101, "Measurement", None), (102, "Measurement", "U"), (104, "Measurement", None), (201, "Drug", None), (301, "Condition", "D"), (401, "Device", None)]),
-    "ignored": ("TEST_NAME string, REASON string", [("error", "panel"), ("error", "panel"), ("view", "a"), ("view", "b"), ("none", "x")]),
 }
 
 
@@ -111,51 +93,19 @@ def sql_tables() -> str:
     return ",\n".join(out)
 
 
-_made: dict[str, dict[str, str]] = {}
-
-
-def folder(spark: SparkSession) -> str:
-    """A new folder for files below spark.checkpoint.dir; without that, in tests, a temporary one."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        base = tempfile.mkdtemp(prefix="labharm-files-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    return f"{base.rstrip('/')}/files-{uuid.uuid4().hex}"
-
-
-def vocabulary_files(spark: SparkSession) -> dict[str, str]:
-    """The vocabulary tables as the files the readers are made for; written once a session."""
-    app = spark.sparkContext.applicationId
-    if app not in _made:
-        at = folder(spark)
-        paths = {n: f"{at}/{n}" for n in ("unit_fix", "conversion", "ignored", "mapping")} | {"folder": at}
-        text = lambda *names: [F.lit(None).cast("string").alias(n) for n in names]
-        tables.write_tsv(vocabulary(spark, "unit_fix").select("*", *text("notes", "validation_messages")), paths["unit_fix"])
-        tables.write_tsv(vocabulary(spark, "conversion").select("*", *text("validation_messages")), paths["conversion"])
-        ignored = vocabulary(spark, "ignored").select("TEST_NAME", *text("ORIGINAL_NAME", "MEASUREMENT_UNIT", "CATEGORY"), "REASON", *text("HAD_LEADING_DASH", "ENGLISH_TRANSLATION"))
-        ignored.write.option("sep", ";").option("header", True).option("nullValue", "").option("emptyValue", "").csv(paths["ignored"])
-        more = {c: f"ADD_INFO:{c}" for c in ("testNameAbbreviation", "measurementUnit", "omopQuantity", "validationMessages", "ignoreReason")}
-        tables.write_csv(vocabulary(spark, "mapping").orderBy("line").coalesce(1).drop("line").withColumnsRenamed(more), paths["mapping"])
-        tables.write_tsv(vocabulary(spark, "concepts"), f"{at}/CONCEPT.csv")
-        _made[app] = paths
-    return _made[app]
-
-
-def extract_files(spark: SparkSession, extracts: dict[str, DataFrame]) -> str:
-    """The folder with the four extracts as tab-separated files."""
-    at = folder(spark)
-    for name in ("summaryTest", "summaryValuesSource", "summaryValues", "summaryOutcomes"):
-        tables.write_tsv(extracts[name].select(*(c.split()[0] for c in tables.SCHEMAS[name].split(", "))), f"{at}/{name}.tsv")
-    return at
-
-
-def parquet_of_text(spark: SparkSession) -> str:
-    """Two columns of the unit fixes as gzipped text with NA and two malformed lines, then as Parquet."""
-    at = folder(spark)
-    rows = vocabulary(spark, "unit_fix").filter("TEST_NAME_ABBREVIATION <> ''").selectExpr("concat(TEST_NAME_ABBREVIATION, '\t', coalesce(source_unit_clean_fix, 'NA')) AS value").collect()
-    lines = ["TEST_NAME_ABBREVIATION\tsource_unit_clean_fix", *(r.value for r in rows), "one cell", "a\tb\tc"]
-    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.option("compression", "gzip").text(f"{at}/raw")
-    tables.text_to_parquet(spark, f"{at}/raw", f"{at}/parquet")
-    return f"{at}/parquet"
+def extract_files(spark: SparkSession, sf_dir: str, extracts: Callable[[], dict[str, DataFrame]]) -> str:
+    """The folder with the four extracts as tab-separated files, written once a session."""
+
+    def write() -> str:
+        at = store.folder(spark, "extracts")
+        for name, df in extracts().items():
+            columns = df.select(*(c.split()[0] for c in tables.SCHEMAS[name].split(", ")))
+            written, seen = checks.observed(checks.enough_subjects(columns))
+            tables.write_tsv(written, f"{at}/{name}.tsv")
+            again, small = checks.observed(tables.read_tsv(spark, f"{at}/{name}.tsv", tables.SCHEMAS[name]), small=F.col("n_subjects") < extract.MIN_SUBJECTS)
+            again.write.format("noop").mode("overwrite").save()
+            if small.get["small"] or small.get["rows"] != seen.get["rows"]:
+                raise ValueError(f"{name}: {seen.get['rows']} rows were written, {small.get['rows']} read again, {small.get['small']} of them of too few subjects")
+        return at
+
+    return store.once(spark, "extract-files", sf_dir, write)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labharm.operators.order import numbered
+
 #: Schemas of the four extracts and of the vocabulary tables, as DDL.
 _K5 = "OMOP_CONCEPT_ID int, TEST_NAME string, MEASUREMENT_UNIT_PREFIX string, MEASUREMENT_UNIT string, IS_EXTRACTED boolean"
 SCHEMAS = {
@@ -44,10 +46,12 @@ def read_ignore_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_mapping(spark: SparkSession, path: str) -> DataFrame:
-    """The mapping, one file: all cells as text, then the columns that are used, typed, and line, the record's number in the file (from 1)."""
+    """The mapping: all cells as text, then the columns that are used, typed, and line, the record's number (from 1) over all of the table's files in the order of their names."""
     raw = spark.read.option("header", True).option("nullValue", "").option("multiLine", True).option("escape", '"').csv(path)
     names = {"sourceCode": "sourceCode", "ADD_INFO:testNameAbbreviation": "testNameAbbreviation", "ADD_INFO:measurementUnit": "measurementUnit", "conceptName": "conceptName", "ADD_INFO:omopQuantity": "omopQuantity", "ADD_INFO:validationMessages": "validationMessages", "mappingStatus": "mappingStatus", "ADD_INFO:ignoreReason": "ignoreReason"}
-    return raw.select((F.monotonically_increasing_id().bitwiseAND(2**33 - 1) + 1).alias("line"), F.expr("try_cast(conceptId as int)").alias("conceptId"), *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    cells = [F.expr("try_cast(conceptId as int)").alias("conceptId"), *(F.col(f"`{c}`").alias(n) for c, n in names.items())]
+    placed = raw.select(F.col("_metadata.file_path").alias("__file"), F.monotonically_increasing_id().alias("__row"), *cells)  # a file that spans lines is one task's
+    return numbered(placed, [F.col("__file"), F.col("__row")], "line").drop("__file", "__row")
 
 
 def text_to_parquet(spark: SparkSession, source: str, target: str) -> None:
@@ -65,16 +69,64 @@ def vocabulary_views(spark: SparkSession, folder: str, schemas: dict[str, str])
         read_tsv(spark, f"{folder}/{name}.csv", schema).createOrReplaceTempView(name)
 
 
+def _csv(df: DataFrame):
+    """Cells as they are: the writer would strip their spaces."""
+    return df.write.option("header", True).option("nullValue", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Comma-separated, missing values as empty cells, quotes doubled. path must not be one that df reads: a changed file is written anew, then put in its place."""
-    df.write.option("header", True).option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path)
+    """Comma-separated, missing values as empty cells, quotes doubled, to a path that isn't there yet."""
+    _csv(df).option("escape", '"').csv(path)
 
 
 def write_text(spark: SparkSession, text: str, path: str) -> None:
-    """A small text (a status, a page) as a text table of one part."""
+    """A small text (a status) as a text table of one part."""
     spark.createDataFrame([(line,) for line in text.split("\n")], "value string").coalesce(1).write.text(path)
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    """Missing values are empty cells. path must not be one that df reads."""
-    df.write.option("sep", "\t").option("header", True).option("nullValue", "").option("emptyValue", "").csv(path)
+def write_tsv(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Missing values are empty cells; to a path that isn't there yet."""
+    _csv(df).option("sep", sep).csv(path)
+
+
+def _beside(path: str) -> tuple[str, str]:
+    return f"{path.rstrip('/')}.__new", f"{path.rstrip('/')}.__old"
+
+
+def _files(spark: SparkSession, path: str):
+    """The path's file system, by which Spark itself reads it, and a maker of its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends what a job that died within `replace_csv` left: a swap that had begun is completed, a table that was only being written goes."""
+    (new, old), (fs, at) = _beside(path), _files(spark, path)
+    if not fs.exists(at(path)) and fs.exists(at(old)):  # it died between the two renames: the new table was complete
+        fs.rename(at(new) if fs.exists(at(new)) else at(old), at(path))
+    for left in (new, old):
+        if fs.exists(at(left)):
+            fs.delete(at(left), True)
+
+
+def replace_csv(df: DataFrame, path: str, key: list[str] | None = None) -> None:
+    """Puts df in the place of the table at path, from which it may itself be read.
+
+    df is written beside the table and checked there (as many rows as were written, and, with key, none of its keys twice); only then do the old and the new table change
+    places. A reader finds either of them whole, but for the moment between two renames; if the job dies there or before, `recover` (which each call begins with) ends it.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    (new, old), (fs, at) = _beside(path), _files(spark, path)
+    seen = Observation()
+    write_csv(df.observe(seen, F.count(F.lit(1)).alias("n")), new)
+    there = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(new)
+    n = there.count()
+    twice = there.groupBy(*key).count().filter("count > 1").limit(1).count() if key else 0
+    if n != seen.get["n"] or twice:
+        fs.delete(at(new), True)
+        raise ValueError(f"{path} stays as it was: {seen.get['n']} rows were written and {n} read again" + (", keys are there twice" if twice else ""))
+    if fs.exists(at(path)):
+        fs.rename(at(path), at(old))
+    fs.rename(at(new), at(path))
+    fs.delete(at(old), True)

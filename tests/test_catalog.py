@@ -42,3 +42,13 @@ def test_entry(spark):
     import __spark_entry__ as e
 
     assert e.entry(spark).count() > 0 and set(catalog.QUERIES) <= set(e.queries())
+
+
+def test_without_the_training_data_operators(monkeypatch):
+    import sys
+
+    import __spark_entry__ as e
+
+    monkeypatch.setitem(sys.modules, "labharm.llm", None)  # importing it, or anything in it, fails
+    monkeypatch.delitem(sys.modules, "labharm.llm.catalog", raising=False)
+    assert e.queries().keys() == catalog.QUERIES.keys() == e.oracle_sql().keys()
