@@ -20,17 +20,18 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP1_SQL = r"""
-WITH lines AS (
-  SELECT doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line
-  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(generate_series(1, len(parts))) AS i, unnest(parts) AS line FROM docs
 ), keyed AS (
-  SELECT doc_id, i, line, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines
 ), hot AS (
-  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT doc_id) >= 10
+  SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10
 )
 SELECT doc_id, count(*) AS n_lines, count(h.k) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE h.k IS NULL), '')) AS kept_sha256
-FROM keyed LEFT JOIN hot h USING (k) GROUP BY doc_id
+FROM keyed LEFT JOIN hot h USING (k) GROUP BY r, doc_id
 """
 
 

@@ -3,6 +3,7 @@
 State, in a folder that driver and executors share, one subfolder a version:
     refs      digest, refs: for every line key the number of documents that hold it (exact, 128-bit digests)
     filters   shard, slots: a cuckoo filter a shard of the keys that stand in at least min_docs documents
+    state     version, shards, min_docs, min_chars; written last, so a version that a lost job left unfinished counts for nothing
 
 `insert` and `delete` add documents to the counts or take them out, and move the keys that cross the threshold into or
 out of the filters. Because the counts are exact and cuckoo filters can delete, deleting what was inserted leads back
@@ -13,7 +14,10 @@ Filters are broadcast while they have at most BROADCAST_BYTES in all; beyond tha
 
 A line's key is the line without white space at both ends, A-Z lower-cased. Null and empty texts are one empty line.
 Keys shorter than min_chars code points are never counted nor dropped. Each row is a document of its own, repeated
-rows and null doc_ids included. Columns other than text stay as they are.
+rows and null doc_ids included. Columns other than text stay as they are; those named as what `apply` adds (ADDED) are refused.
+
+A folder that holds a state is opened at its last version and must have been made with the same parameters. Deleting documents that hold a line more often than
+it was inserted is refused, and leaves the state as it is. (Documents that were never inserted, but whose lines were by others, can't be told apart.)
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,8 @@ from labharm.llm.common import LOWER, SPACE, UPPER, mix, shared_dir
 BROADCAST_BYTES = 64 << 20
 #: Keys that a shard holds at about this number of shards; slots of a bucket; the fullest that a filter is planned.
 SHARD_KEYS, SLOTS, LOAD = 500_000, 4, 0.7
+#: Columns of `apply`, its own ones included.
+ADDED = ("n_lines", "n_dropped", "kept", "__mask", "__row", "__at")
 #: Keys wrongly held by the filters, at most, for the broadcast way.
 WRONG_KEYS = 100_000
 
@@ -148,6 +155,20 @@ class LineDedup:
         self.spark, self.min_docs, self.min_chars = spark, min_docs, min_chars
         self.folder = folder or shared_dir(spark, "line-dedup")
         self.version, self.shards = 0, 0
+        if folder:
+            self._open()
+
+    def _open(self) -> None:
+        try:
+            last = self.spark.read.parquet(f"{self.folder}/state").orderBy(F.desc("version")).first()
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return
+        if last:
+            if (last.min_docs, last.min_chars) != (self.min_docs, self.min_chars):
+                raise ValueError(f"{self.folder} was made with min_docs={last.min_docs}, min_chars={last.min_chars}")
+            self.version, self.shards = last.version, last.shards
 
     def _path(self, name: str, version: int | None = None) -> str:
         return f"{self.folder}/{name}-{self.version if version is None else version}"
@@ -169,23 +190,30 @@ class LineDedup:
 
     def delete(self, docs: DataFrame) -> LineDedup:
         """Takes out documents that were inserted before."""
-        return self._move(self._counts(docs).withColumn("refs", -F.col("refs")))
+        return self._move(self._counts(docs).withColumn("refs", -F.col("refs")), less=True)
 
-    def _move(self, change: DataFrame) -> LineDedup:
-        first = self.version == 0
+    def _move(self, change: DataFrame, less: bool = False) -> LineDedup:
+        first, old, new = self.version == 0, self.version, self.version + 1
         if not first:
-            old = self.refs
-            change = old.withColumn("was", F.col("refs")).union(change.withColumn("was", F.lit(0).cast("long"))).groupBy("digest").agg(F.sum("refs").alias("refs"), F.sum("was").alias("was")).filter("refs > 0 or was > 0")
+            before = self.refs
+            change = before.withColumn("was", F.col("refs")).union(change.withColumn("was", F.lit(0).cast("long"))).groupBy("digest").agg(F.sum("refs").alias("refs"), F.sum("was").alias("was")).filter("refs <> 0 or was > 0")
         else:
             change = change.withColumn("was", F.lit(0).cast("long"))
-        path = self._path("moved", self.version + 1)
-        change.write.parquet(path)
+        path = self._path("moved", new)
+        change.write.mode("overwrite").parquet(path)  # what a lost job left of this version goes
         moved = self.spark.read.schema("digest binary, refs long, was long").parquet(path)
-        moved.filter("refs > 0").select("digest", "refs").write.parquet(self._path("refs", self.version + 1))
+        if less and moved.filter("refs < 0").limit(1).count():
+            raise ValueError("documents are to be deleted that hold lines which were never inserted so often")
+        moved.filter("refs > 0").select("digest", "refs").write.mode("overwrite").parquet(self._path("refs", new))
         previous = None if first else self.filters
-        self.version += 1
-        if first or not self._update(moved, previous):
-            self._rebuild()
+        self.version = new
+        try:
+            if first or not self._update(moved, previous):
+                self._rebuild()
+            self.spark.createDataFrame([(new, self.shards, self.min_docs, self.min_chars)], "version int, shards int, min_docs int, min_chars int").coalesce(1).write.mode("append").parquet(f"{self.folder}/state")
+        except BaseException:
+            self.version = old
+            raise
         return self
 
     def _rebuild(self) -> None:
@@ -225,11 +253,14 @@ class LineDedup:
             whole = bool(room and filter_.insert(up))
             return pd.DataFrame({"shard": [shard], "slots": [filter_.slots.tobytes() if whole else None]})
 
-        previous.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(move, "shard int, slots binary").write.parquet(self._path("filters"))
+        previous.groupBy("shard").cogroup(crossed.groupBy("shard")).applyInPandas(move, "shard int, slots binary").write.mode("overwrite").parquet(self._path("filters"))
         return self.filters.filter("slots is null").limit(1).count() == 0
 
     def apply(self, docs: DataFrame) -> DataFrame:
         """docs with n_lines, n_dropped and kept; the documents must be among those inserted."""
+        taken = set(ADDED) & set(docs.columns)
+        if taken:
+            raise ValueError(f"columns that are added are there already: {sorted(taken)}")
         size = self.filters.agg(F.sum(F.length("slots"))).first()[0] or 0
         held = self._held() if size <= BROADCAST_BYTES else None
         return self._by_filters(docs, *held) if held is not None else self._by_join(docs)

@@ -254,11 +254,20 @@ MANIFEST = pa.schema([("shard", pa.int32()), ("n_docs", pa.int64()), ("n_tokens"
 def write(docs: DataFrame, uri: str, tokenizer_path: str, end_id: int, by_word: bool = False) -> list:
     """Encodes docs (doc_id long, text) into shards at uri, a folder that driver and executors share; returns the manifest, a row a shard."""
     width = 2 if max(tokenizer(tokenizer_path).get_vocab_size(), end_id) < 65_536 else 4
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    rows = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h", "text").drop("h")  # an id with very many texts is spread over shards
     made = rows.mapInArrow(lambda it: write_shard(it, uri, tokenizer_path, end_id, width, by_word), "shard int, n_docs long, n_tokens long, bytes long, first binary, last binary")
     return sorted(made.collect(), key=lambda r: r.shard)
 
 
+#: Documents that are read before they are handed on.
+ROWS = 10_000
+
+
+def _places(rows: list[tuple[int | None, int, int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+
 def read_shard(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.RecordBatch]:
     """shard, start -> doc_id, start, n_tokens, ids_crc32 of its documents."""
     store, folder = place(uri)
@@ -269,7 +278,11 @@ def read_shard(batches: Iterator[pa.RecordBatch], uri: str) -> Iterator[pa.Recor
                 for key, ids in Reader(file).scan():
                     rows.append((id_of(key), start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
                     start += len(ids)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+                    if len(rows) == ROWS:
+                        yield _places(rows)
+                        rows = []
+                if rows:
+                    yield _places(rows)
 
 
 def read(spark: SparkSession, uri: str, manifest: list) -> DataFrame:

@@ -161,10 +161,11 @@ def measure(batches: Iterator[pa.RecordBatch], model) -> Iterator[pa.RecordBatch
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """Learns from docs (doc_id, text) and labels (doc_id, toxic)."""
+    """Learns from docs (doc_id, text) and labels (doc_id, toxic): SAMPLE labels at most, and of each one's documents, if several have its doc_id, the one whose text has the least hash."""
     spark = docs.sparkSession
     chosen = labels.filter("toxic in (0, 1) and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("toxic")).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id", "toxic").limit(SAMPLE)
-    known = cut(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
+    one = docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id").distinct()), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("t"), "text")).alias("least"))
+    known = cut(one.select("doc_id", "least.text").join(F.broadcast(chosen), "doc_id"), "toxicity-sample")
     part = F.pmod(F.xxhash64(F.col("h")), F.lit(4))
     tally = known.filter(part > 0).select("text", "toxic").mapInArrow(count, "unit string, n0 long, n1 long").groupBy("unit").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     total = tally.filter("unit = ''").first()

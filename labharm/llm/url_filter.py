@@ -1,9 +1,9 @@
 """URL filter: allow and block rules by host and path prefix, looked up in a sorted array of digests.
 
 The rules become one file in the shared folder: the sorted 64-bit xxhash keys of their strings (host + path prefix), and, in that order,
-the strings themselves and the verdicts. Spark hands the file to every executor, which maps it into memory. For a url, the keys of all its host's
-suffixes at label boundaries, each with its path's prefixes of the lengths that rules have, are probed by binary search, a
-whole batch at once; a stored string has to equal the candidate, so a collision of keys decides nothing. The longest rule that fits wins; for
+the strings themselves and the verdicts. Spark hands the file to every executor, which maps it into memory. For a url, the keys of its host's
+suffixes of as many labels as rules have, each with its path's prefixes of the lengths that rules have, are probed by binary search, a
+whole batch at once, so long hosts and paths cost no more than short ones; a stored string has to equal the candidate, so a collision of keys decides nothing. The longest rule that fits wins; for
 equal strings block wins. A url that no rule fits is allowed.
 
 Host and path of null urls and of urls without :// are empty, which no rule fits. Rules with a null part are ignored.
@@ -40,7 +40,8 @@ def build(rules: list[tuple[str, str, str]]) -> bytes:
     texts = [t.encode() for t in order]
     keys = np.array([xxhash.xxh64_intdigest(t) for t in order], np.uint64)
     ends = np.cumsum([len(t) for t in texts], dtype=np.uint64) if texts else np.zeros(0, np.uint64)
-    head = json.dumps({"rules": len(order), "path_lengths": lengths}).encode()
+    labels = sorted({h.count(".") + 1 for v, h, p in rules if None not in (v, h, p)})
+    head = json.dumps({"rules": len(order), "path_lengths": lengths, "host_labels": labels}).encode()
     head += b" " * (-(len(head) + 1) % 8) + b"\n"
     return head + keys.tobytes() + ends.tobytes() + bytes(table[t] == "block" for t in order) + b"".join(texts)
 
@@ -51,7 +52,7 @@ class Rules:
         start = int(np.argmax(data == ord("\n"))) + 1
         head = json.loads(bytes(data[:start]))
         n = head["rules"]
-        self.lengths = head["path_lengths"]
+        self.lengths, self.labels = head["path_lengths"], head["host_labels"]
         self.keys = data[start : start + 8 * n].view(np.uint64)
         self.ends = data[start + 8 * n : start + 16 * n].view(np.uint64)
         self.block = data[start + 16 * n : start + 17 * n]
@@ -75,10 +76,10 @@ class Rules:
         return found
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[bytes]:
-    """Host suffixes with path prefixes, the longest string first."""
-    labels = host.split(".")
-    out = [(".".join(labels[i:]) + path[:n]).encode() for i in range(len(labels)) for n in lengths if n <= len(path)] if host else []
+def candidates(host: str, path: str, lengths: list[int], labels: list[int]) -> list[bytes]:
+    """Host suffixes of as many labels, with path prefixes of as many letters, as rules have, the longest string first."""
+    suffixes = [".".join(host.rsplit(".", n)[-n:]) for n in labels if n <= host.count(".") + 1] if host else []
+    out = [(suffix + path[:n]).encode() for suffix in suffixes for n in lengths if n <= len(path)]
     return sorted(out, key=len, reverse=True)
 
 
@@ -93,7 +94,7 @@ def judge(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBat
         longest = max(rules.lengths, default=0)
         short = [(h, p[:longest]) for h, p in pairs]
         distinct = list(dict.fromkeys(short))
-        sets = [candidates(h, p, rules.lengths) for h, p in distinct]
+        sets = [candidates(h, p, rules.lengths, rules.labels) for h, p in distinct]
         hits = iter(rules.find([c for s in sets for c in s]))
         for pair, s in zip(distinct, sets):
             got = [next(hits) for _ in s]

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import xxhash
 from tokenizers import Tokenizer
 
 from labharm.llm import token_tables as T
@@ -15,6 +16,12 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [None, "", "  ", "Hello  world's\t\x0bend", "ÀÉ Σίσυφος ς <|endoftext|>x", "a b \x01 c\x01", "é ́x", "can't 1234 日本語 ☃☃", "word " * 30_000]
 
 
+def order_of(text):
+    """As Spark hashes it, signed."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def ids(text, name=PATH):
     return [*Tokenizer.from_file(name).encode(text or "", add_special_tokens=False).ids, 2]
 
@@ -29,12 +36,12 @@ def test_round_trip(spark, by_word, name):
     manifest = T.write(docs, uri, path, 2, by_word)
     got = sorted((tuple(r) for r in T.read(spark, uri, manifest).collect()), key=lambda r: r[1])
     want, start = [], 0
-    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    for d, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, order_of(r[1]))):
         x = ids(t, path)
         want.append((d, start, len(x), zlib.crc32(np.array(x, "<u4").tobytes())))
         start += len(x)
     assert got == want
-    assert [x.tolist() for x in T.lookup(uri, manifest, 3)] == [ids(t, path) for t in sorted(t for d, t in rows if d == 3)]
+    assert [x.tolist() for x in T.lookup(uri, manifest, 3)] == [ids(t, path) for t in sorted((t for d, t in rows if d == 3), key=order_of)]
     assert [x.tolist() for x in T.lookup(uri, manifest, None)] == [ids("no id", path)]
     assert T.lookup(uri, manifest, 10**12) == [] == T.lookup(uri, manifest, 4)
 
@@ -65,3 +72,22 @@ def test_by_word_equals_whole_on_documents(spark):
     texts = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").toPandas().text
     whole = [x.tolist() for x in T.encode(pa.array(texts), PATH, 2, False)]
     assert whole == [x.tolist() for x in T.encode(pa.array(texts), PATH, 2, True)]
+
+
+def test_one_id_in_many_shards(spark):
+    """A third of the rows have one id: its texts lie in several shards, and all are found."""
+    rows = [(5 if i % 3 == 0 else i, f"text {i} of many " * (i % 4)) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    uri = shared_dir(spark, "sst")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        manifest = T.write(docs, uri, PATH, 2, True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(manifest) > 5 and sum(r.n_docs for r in manifest) == 900 and max(r.n_docs for r in manifest) < 300
+    assert sorted(x.tolist() for x in T.lookup(uri, manifest, 5)) == sorted(ids(t) for d, t in rows if d == 5)
+    assert [x.tolist() for x in T.lookup(uri, manifest, 7)] == [ids(rows[7][1])]
+    got = T.read(spark, uri, manifest).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(d for d, _ in rows) and [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(900)]

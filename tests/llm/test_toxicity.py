@@ -54,3 +54,24 @@ def test_edges(spark):
     assert all((got[1000 + i].score >= 0.5) == (i % 2 == 1) for i in range(400))
     assert got[1].score < 0.5 and got[2].score < 0.5 and got[3].score < 0.5
     assert got[1001].passages[0].begin == 0 and got[1001].passages[0].end == 2
+
+
+def test_one_document_a_label(spark, monkeypatch):
+    """An id that stands in very many rows adds one document to the sample, and changes nothing."""
+    monkeypatch.setattr(T, "SAMPLE", 300)
+    docs = spark.createDataFrame([(i, ("bad evil thing " if i % 2 else "good nice thing ") + f"other{i} " * 5) for i in range(400)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) toxic")
+    chosen = labels.selectExpr("doc_id", "xxhash64(doc_id) h").orderBy("h").limit(1).first().doc_id
+    hot = docs.unionByName(docs.filter(f"doc_id = {chosen}").crossJoin(spark.range(5000)).select("doc_id", "text"))
+    seen, cut = [], T.cut
+
+    def counted(df, name):
+        out = cut(df, name)
+        seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(T, "cut", counted)
+    plain, repeated = T.fit(docs, labels), T.fit(hot, labels)
+    assert seen == [300, 300] and plain.__dict__.keys() == repeated.__dict__.keys()
+    some = docs.limit(50)
+    assert sorted(map(str, T.score(some, plain).collect())) == sorted(map(str, T.score(some, repeated).collect()))

@@ -20,7 +20,7 @@ def brute(url, rules):
 
 def test_brute_force(spark):
     rnd = random.Random(2)
-    urls = [None, "", "no scheme", "://", "http://", "http://com", "HTTP://A.Example.COM/en/7?x=/en/", "http://example.com/en/71#a", "http://xcom/en/", "http://.com/en/", "a://b://com/en/", "http://com?q/en/", "http://é.NET/de/8ü", "http://com/en/" + "x" * 200_000]
+    urls = [None, "", "no scheme", "://", "http://", "http://com", "HTTP://A.Example.COM/en/7?x=/en/", "http://example.com/en/71#a", "http://xcom/en/", "http://.com/en/", "a://b://com/en/", "http://com?q/en/", "http://é.NET/de/8ü", "http://com/en/" + "x" * 200_000, "http://" + "a." * 500_000 + "com/en/1", "http://" + "." * 100_000 + "com/en/", "http://" + "b" * 300_000 + ".net/de/8", "http://a.com./en/"]
     for _ in range(400):
         urls.append(f"{rnd.choice(['http', 'x'])}://{rnd.choice(['', 'a.', 'A.b.', 'not'])}{rnd.choice(['example.', ''])}{rnd.choice(['com', 'net', 'org'])}{rnd.choice(['/en/', '/en/7', '/de/8', '/de/', '/es/', '/en', '', '/EN/'])}{rnd.choice(['', '?a#b', '#/en/', 'x/y'])}")
     urls += urls[:40]
