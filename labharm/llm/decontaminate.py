@@ -14,7 +14,7 @@ document that has one of its rarest shingles, as many of them as leave too few o
 Words are what white space leaves, lower-cased, less the punctuation around them. SimHash leaves out words that stand in more than COMMON of the items.
 
 Null and empty texts and items match nothing; items with fewer words than a shingle are one shingle. Repeated rows each give their own
-result. Items are taken in blocks of block_items, the only data that go to the driver and to every task.
+result. Items are taken in blocks of about block_words words, whose indexes (some 900 bytes a word) are the only data that go to the driver and to every task.
 """
 
 from __future__ import annotations
@@ -32,6 +32,8 @@ from pyspark.sql import functions as F
 from labharm.llm.common import mix, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
+#: Words of the items of one index, which takes about 130 MB.
+BLOCK_WORDS = 150_000
 #: A window's words as a share of its items', and at most, so that counts of words fit a byte.
 SHARE, WIDEST = 0.7, 255
 #: Words whose hashes a Python worker keeps.
@@ -293,21 +295,22 @@ def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.
                 )
 
 
-def indexes(docs: DataFrame, benchmark: DataFrame, shingle: int, least: float, block_items: int) -> Iterator:
-    """Broadcast indexes of blocks of items."""
+def indexes(docs: DataFrame, benchmark: DataFrame, shingle: int, least: float, block_words: int) -> Iterator:
+    """Broadcast indexes of blocks of items, of about block_words words each (one item at least)."""
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text is not null")
-    blocks = max(1, -(-items.count() // block_items))
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")))).first()[0] or 0
+    blocks = max(1, -(-total // block_words))
     for b in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         yield spark.sparkContext.broadcast(Index([tuple(r) for r in part.collect()], shingle, least))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
+def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, item_id, similarity, start_word, end_word: an item found in a document, once, at its best place."""
     docs = docs.select("doc_id", "text")
     out = None
-    for index in indexes(docs, benchmark, shingle, least, block_items):
+    for index in indexes(docs, benchmark, shingle, least, block_words):
         found = docs.mapInArrow(lambda it, index=index: scan(it, index, least), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, start_word int, end_word int")
         out = found if out is None else out.union(found)
     return out
@@ -321,9 +324,9 @@ def clean(batches: Iterator[pa.RecordBatch], at: int, index, least: float) -> It
         yield batch.filter(pa.array(keep))
 
 
-def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_items: int = 20_000) -> DataFrame:
+def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of docs in which no item is found, whatever their doc_id."""
     at, schema = docs.columns.index("text"), docs.schema
-    for index in indexes(docs, benchmark, shingle, least, block_items):
+    for index in indexes(docs, benchmark, shingle, least, block_words):
         docs = docs.mapInArrow(lambda it, index=index: clean(it, at, index, least), schema)
     return docs

@@ -5,10 +5,11 @@ positive and tags negative; words in places such as menus are slightly negative.
 
 Weights come from labelled pages: pages that mark their content themselves with exactly one article or main element, SAMPLE of them
 at most (smallest hash of their html). A place is the nearest landmark and block element; its weight is the log-odds of words there to be
-content. The names that a word stands below, landmarks such as nav and the words of class, id and role attributes, have weights of their own: the
-log-odds, over pages, that content stands below that name. A word below a name that speaks against content enough is away from it, whatever else
+content. The names that a word stands below, landmarks such as nav and whole classes, roles and ids, have weights of their own: the
+log-odds, over pages, that content stands below that name. Ids of headings, paragraphs and the like are anchors and no names. A word below a name that speaks against content enough is away from it, whatever else
 it has. Names that are known to mark what isn't content (AWAY, HINTS) start with PRIOR pages that say so, which labelled pages outweigh; all others start
-with none. A place or name seen too rarely falls back to its block element, then to a default. Pages without such elements, or tables without
+with none. Names below which all of a page stands that could be content are wrappers (a form around the page) and count for nothing there.
+Words away cost next to nothing, so that a box within the article, however long, doesn't part it from what follows. A place or name seen too rarely falls back to its block element, then to a default. Pages without such elements, or tables without
 labelled pages, thus work with fallbacks.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by line feeds; br is white space.
@@ -46,13 +47,17 @@ LANDMARKS = frozenset("nav header footer aside form menu head title dialog field
 AWAY = frozenset("nav header footer aside form menu head title dialog fieldset".split())
 #: Words in class, id or role attributes that name what isn't content.
 HINTS = frozenset("ad ads advert advertisement adverts alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disclaimer discussion disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter notice pager pagination paywall popup promo promoted recommended related replies share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget".split())
+#: Elements whose id is an anchor into the text rather than the name of a part of the page.
+ANCHORS = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd td th blockquote figure figcaption pre caption".split())
+#: Names of elements that never wrap a page's content.
+NEVER_AROUND = AWAY - {"form", "fieldset"} | {"(hidden)"}
 #: Those that tell even of an article element that it isn't the article.
 NOT_ARTICLE = frozenset("ad ads advert advertisement adverts comment comments promo promoted recommended related sponsored".split())
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 REST = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
-ATTRIBUTE = re.compile(r"(?:class|id|role|data-role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
-HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/>]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+NOT_SHOWN = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, str]]:
@@ -102,14 +107,23 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
         at = end
 
 
+def attributes_of(text: str) -> dict[str, str]:
+    """An element's attributes, names in lower case; of repeated ones the first counts."""
+    out: dict[str, str] = {}
+    for name, value in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), value[1:-1] if value[:1] in ("'", '"') else value)
+    return out
+
+
 def names(tag: str, attributes: str) -> list[str]:
-    """What an element is called: its name if it is a landmark, and the words of its class, id and role, each with a dot before it; "(hidden)" if it is."""
+    """What an element is called: its name if it is a landmark, and each whole class, role and id (if that isn't an anchor), with a dot before it; "(hidden)" if it is."""
     found = [tag] if tag in LANDMARKS else []
     if attributes:
+        a = attributes_of(attributes)
         if tag not in ("html", "body"):
-            words = dict.fromkeys(f".{w}" for a in ATTRIBUTE.findall(attributes) for w in re.findall(r"[a-z]+", a.lower()))
-            found += (w for w in words if tag not in ("article", "main") or w[1:] in NOT_ARTICLE)
-        if HIDDEN.search(attributes):
+            words = f"{a.get('class', '')} {a.get('role', '')}".lower().split() + ([a["id"].strip().lower()] if a.get("id", "").strip() and tag not in ANCHORS else [])
+            found += (f".{w}" for w in dict.fromkeys(words) if tag not in ("article", "main") or w in NOT_ARTICLE)
+        if "hidden" in a and a["hidden"].lower() != "until-found" or NOT_SHOWN.search(a.get("style", "")) or a.get("aria-hidden", "").lower() == "true":
             found.append("(hidden)")
     return found
 
@@ -198,6 +212,17 @@ class Weights:
             self.far[above] = any(self.names.get(n, -4.0 if suspect(n) else 0.0) < FAR for n in above)
         return self.far[above]
 
+    def around(self, found: list[tuple]) -> frozenset[str]:
+        """Names that speak against content, but stand above all of a page that could be content, and above most of it: they are wrappers, and say nothing."""
+        words: Counter = Counter()
+        for kind, value, place, _, _ in found:
+            if kind == "text" and "head" not in place[2]:
+                words[frozenset(n for n in place[2] if self.names.get(n, -4.0 if suspect(n) else 0.0) < FAR)] += len(value.split())
+        if not words or words[frozenset()]:
+            return frozenset()
+        most, n = max(words.items(), key=lambda kv: (kv[1], sorted(kv[0])))
+        return most if 2 * n >= words.total() and not most & NEVER_AROUND else frozenset()
+
     def word(self, place: tuple[str, str, tuple]) -> float:
         if self.away(place[2]):
             return AWAY_WORD
@@ -227,6 +252,9 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 def extract(page: str | None, weights: Weights) -> str:
     found = parse(page or "")
+    wrappers = weights.around(found)
+    if wrappers:
+        found = [(kind, value, ("-" if place[0] in wrappers else place[0], place[1], tuple(n for n in place[2] if n not in wrappers)), block, inside) for kind, value, place, block, inside in found]
     a, z = best_run([len(t[1].split()) * weights.word(t[2]) if t[0] == "text" else weights.tag(t[1], t[2][2]) for t in found])
     blocks: dict[int, list[str]] = {}
     for kind, value, place, block, _ in found[a:z]:
@@ -276,7 +304,7 @@ def fit(pages: DataFrame) -> Weights:
     key = lambda r: r.name if r.landmark == "" else "<" + r.name if r.landmark == "<" else (r.landmark, r.name)
 
     def counts(counting, least: int) -> tuple[dict, dict]:
-        rows = chosen.mapInArrow(counting, "landmark string, name string, inside long, outside long").groupBy("landmark", "name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).filter(f"length(name) <= 40 and i + o >= {least}").collect()
+        rows = chosen.mapInArrow(counting, "landmark string, name string, inside long, outside long").groupBy("landmark", "name").agg(F.sum("inside").alias("i"), F.sum("outside").alias("o")).filter(f"i + o >= {least}").collect()
         return {key(r): r.i for r in rows}, {key(r): r.o for r in rows}
 
     inside, outside = counts(count_names, LEAST_PAGES)

@@ -65,7 +65,7 @@ def test_brute_force(spark, case):
 def test_blocks_of_items_and_empty_tables(spark, case):
     docs, items = case
     d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    assert {tuple(r)[:2] for r in D.find(d, b, block_items=7).collect()} == {tuple(r)[:2] for r in D.find(d, b).collect()}
+    assert {tuple(r)[:2] for r in D.find(d, b, block_words=300).collect()} == {tuple(r)[:2] for r in D.find(d, b).collect()}
     assert D.find(d.limit(0), b).collect() == [] == D.find(d, b.limit(0)).collect()
 
 

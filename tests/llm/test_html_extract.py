@@ -134,3 +134,48 @@ def test_short_blocks_after_an_aside():
     """What stands after a long box that isn't content is kept, however short."""
     box = "<aside><p>" + "not this " * 100 + "</p></aside>"
     assert H.extract(f"<body><article><p>one two three four</p>{box}<p>five six</p></article></body>", BLANK) == "one two three four\nfive six"
+
+
+@pytest.mark.parametrize("weights", ["blank", "trained"])
+@pytest.mark.parametrize(
+    "inner",
+    [
+        '<p title="a hidden gem">four five six</p>',
+        '<div data-grid="share footer"><p>four five six</p></div>',
+        '<h2 id="social-history">four five six</h2>',
+        '<h2 id="comments">four five six</h2>',
+        '<blockquote class="share-price">four five six</blockquote>',
+        '<p data-note="x display:none y" data-hidden=1>four five six</p>',
+        '<p class="a-hidden" title=hidden>four five six</p>',
+        '<p hidden="until-found">four five six</p>',
+    ],
+)
+def test_names_are_whole(inner, weights, request):
+    w = request.getfixturevalue("given_weights") if weights == "trained" else BLANK
+    assert H.extract(f"<body><nav><a>Home</a></nav><article><p>one two three</p>{inner}<p>seven</p></article></body>", w) == "one two three\nfour five six\nseven"
+
+
+@pytest.fixture(scope="module")
+def given_weights(spark):
+    return H.fit(spark.read.parquet("/root/testdata/sf0.1/pages.parquet"))
+
+
+@pytest.mark.parametrize("wrapper", ['<div class="has-sidebar">{}</div>', '<div class="header-less layout">{}</div>', "<form>{}</form>", "<form action=/x><div class='header'><fieldset>{}</fieldset></div></form>", "<div class=modal id=page>{}</div>"])
+@pytest.mark.parametrize("weights", ["blank", "trained"])
+def test_wrappers_say_nothing(wrapper, weights, request):
+    w = request.getfixturevalue("given_weights") if weights == "trained" else BLANK
+    body = "<nav><a>Home</a><a>News</a></nav><div><h1>Head</h1><p>Words of a page that marks no article.</p><aside>beside it</aside><p>And more of them.</p></div><footer>All rights reserved</footer>"
+    assert H.extract(f"<html><head><title>T</title></head><body>{wrapper.format(body)}</body></html>", w) == "Head\nWords of a page that marks no article.\nAnd more of them."
+
+
+def test_no_content_stays_none():
+    assert H.extract("<body><nav><a>Home</a></nav><footer>many words in a footer and nothing else at all</footer></body>", BLANK) == ""
+    assert H.extract("<body><div style='color:red; display:none'>secret words</div><div aria-hidden=true>secret</div><p hidden>secret</p></body>", BLANK) == ""
+
+
+def test_pages_without_article_elements(spark, given_weights):
+    """The given pages with their article elements turned into plain ones: what is extracted is still what stood in the article."""
+    rows = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").limit(400).collect()
+    plain = lambda h: h.replace("<article", "<section").replace("</article", "</section")
+    same = sum(H.extract(plain(r.html or ""), given_weights) == article(r.html or "") for r in rows)
+    assert same >= 0.98 * len(rows)
