@@ -43,7 +43,7 @@ def quantiles(counts: DataFrame, keys: list[str], at: list[float], value: str =
     """
     rows = counts.select(*keys, F.col(value).cast("double").alias("value"), F.col(n).cast("long").alias("n")).filter("value is not null")
     table = ranged(rows, [*keys, "value"], "quantiles")
-    parts = cut(before(table, keys, ["n"]), "quantile-parts")
+    parts = before(table, keys, ["n"])
     place = [F.lit(q) * (F.col("total_n") - 1) for q in at]
     ranks = F.array(*(F.struct(F.lit(i).alias("i"), p.alias("place"), side(p).cast("long").alias("rank")) for i, p in enumerate(place) for side in (F.floor, F.ceil)))
     wanted = parts.select("__part", *keys, F.col("before_n"), F.col("here_n"), F.inline(F.array_distinct(ranks))).filter("rank >= before_n and rank < before_n + here_n").drop("here_n")

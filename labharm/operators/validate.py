@@ -109,10 +109,11 @@ def _facts(df: DataFrame, facts: list[Column]) -> DataFrame:
 
 def _mapping_facts(mapping: DataFrame, concepts: DataFrame, first_id: int, ids: int) -> DataFrame:
     known = concepts.select(F.col("conceptId").cast("string").alias("conceptId"), "domainId", "invalidReason", F.lit(True).alias("__known"))
-    df = mapping.withColumn("__target", F.nullif(F.col("conceptId").cast("string"), F.lit("0")))
-    df = df.join(known.withColumnRenamed("conceptId", "__target"), "__target", "left")
+    target = F.nullif(F.col("conceptId").cast("string"), F.lit("0"))
+    spread = F.concat(F.lit("none "), F.xxhash64(*mapping.columns).cast("string"))  # rows without a concept, which may be most, don't share a key
+    df = mapping.withColumn("__target", F.coalesce(target, spread)).join(known.withColumnRenamed("conceptId", "__target"), "__target", "left")
     approved = F.coalesce(F.col("mappingStatus") == "APPROVED", F.lit(False))
-    mapped = F.col("__target").isNotNull()
+    mapped = target.isNotNull()
     outdated = mapped & (F.col("__known").isNull() | F.col("invalidReason").isNotNull())
     number, date = F.col("sourceConceptId").try_cast("long"), lambda c: F.col(c).try_cast("date")
     rows = {
