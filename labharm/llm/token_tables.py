@@ -39,13 +39,13 @@ from labharm.llm.common import steps, words
 MAGIC = b"LHSST1\0\0"
 FOOTER = struct.Struct("<QQQQQQI4x8s")
 BLOCK_BYTES, BITS, PROBES = 1 << 18, 10, 7
-#: Words that a Python worker keeps with their ids.
-CACHE_WORDS = 400_000
+#: Words that a Python worker keeps with their ids, at some 40 bytes a word.
+CACHE_WORDS = 2_000_000
 #: Bytes of text encoded at once: the more, the fewer words to look up.
 ENCODE_BYTES = 8_000_000
 
 _tokenizers: dict[str, object] = {}
-_cache: dict[tuple[str, int], dict[str, bytes]] = {}
+_cache: dict[tuple[str, int], Known] = {}
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -184,6 +184,48 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
+class Known:
+    """Ids of words by the words' 128-bit digests, in sorted runs each of which is at least twice as long as the next."""
+
+    def __init__(self, kind: str):
+        self.ids, self.used, self.words = np.zeros(1 << 16, kind), 0, 0
+        self.runs: list[tuple[np.ndarray, ...]] = []
+
+    def find(self, digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word begin (-1: not known) and how many they are."""
+        at, size = np.full(len(digests), -1, np.int64), np.zeros(len(digests), np.int64)
+        todo = np.arange(len(digests))
+        for first, second, start, n in self.runs:
+            place = np.minimum(np.searchsorted(first, digests[todo, 0]), len(first) - 1)
+            same = (first[place] == digests[todo, 0]) & (second[place] == digests[todo, 1])
+            at[todo[same]], size[todo[same]] = start[place[same]], n[place[same]]
+            todo = todo[~same]
+        return at, size
+
+    def add(self, digests: np.ndarray, fresh: np.ndarray, sizes: np.ndarray) -> None:
+        """fresh: the ids of all these words, one after another."""
+        start = self.used + np.concatenate([[0], np.cumsum(sizes[:-1])])
+        while self.used + len(fresh) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(fresh)] = fresh
+        self.used, self.words = self.used + len(fresh), self.words + len(sizes)
+        run = (digests[:, 0], digests[:, 1], start, sizes.astype(np.int32))
+        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
+            run = tuple(np.concatenate(x) for x in zip(self.runs.pop(), run))
+        order = np.argsort(run[0], kind="stable")
+        self.runs.append(tuple(x[order] for x in run))
+
+
+def _encoded(missing: list[str], t, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of single words, one after another, and how many each has; some thousands at a time."""
+    flat, sizes = [], []
+    for i in range(0, len(missing), 4000):
+        ids = [x.ids for x in t.encode_batch_fast(missing[i : i + 4000], add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+        flat.append(np.fromiter(itertools.chain.from_iterable(ids), kind, int(sizes[-1].sum())))
+    return np.concatenate(flat), np.concatenate(sizes)
+
+
 def encode(texts: pa.Array, path: str, width: int, by_word: bool) -> Iterator[np.ndarray]:
     """Token ids of each text. by_word: for tokenizers that drop white space and never join over it, words once seen are looked up."""
     t, kind = tokenizer(path), f"<u{width}"
@@ -191,30 +233,18 @@ def encode(texts: pa.Array, path: str, width: int, by_word: bool) -> Iterator[np
         for x in t.encode_batch_fast([x or "" for x in texts.to_pylist()], add_special_tokens=False):
             yield np.array(x.ids, kind)
         return
-    cache = _cache.setdefault((path, width), {})
+    cache = _cache.setdefault((path, width), Known(kind))
     begin, code, vocabulary = words(texts, lower=False)
     known = vocabulary.to_pylist()
-    missing = [w for w in known if w not in cache]
-    if len(cache) + len(missing) > CACHE_WORDS:
-        for w in list(itertools.islice(cache, len(cache) // 2)):
-            del cache[w]
-        missing = [w for w in known if w not in cache]
-    mark = t.encode("\x01", add_special_tokens=False).ids
-    plain = [w for w in missing if "\x01" not in w] if len(mark) == 1 else []
-    for i in range(0, len(plain), 4000):
-        part = plain[i : i + 4000]
-        ids = np.array(t.encode(" \x01 ".join(part), add_special_tokens=False).ids)
-        ends = np.concatenate([np.flatnonzero(ids == mark[0]), [len(ids)]])
-        starts = np.concatenate([[0], ends[:-1] + 1])
-        data = ids.astype(kind).tobytes()
-        cache.update(zip(part, (data[a * width : z * width] for a, z in zip(starts.tolist(), ends.tolist()))))
-    for w in missing:
-        if w not in cache:
-            cache[w] = np.array(t.encode(w, add_special_tokens=False).ids, kind).tobytes()
-    found = [cache[w] for w in known]
-    sizes = np.fromiter(map(len, found), np.int64, len(found)) // width
-    flat = np.frombuffer(b"".join(found), kind)
-    at = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+    digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, known)), ">u8").reshape(-1, 2).astype(np.uint64)
+    if cache.words + len(known) > CACHE_WORDS:
+        cache = _cache[path, width] = Known(kind)
+    at, sizes = cache.find(digests)
+    missing = np.flatnonzero(at < 0)
+    if len(missing):
+        cache.add(digests[missing], *_encoded([known[i] for i in missing], t, kind))
+        at[missing], sizes[missing] = cache.find(digests[missing])
+    flat = cache.ids
     counts = sizes[code]
     ends = np.concatenate([[0], np.cumsum(counts)])
     out = flat[np.repeat(at[code] - ends[:-1], counts) + np.arange(ends[-1])] if len(code) else flat[:0]

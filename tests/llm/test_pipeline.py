@@ -53,5 +53,5 @@ def test_rows_of_one_id(spark):
     group = lambda i, t: (i, min(t[:20], t))
     assert sorted((group(i, t) for i, t in kept), key=str) == sorted((group(i, " ".join(w)) for i, w in [(1, a), (1, b), (None, c), (None, d), (4, e), (5, []), (None, [])]), key=str)
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in [(None, a), (None, b + item + c), (7, d), (7, item)]], "doc_id long, text string")
-    free = decontaminate.without(docs, spark.createDataFrame([(1, " ".join(item)), (2, "x y z")], "item_id long, text string"), block_items=1)
+    free = decontaminate.without(docs, spark.createDataFrame([(1, " ".join(item)), (2, "x y z")], "item_id long, text string"), block_words=1)
     assert {(r.doc_id, r.text) for r in free.collect()} == {(None, " ".join(a)), (7, " ".join(d))}

@@ -1,3 +1,4 @@
+import functools
 import io
 import random
 import zlib
@@ -16,6 +17,9 @@ PATH = public_tokenizers.path("word_bpe_49k.json")
 TEXTS = [None, "", "  ", "Hello  world's\t\x0bend", "ÀÉ Σίσυφος ς <|endoftext|>x", "a b \x01 c\x01", "é ́x", "can't 1234 日本語 ☃☃", "word " * 30_000]
 
 
+loaded = functools.cache(Tokenizer.from_file)
+
+
 def order_of(text):
     """As Spark hashes it, signed."""
     h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), seed=42)
@@ -23,7 +27,7 @@ def order_of(text):
 
 
 def ids(text, name=PATH):
-    return [*Tokenizer.from_file(name).encode(text or "", add_special_tokens=False).ids, 2]
+    return [*loaded(name).encode(text or "", add_special_tokens=False).ids, 2]
 
 
 @pytest.mark.parametrize("by_word,name", [(True, "word_bpe_49k.json"), (False, "word_bpe_49k.json"), (False, "byte_bpe_50k.json")])
@@ -91,3 +95,17 @@ def test_one_id_in_many_shards(spark):
     assert [x.tolist() for x in T.lookup(uri, manifest, 7)] == [ids(rows[7][1])]
     got = T.read(spark, uri, manifest).orderBy("start").collect()
     assert [r.doc_id for r in got] == sorted(d for d, _ in rows) and [r.start for r in got] == [sum(x.n_tokens for x in got[:i]) for i in range(900)]
+
+
+def test_words_are_kept_and_forgotten(monkeypatch):
+    """Whatever is known already and however little may be kept, ids are the tokenizer's."""
+    monkeypatch.setattr(T, "CACHE_WORDS", 60)
+    monkeypatch.setattr(T, "_cache", {})
+    rnd = random.Random(3)
+    pool = [f"word{i}" for i in range(90)] + ["a", "\x01", "x\x01y", "ß😀", "don't"]
+    for n in (1, 40, 3, 40, 200, 0):
+        texts = [" ".join(rnd.choices(pool, k=rnd.randint(0, 9))) for _ in range(n)] + [None, ""]
+        got = [x.tolist() for x in T.encode(pa.array(texts, pa.string()), PATH, 2, True)]
+        assert got == [ids(t)[:-1] for t in texts]
+    known = T._cache[PATH, 2]
+    assert all(len(a[0]) >= 2 * len(b[0]) for a, b in zip(known.runs, known.runs[1:])) and sum(len(r[0]) for r in known.runs) == known.words
