@@ -114,3 +114,24 @@ def test_recall_at_the_threshold(spark, n, replaced):
     got = D.find(spark.createDataFrame([(d, " ".join(w)) for d, w in docs], "doc_id long, text string"), spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")).collect()
     least = (n - 4 - replaced - 4) / (n - 4 + replaced + 4)
     assert 0.8 <= least < 0.83 and sorted((r.doc_id, r.item_id, r.similarity) for r in got) == [(k, k, least) for k in range(60)]
+
+
+@pytest.mark.parametrize("n,replaced,least", [(100, 6, 0.97), (200, 17, 0.93), (300, 28, 0.85)])
+def test_recall_of_fingerprints_alone(n, replaced, least):
+    """Copies at the edge of similarity 0.8, one run of words replaced, among other words: how many some window finds without the rarest shingles' help, and that all are found with it."""
+    import pyarrow as pa
+
+    rnd = random.Random(n)
+    say = lambda k: ["".join(rnd.choice("abcdefghij") for _ in range(6)) for _ in range(k)]
+    items = [say(n) for _ in range(100)]
+    texts = []
+    for x in items:
+        at = rnd.randrange(n - replaced)
+        copy = x[:at] + say(replaced) + x[at + replaced :]
+        assert sim(copy, x) >= 0.8
+        texts.append(" ".join(say(rnd.randint(0, 80)) + copy + say(rnd.randint(0, 80))))
+    index = D.Index([(i, " ".join(x)) for i, x in enumerate(items)], 5, 0.8)
+    docs = pa.array(texts, pa.string())
+    hits = {(int(t), int(i)) for t, i in index.hits(*D.plain_words(docs)).T}
+    assert sum((i, i) in hits for i in range(100)) >= 100 * least
+    assert {(t, i) for t, i in D.found_in(docs, index, 0.8)} == {(i, i) for i in range(100)}
