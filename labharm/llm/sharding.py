@@ -52,8 +52,9 @@ def _pack(loose: DataFrame, loads: DataFrame, shards: int) -> DataFrame:
 
     One row holds all slots, of which there are a fixed number. A slot counts a byte more, so that empty ones are dealt out, too.
     """
-    base = loads.agg(F.map_from_entries(F.collect_list(F.struct("shard", "load"))).alias("had"))
-    all_ = loose.agg(F.sort_array(F.collect_list(F.struct("bytes", "virtual_slot")), asc=False).alias("slots")).join(F.broadcast(base))
+    slot, had = F.struct("bytes", "virtual_slot"), F.struct("shard", "load")
+    both = loose.select(slot.alias("slot"), F.lit(None).alias("had")).unionByName(loads.select(F.lit(None).alias("slot"), had.alias("had")))
+    all_ = both.agg(F.sort_array(F.collect_list("slot"), asc=False).alias("slots"), F.map_from_entries(F.collect_list("had")).alias("had"))
     start = F.struct(F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda i: F.coalesce(F.try_element_at("had", i), F.lit(0).cast("long"))).alias("loads"), F.array().cast("array<int>").alias("to"))
 
     def put(so_far, slot):
