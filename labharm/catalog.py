@@ -45,7 +45,7 @@ def facts(spark: SparkSession, sf: str) -> DataFrame:
 def summary(spark: SparkSession, sf: str) -> DataFrame:
     """The assembled summary; it has a row a key, and is written once a session."""
     order = [F.desc_nulls_last("n_records"), *(F.asc_nulls_first(c) for c in [*K5, "MEASUREMENT_UNIT_HARMONIZED", "omopQuantity", "CONVERSION_FACTOR"])]
-    return store.once(spark, "summary", sf, lambda: H.row_ids(D.assemble(extract.all_extracts(facts(spark, sf))), order))
+    return store.once(spark, "summary", sf, lambda: H.row_ids(D.assemble(extract.all_extracts(facts(spark, sf))), order), written=True)
 
 
 def mapped(spark: SparkSession, sf: str) -> DataFrame:

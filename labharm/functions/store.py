@@ -34,12 +34,12 @@ def cut(df: DataFrame, name: str, by: list[str] | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def once(spark: SparkSession, name: str, of: str, make: Callable[[], DataFrame | str]) -> DataFrame | str:
-    """What make returns for a folder `of` of input tables, a table or a path; made and written once a session."""
+def once(spark: SparkSession, name: str, of: str, make: Callable[[], DataFrame | str], written: bool = False) -> DataFrame | str:
+    """What make returns for a folder `of` of input tables, a table or a path; made and written once a session. written: the table comes from written ones already, at little cost."""
     key = (spark.sparkContext.applicationId, name, of)
     if key not in _made:
         made = make()
-        _made[key] = made if isinstance(made, str) else cut(made, name)
+        _made[key] = made if written or isinstance(made, str) else cut(made, name)
     return _made[key]
 
 
