@@ -38,6 +38,17 @@ def test_malformed_lines_are_kept_beside(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(f"{tmp_path}/out-malformed").collect()) == ["1\t2\t3", "broken"]
 
 
+def test_lines_of_empty_cells_are_rows(spark, tmp_path):
+    """A tab-separated line whose cells are all empty is a row; an empty line is none."""
+    rows = [("a", 1, None)] + 3 * [(None, None, None)] + [(" ", None, " ")]
+    tables.write_tsv(spark.createDataFrame(rows, "t string, n int, u string").repartition(2), f"{tmp_path}/tsv")
+    assert sorted(map(tuple, tables.read_tsv(spark, f"{tmp_path}/tsv", "t string, n int, u string").collect()), key=str) == sorted(rows, key=str)
+    (tmp_path / "raw.tsv").write_text("a\tb\n1\tNA\n\t\n\n\t\t\n")
+    tables.text_to_parquet(spark, f"{tmp_path}/raw.tsv", f"{tmp_path}/out")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()), key=str) == [("1", None), (None, None)]
+    assert [r.value for r in spark.read.text(f"{tmp_path}/out-malformed").collect()] == ["\t\t"]
+
+
 def test_counts(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "a")], "k int, u string")
     assert tuple(preview.counts(df, ["k", "u"]).first()) == (3, 2) and preview.look_up(df, u=None).count() == 2
