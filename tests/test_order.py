@@ -86,6 +86,19 @@ def test_extracts_from_one_scan(spark, tmp_path):
     assert len(values) == 9 * len(plain) and {tuple(r[c] for c in K5): (pytest.approx(r.v), pytest.approx(r.h)) for r in plain} == {tuple(r[c] for c in K5): (r.decile_MEASUREMENT_VALUE, r.decile_MEASUREMENT_VALUE_HARMONIZED) for r in values if abs(r.decile - 0.3) < 1e-9}
 
 
+def test_facts_are_counted_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch):
+    """However few parts the input has, no task counts many more than TASK_RECORDS records before their facts are shuffled."""
+    results(spark).coalesce(1).write.parquet(f"{tmp_path}/m")
+    m = spark.read.parquet(f"{tmp_path}/m")
+    whole = extract.facts(m)
+    monkeypatch.setattr(extract, "TASK_RECORDS", 500)
+    found = extract.facts(m)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    counted, dealt = plan.index("partial_count(1)"), plan.index(", 8), REPARTITION_BY_NUM")
+    assert counted < dealt < plan.index("FileScan")
+
+
 def test_sketches_merge(spark):
     m = results(spark).withColumn("month", F.pmod(F.hash("MEASUREMENT_VALUE"), F.lit(5)))
     rows = extract.sketched_deciles(extract.merged(extract.sketches(m, ["month"]))).filter("TEST_NAME = 't'").collect()
