@@ -99,6 +99,19 @@ def test_facts_are_counted_in_tasks_of_bounded_size(spark, tmp_path, monkeypatch
     assert counted < dealt < plan.index("FileScan")
 
 
+def test_injection_reads_written_values(spark, monkeypatch):
+    """Both samples come from a written table, not from filters on the records' nested expressions."""
+    from labharm import catalog
+    from labharm.functions import store
+
+    store.forget()
+    seen = []
+    two = drift.two_samples
+    monkeypatch.setattr(drift, "two_samples", lambda a, b, *keys: seen.extend((a, b)) or two(a, b, *keys))
+    assert catalog.QUERIES["unit_injection_ks"](spark, "/root/testdata/sf0.001").count() > 0
+    assert len(seen) == 2 and not any("get_json_object" in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+
+
 def test_sketches_merge(spark):
     m = results(spark).withColumn("month", F.pmod(F.hash("MEASUREMENT_VALUE"), F.lit(5)))
     rows = extract.sketched_deciles(extract.merged(extract.sketches(m, ["month"]))).filter("TEST_NAME = 't'").collect()
