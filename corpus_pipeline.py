@@ -10,31 +10,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labharm.llm import catalog, decontaminate, mixing, ngram_join, token_tables, toxicity
-from labharm.llm.common import cut, shared_dir
+from labharm.llm.common import cut, shared_dir, small_batches
 
 #: The share of the tokens that the mixture may take; each document is used once at most.
 BUDGET_SHARE = 0.8
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return toxicity.clean(docs, toxicity.fit(docs, catalog.table(spark, sf_dir, "labels").filter(F.crc32(F.col("doc_id").cast("string")) % 5 != 0)))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return ngram_join.dedup(docs)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return decontaminate.without(docs, catalog.table(spark, sf_dir, "benchmark"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return mixing.mix(docs, catalog.domain(), catalog.WEIGHTS, BUDGET_SHARE, 1, catalog.SEED).select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
+    small_batches(spark)
     uri = shared_dir(spark, "pipeline-tokens")
     return token_tables.read(spark, uri, token_tables.write(docs, uri, public_tokenizers.path("word_bpe_49k.json"), 2, by_word=True))
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import mix, steps, words
+from labharm.llm.common import keep, mix, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: Words of the items of one index, which takes about 130 MB.
@@ -39,7 +39,7 @@ SHARE, WIDEST = 0.7, 255
 #: Words whose hashes a Python worker keeps.
 CACHE_WORDS = 200_000
 
-_hashes: dict[str, int] = {}
+_hashes: dict[str, int] = keep("decontaminate")
 #: A byte's bits, each in a byte of its own.
 _spread = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 
@@ -286,7 +286,7 @@ def found_in(texts: pa.Array, index: Index, least: float) -> dict[tuple[int, int
 def scan(batches: Iterator[pa.RecordBatch], index, least: float) -> Iterator[pa.RecordBatch]:
     index = index.value
     for batch in batches:
-        for a, z in steps(batch.column(1)):
+        for a, z in steps(batch.column(1), operator="decontaminate"):
             best = found_in(batch.column(1)[a:z], index, least)
             if best:
                 yield pa.RecordBatch.from_arrays(
@@ -319,7 +319,7 @@ def find(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float =
 def clean(batches: Iterator[pa.RecordBatch], at: int, index, least: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         keep = np.ones(batch.num_rows, bool)
-        for a, z in steps(batch.column(at)):
+        for a, z in steps(batch.column(at), operator="decontaminate"):
             keep[[a + t for t, _ in found_in(batch.column(at)[a:z], index.value, least)]] = False
         yield batch.filter(pa.array(keep))
 

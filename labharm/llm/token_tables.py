@@ -34,18 +34,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labharm.llm.common import steps, words
+from labharm.llm.common import keep, steps, words
 
 MAGIC = b"LHSST1\0\0"
 FOOTER = struct.Struct("<QQQQQQI4x8s")
 BLOCK_BYTES, BITS, PROBES = 1 << 18, 10, 7
-#: Words that a Python worker keeps with their ids, at some 40 bytes a word.
+#: Words that a Python worker keeps with their ids, at some 30 bytes a word.
 CACHE_WORDS = 2_000_000
 #: Bytes of text encoded at once: the more, the fewer words to look up.
-ENCODE_BYTES = 8_000_000
+ENCODE_BYTES = 4_000_000
 
-_tokenizers: dict[str, object] = {}
-_cache: dict[tuple[str, int], Known] = {}
+_tokenizers: dict[str, object] = keep("token_tables")
+_cache: dict[tuple[str, int], Known] = keep("token_tables")
 
 
 def key_of(doc_id: int | None) -> bytes:
@@ -204,16 +204,22 @@ class Known:
 
     def add(self, digests: np.ndarray, fresh: np.ndarray, sizes: np.ndarray) -> None:
         """fresh: the ids of all these words, one after another."""
-        start = self.used + np.concatenate([[0], np.cumsum(sizes[:-1])])
+        start = self.used + np.concatenate([[0], np.cumsum(sizes[:-1])]).astype(np.int64)
         while self.used + len(fresh) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(fresh)] = fresh
         self.used, self.words = self.used + len(fresh), self.words + len(sizes)
-        run = (digests[:, 0], digests[:, 1], start, sizes.astype(np.int32))
-        while self.runs and len(self.runs[-1][0]) < 2 * len(run[0]):
-            run = tuple(np.concatenate(x) for x in zip(self.runs.pop(), run))
-        order = np.argsort(run[0], kind="stable")
-        self.runs.append(tuple(x[order] for x in run))
+        parts = [(digests[:, 0], digests[:, 1], start.astype(np.uint32 if self.used < 1 << 32 else np.int64), sizes.astype(np.int32))]
+        total = len(sizes)
+        while self.runs and len(self.runs[-1][0]) < 2 * total:
+            parts.append(self.runs.pop())
+            total += len(parts[-1][0])
+        columns = [list(x) for x in zip(*parts)]
+        del parts
+        order, run = np.argsort(np.concatenate(columns[0]), kind="stable"), []
+        while columns:  # one after another, so that no two columns are there twice
+            run.append(np.concatenate(columns.pop(0))[order])
+        self.runs.append(tuple(run))
 
 
 def _encoded(missing: list[str], t, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -264,7 +270,7 @@ def write_shard(batches: Iterator[pa.RecordBatch], uri: str, path: str, end_id:
     end = np.array([end_id], f"<u{width}")
     writer = sink = None
     for batch in batches:
-        for a, z in steps(batch.column(1), ENCODE_BYTES):
+        for a, z in steps(batch.column(1), ENCODE_BYTES, "token_tables"):
             if writer is None:
                 store.create_dir(folder, recursive=True)
                 sink = store.open_output_stream(mine)

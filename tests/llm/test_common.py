@@ -21,3 +21,39 @@ def test_shingles_of_short_and_long_texts():
     got, made = common.shingles(begin, common.hashes(vocabulary)[code], 3)
     assert made.tolist() == [2, 0, 1, 3, 1]
     assert got[2] == got[6] and got[1] == got[3] and len(set(got.tolist())) == 5
+
+
+def test_operators_keep_nothing_in_others_tasks():
+    """A worker that goes on to another operator's task lets go of what the one before kept; tasks of its own find it again."""
+    import pyarrow as pa
+
+    from labharm.llm import common, decontaminate, token_tables
+
+    texts = pa.array(["some words", None, "of no weight"])
+    decontaminate.plain_words(texts)
+    token_tables._cache["x", 2] = token_tables.Known("<u2")
+    assert list(common.steps(texts, operator="decontaminate")) == [(0, 3)]
+    assert decontaminate._hashes and not token_tables._cache
+    token_tables._cache["x", 2] = token_tables.Known("<u2")
+    assert list(common.steps(texts, 12, "token_tables")) == [(0, 2), (2, 3)]
+    assert token_tables._cache and not decontaminate._hashes
+    assert list(common.steps(texts)) == [(0, 3)]
+    assert not token_tables._cache
+
+
+def test_known_words_over_many_runs():
+    import numpy as np
+
+    from labharm.llm.token_tables import Known
+
+    rng = np.random.default_rng(2)
+    known, digests = Known("<u2"), rng.integers(2**63, size=(5000, 2)).astype(np.uint64)
+    sizes = rng.integers(1, 5, 5000)
+    ids, ends = rng.integers(60_000, size=sizes.sum()).astype("<u2"), np.concatenate([[0], np.cumsum(sizes)])
+    for a in range(0, 5000, 170):
+        z = min(5000, a + 170)
+        known.add(digests[a:z], ids[ends[a] : ends[z]], sizes[a:z])
+    assert all(len(x[0]) >= 2 * len(y[0]) for x, y in zip(known.runs, known.runs[1:]))
+    at, n = known.find(digests)
+    assert (n == sizes).all() and all((known.ids[i : i + k] == ids[a:z]).all() for i, k, a, z in zip(at, n, ends, ends[1:]))
+    assert sum(x.nbytes for run in known.runs for x in run) == 24 * 5000

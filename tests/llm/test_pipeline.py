@@ -55,3 +55,14 @@ def test_rows_of_one_id(spark):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in [(None, a), (None, b + item + c), (7, d), (7, item)]], "doc_id long, text string")
     free = decontaminate.without(docs, spark.createDataFrame([(1, " ".join(item)), (2, "x y z")], "item_id long, text string"), block_words=1)
     assert {(r.doc_id, r.text) for r in free.collect()} == {(None, " ".join(a)), (7, " ".join(d))}
+
+
+def test_texts_come_in_small_batches(spark):
+    """10,000 long texts are no single Arrow batch once a stage has been called."""
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "repeat('some words ', 1000) AS text")
+    decontaminated = P.without_benchmark(spark, docs, SF)
+    try:
+        sizes = decontaminated.select("text").mapInArrow(lambda batches: (b.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) > 30_000_000 and max(r.n for r in sizes) < 6_000_000
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
