@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labharm.llm.common import keep, mix, steps, words
+from labharm.llm.common import give_back, keep, let_go, mix, steps, words
 
 RADIUS, BLOCKS, COMMON = 11, 4, 0.1
 #: Words of the items of one index, which takes about 130 MB.
@@ -322,6 +322,8 @@ def clean(batches: Iterator[pa.RecordBatch], at: int, index, least: float) -> It
         for a, z in steps(batch.column(at), operator="decontaminate"):
             keep[[a + t for t, _ in found_in(batch.column(at)[a:z], index.value, least)]] = False
         yield batch.filter(pa.array(keep))
+    let_go()  # the next stage's tasks may be none of Python's, and so wouldn't
+    give_back()
 
 
 def without(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, least: float = 0.8, block_words: int = BLOCK_WORDS) -> DataFrame:

@@ -1,7 +1,10 @@
 import random
+from types import SimpleNamespace
 
 import corpus_pipeline as P
-from labharm.llm import catalog, decontaminate, ngram_join, toxicity
+import pyarrow as pa
+import pyarrow.parquet as pq
+from labharm.llm import catalog, common, decontaminate, ngram_join, toxicity
 from labharm.llm.ngram_join import join
 
 SF = "/root/testdata/sf0.001"
@@ -66,3 +69,38 @@ def test_texts_come_in_small_batches(spark):
         assert sum(r.n for r in sizes) > 30_000_000 and max(r.n for r in sizes) < 6_000_000
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_tables_of_texts_have_small_row_groups(spark, tmp_path):
+    """Neither a writer nor a reader of a stage's table holds all texts of a file."""
+    docs = spark.range(3000, numPartitions=1).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 100), x -> sha2(concat(id, ' ', x), 256)), ' ') AS text")
+    P.small_batches(spark)
+    try:
+        docs.write.parquet(f"file://{tmp_path}/texts")
+        (file,) = tmp_path.glob("texts/*.parquet")
+        groups = pq.ParquetFile(file).metadata
+        sizes = [groups.row_group(i).total_byte_size for i in range(groups.num_row_groups)]
+        assert sum(sizes) > 15_000_000 and max(sizes) < 6_000_000
+        assert spark.read.parquet(f"file://{tmp_path}/texts").exceptAll(docs).count() == 0
+    finally:
+        for key in ("spark.sql.execution.arrow.maxBytesPerBatch", *common.TABLE_BOUNDS):
+            spark.conf.unset(key)
+
+
+def test_a_session_keeps_bounds_of_its_own(spark):
+    spark.conf.set("parquet.block.size", 1 << 20)
+    try:
+        P.small_batches(spark)
+        assert spark.conf.get("parquet.block.size") == str(1 << 20) and spark.conf.get("parquet.read.allocation.size") == str(1 << 18)
+    finally:
+        for key in ("spark.sql.execution.arrow.maxBytesPerBatch", *common.TABLE_BOUNDS):
+            spark.conf.unset(key)
+
+
+def test_a_cleaned_task_leaves_no_words_behind():
+    """Mixing runs no Python: what a worker kept of decontaminate would lie there through it."""
+    index = decontaminate.Index([(1, "one two three four five six seven eight")], 5, 0.8)
+    batch = pa.RecordBatch.from_pydict({"text": ["zero one two three four five six seven eight nine", "none of these", None]})
+    (left,) = decontaminate.clean(iter([batch]), 0, SimpleNamespace(value=index), 0.8)
+    assert left.column(0).to_pylist() == ["none of these", None]
+    assert not decontaminate._hashes
